@@ -16,6 +16,7 @@ def flatten_bridge(df: DataFrame, id_col: str, array_col: str, out_col: str,
     has exactly this behaviour and runs inside the scan's stage, so flattening
     adds no shuffle.
     """
-    elem = F.explode(F.col(array_col))
-    key = elem.cast(key_type) if key_type else elem
-    return df.select(F.col(id_col).alias(id_alias or id_col), key.alias(out_col))
+    arr = F.col(array_col)
+    if key_type:
+        arr = arr.cast(f"array<{key_type}>")
+    return df.select(F.col(id_col).alias(id_alias or id_col), F.explode(arr).alias(out_col))

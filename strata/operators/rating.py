@@ -39,9 +39,15 @@ def with_weighted_rating(df: DataFrame, rating: str = "rating", reviews: str = "
 
     The prior is attached as one scalar subquery (a struct of both values):
     it is computed once and inlined as a constant, so no join -- and no
-    shuffle of ``df`` -- is needed to bring it next to each row (J2).
+    shuffle of ``df`` -- is needed to bring it next to each row (J2). The
+    struct is projected into a column first so the subquery is referenced
+    (and run) once. ``df`` is read twice (prior + rows): pass a persisted
+    silver table, not a long lineage.
     """
     prior = bayesian_prior(df, rating, reviews, approx_median)
     p = prior.select(F.struct("global_mean", "confidence_threshold").alias("p")).scalar()
-    return df.withColumn(out, weighted_rating_expr(F.col(rating), F.col(reviews),
-                                                   p["global_mean"], p["confidence_threshold"], scale))
+    return (df.withColumn("_prior", p)
+              .withColumn(out, weighted_rating_expr(F.col(rating), F.col(reviews),
+                                                    F.col("_prior.global_mean"),
+                                                    F.col("_prior.confidence_threshold"), scale))
+              .drop("_prior"))

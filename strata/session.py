@@ -91,3 +91,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def materialize_shared(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and return a frame
+    reading it back, cutting the lineage (reliable ``checkpoint``; survives
+    executor loss, unlike a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
