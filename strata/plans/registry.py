@@ -144,8 +144,8 @@ def q_snapshot_reload(spark, sf_dir):
     snap.land_snapshot(orders, base, "20240615", "orders")
     contracts = {"orders": ORDERS_CONTRACT}
     for _ in range(2):  # reloading the same day must give the same table
-        paths = snap.load_all(spark, base, "20240615", contracts, base)
-    return spark.read.parquet(paths["orders"]["table"])
+        roots = snap.load_all(spark, base, "20240615", contracts, base)
+    return snap.read_bronze(spark, roots["orders"])
 
 
 # ---- report queries --------------------------------------------------------

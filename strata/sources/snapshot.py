@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BAD_REASON = "_bad_reason"
+LOAD_STATUS = "_load_status"
 MAX_TEXT = 255
 
 
@@ -52,13 +53,15 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def flag_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT) -> DataFrame:
+def flag_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT,
+                  unbounded_text: Iterable[str] = ()) -> DataFrame:
     """Aligned rows plus ``_bad_reason`` (NULL for good rows) (S3).
 
     A row is bad when a non-NULL input value does not convert to the
     contract's type, or a text value is longer than ``max_text`` characters
-    (the whole text is measured).
+    (the whole text is measured; columns in ``unbounded_text`` are exempt).
     """
+    unbounded = {c.lower() for c in unbounded_text}
     names = _lower_map(df)
     cols, reasons = [], []
     for field in schema.fields:
@@ -70,16 +73,17 @@ def flag_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT)
         conv = raw.try_cast(field.dataType)
         cols.append(conv.alias(field.name))
         reasons.append(F.when(raw.isNotNull() & conv.isNull(), F.lit(f"{field.name}: not {field.dataType.simpleString()}")))
-        if isinstance(field.dataType, T.StringType) and max_text:
+        if isinstance(field.dataType, T.StringType) and max_text and field.name.lower() not in unbounded:
             reasons.append(F.when(F.length(conv) > max_text, F.lit(f"{field.name}: longer than {max_text}")))
     reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
     return df.select(*cols, F.when(reason != "", reason).alias(BAD_REASON))
 
 
-def split_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT):
+def split_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT,
+                   unbounded_text: Iterable[str] = ()):
     """(good, quarantine) pair from :func:`flag_bad_rows`; the good frame has
     exactly the contract's columns."""
-    flagged = flag_bad_rows(df, schema, max_text)
+    flagged = flag_bad_rows(df, schema, max_text, unbounded_text)
     good = flagged.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON)
     bad = flagged.filter(F.col(BAD_REASON).isNotNull())
     return good, bad
@@ -135,22 +139,40 @@ def refresh_table(df: DataFrame, name: str | None = None, path: str | None = Non
         writer.format("parquet").saveAsTable(name)
 
 
+def load_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
+                target_base: str, max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> str:
+    """Full-refresh one entity's bronze folder from its snapshot.
+
+    One scan and one write: rows are flagged against the contract and written
+    partitioned by ``_load_status`` (``loaded`` / ``quarantined``), so the
+    good table and its quarantine are replaced together and the raw file is
+    read once. Returns the bronze root; read it with :func:`read_bronze`.
+    """
+    raw = spark.read.parquet(snapshot_path(base, run_date, entity))
+    flagged = flag_bad_rows(raw, schema, max_text, unbounded_text)
+    status = F.when(F.col(BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
+    root = f"{target_base.rstrip('/')}/bronze/{entity}"
+    (flagged.withColumn(LOAD_STATUS, status)
+            .write.mode("overwrite").partitionBy(LOAD_STATUS).parquet(root))
+    return root
+
+
+def read_bronze(spark: SparkSession, root: str, quarantined: bool = False) -> DataFrame:
+    """The loaded rows (or the quarantined ones, with their reason) of a
+    bronze root; the status filter prunes to one partition folder."""
+    df = spark.read.parquet(root)
+    want = "quarantined" if quarantined else "loaded"
+    df = df.filter(F.col(LOAD_STATUS) == want).drop(LOAD_STATUS)
+    return df if quarantined else df.drop(BAD_REASON)
+
+
 def load_all(spark: SparkSession, base: str, run_date: str,
              contracts: Mapping[str, T.StructType], target_base: str,
-             max_text: int = MAX_TEXT) -> dict[str, dict[str, str]]:
+             max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> dict[str, str]:
     """Load every entity of one run date into its bronze folder.
 
-    For each entity: read the day's file, align it to its contract, write the
-    good rows over the bronze table and the bad rows over its quarantine
-    folder. Entities load in order; the first failure stops the run.
+    Entities load in order; the first failure stops the run. Returns entity
+    -> bronze root.
     """
-    out: dict[str, dict[str, str]] = {}
-    for entity, schema in contracts.items():
-        raw = spark.read.parquet(snapshot_path(base, run_date, entity))
-        flagged = flag_bad_rows(raw, schema, max_text)
-        table = f"{target_base.rstrip('/')}/bronze/{entity}"
-        quarantine = f"{target_base.rstrip('/')}/quarantine/{run_date}/{entity}"
-        refresh_table(flagged.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON), path=table)
-        refresh_table(flagged.filter(F.col(BAD_REASON).isNotNull()), path=quarantine)
-        out[entity] = {"table": table, "quarantine": quarantine}
-    return out
+    return {entity: load_entity(spark, base, run_date, entity, schema, target_base, max_text, unbounded_text)
+            for entity, schema in contracts.items()}

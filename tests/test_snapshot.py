@@ -55,9 +55,10 @@ def test_land_and_reload_is_idempotent(spark):
     assert any(f.endswith(".zstd.parquet") for f in files)
     for _ in range(2):
         out = snap.load_all(spark, base, "20240101", {"raw_games": CONTRACT}, base)
-    table = spark.read.parquet(out["raw_games"]["table"])
+    table = snap.read_bronze(spark, out["raw_games"])
+    assert table.columns == [f.name for f in CONTRACT.fields]
     assert rows(table, "id", "name") == [(1, "A")]
-    assert rows(spark.read.parquet(out["raw_games"]["quarantine"]), "id") == [(2,)]
+    assert rows(snap.read_bronze(spark, out["raw_games"], quarantined=True), "id") == [(2,)]
     again = snap.read_snapshot(spark, base, "20240101", "raw_games", CONTRACT)
     assert again.count() == 2
 
