@@ -90,7 +90,9 @@ def label_pairs(model: SemanticModel, dim_name: str,
 
 def fact_keys_with_labels(model: SemanticModel, dim_name: str, labels: Iterable) -> DataFrame:
     """Fact keys linked to any of ``labels`` of one dimension (P5 on a
-    dimension, as a set of fact keys)."""
+    dimension, as a set of fact keys). Bridge keys are deduplicated (with a
+    map-side partial aggregate) so a fact row holding a large share of the
+    bridge does not send all of its rows to one reducer of the semi join."""
     d = model.dims[dim_name]
     fk = model.fact_key
     labels = list(labels)
@@ -104,8 +106,8 @@ def fact_keys_with_labels(model: SemanticModel, dim_name: str, labels: Iterable)
         return model.fact.join(keys, model.fact[d.key] == keys["_dk"], "left_semi").select(fk)
     b = d.bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
     if keys is None:
-        return b.filter(F.col("_dk").isin(labels)).select(fk)
-    return b.join(keys, "_dk", "left_semi").select(fk)
+        return b.filter(F.col("_dk").isin(labels)).select(fk).distinct()
+    return b.join(keys, "_dk", "left_semi").select(fk).distinct()
 
 
 def propagate(model: SemanticModel, filters: Mapping[str, Iterable] | None = None,

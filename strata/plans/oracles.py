@@ -26,7 +26,9 @@ def _exact_avg(col: str) -> str:
 
 
 # The item catalogue and the game fact built on it (see strata.plans.standins).
-ITEMS = f"""
+# ``{rating}`` is the loaded rating: as derived, or through the bronze
+# contract's decimal(5,2).
+_ITEMS = """
 li_agg AS (
   SELECT l_partkey,
          avg(CASE WHEN l_quantity > 45 THEN round(l_discount * 100) * 10 END) AS total_rating,
@@ -56,27 +58,40 @@ raw_items AS (
   SELECT * FROM items WHERE p_size >= 21
 ),
 clean_items AS (
-  SELECT DISTINCT id, name, game_type AS fk_game_type, total_rating AS average_rating,
+  SELECT DISTINCT id, name, game_type AS fk_game_type, {rating} AS average_rating,
          CAST(CASE WHEN total_rating_count = 0 AND total_rating > 0 AND total_rating < 95 THEN 1
                    WHEN total_rating_count > 0 AND total_rating = 0 THEN 0
                    ELSE coalesce(total_rating_count, 0) END AS BIGINT) AS num_of_reviews,
          CAST(coalesce(hypes, 0) AS BIGINT) AS wishlist_count,
          game_status AS fk_status,
-         {_date_from_epoch("first_release_date")} AS date_first_release
+         {release} AS date_first_release
   FROM raw_items
 ),
 prior AS (
-  SELECT avg(average_rating) AS global_mean, median(num_of_reviews) AS confidence_threshold
+  SELECT avg(CAST(average_rating AS DOUBLE)) AS global_mean, median(num_of_reviews) AS confidence_threshold
   FROM clean_items WHERE average_rating IS NOT NULL AND num_of_reviews > 0
 ),
 fact AS (
   SELECT c.id, c.name, c.fk_game_type, r.r_name AS status, c.average_rating, c.num_of_reviews,
          c.wishlist_count, c.date_first_release,
-         round((p.confidence_threshold * p.global_mean + c.average_rating * c.num_of_reviews)
+         round((p.confidence_threshold * p.global_mean + CAST(c.average_rating AS DOUBLE) * c.num_of_reviews)
                / (p.confidence_threshold + c.num_of_reviews), 2) + 0.0 AS weighted_rating
   FROM clean_items c LEFT JOIN region r ON c.fk_status = r.r_regionkey CROSS JOIN prior p
 )"""
 
+
+def _items(rating: str = "total_rating") -> str:
+    return _ITEMS.replace("{rating}", rating).replace("{release}", _date_from_epoch("first_release_date"))
+
+
+ITEMS = _items()
+
+DISPLAY_FACT = ", ".join(f'{src} AS "{dst}"' for src, dst in [
+    ("id", "Game ID"), ("name", "Game name"), ("fk_game_type", "Game type ID"), ("status", "Status"),
+    ("average_rating", "Average rating"), ("num_of_reviews", "Number of reviews"),
+    ("wishlist_count", "Wishlist count"), ("date_first_release", "Date game initial release"),
+    ("weighted_rating", "Weighted rating")])
+
 PAIRS = {
     "platform": """SELECT DISTINCT s.s_name AS label, l.l_partkey AS id
                    FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
@@ -176,6 +191,7 @@ SELECT 'clean_items' AS "table", pos, "check", failures FROM (
 ORACLES: dict[str, str] = {
     "weighted_rating": f"WITH {ITEMS} SELECT * FROM fact",
     "clean_items": f"WITH {ITEMS} SELECT * FROM clean_items",
+    "medallion_run": f"WITH {_items('CAST(total_rating AS DECIMAL(5, 2))')} SELECT {DISPLAY_FACT} FROM fact",
     "status_lookup": f"WITH {ITEMS} SELECT status, count(id) AS n_items FROM fact GROUP BY status",
     "epoch_to_date": f"""SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) - 1705000000 AS epoch_s,
        {_date_from_epoch("CAST(floor(epoch(ts)) AS BIGINT) - 1705000000")} AS d
@@ -218,6 +234,14 @@ SELECT b.name, b.avg_weighted_rating, b.sum_reviews, m.min_mode FROM best b LEFT
 ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY popularity_score DESC) AS INTEGER) AS popularity_rank
            FROM per WHERE popularity_score IS NOT NULL)
 SELECT fk_game, popularity_score, popularity_rank, 1 AS is_top_n FROM ranked WHERE popularity_rank <= {TOP_N}""",
+    "popularity_flags": f"""WITH per AS (
+  SELECT user_id AS fk_game, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS popularity_score
+  FROM events WHERE event_type IN ({_in(POPULARITY_TYPE)}) GROUP BY user_id),
+ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY popularity_score DESC) AS INTEGER) AS r FROM per)
+SELECT fk_game, popularity_score,
+       CASE WHEN popularity_score IS NOT NULL AND r <= {TOP_N} THEN r END AS popularity_rank,
+       CASE WHEN popularity_score IS NOT NULL AND r <= {TOP_N} THEN 1 ELSE 0 END AS is_top_n
+FROM ranked""",
     "top5_aspect_rating": _top_labels("genre", "rating"),
     "top5_aspect_reviews": _top_labels("genre", "reviews"),
     "top5_platform_rating": _top_labels("platform", "rating"),

@@ -18,7 +18,9 @@ from strata.operators import quality as Q
 from strata.operators import semantic as sem
 from strata.operators.flatten import flatten_bridge
 from strata.operators.summarize import summarize
+from strata import schemas as SC
 from strata.plans import reports, silver
+from strata.plans.pipeline import run_daily
 from strata.plans import standins as st
 from strata.session import scratch_path
 from strata.sources import snapshot as snap
@@ -148,6 +150,23 @@ def q_snapshot_reload(spark, sf_dir):
     return snap.read_bronze(spark, roots["orders"])
 
 
+MEDALLION_RUN_DATE = "20240615"
+
+
+def q_medallion_run(spark, sf_dir):
+    """S1-S9 + Q1/Q2 end to end: land the derived games and status snapshots,
+    run the daily pipeline (contract load, silver tables, gold views with
+    display names) and return the published game fact."""
+    t = _t(spark, sf_dir)
+    base = scratch_path(spark, "medallion")
+    snap.land_snapshot(st.raw_items(t), base, MEDALLION_RUN_DATE, "raw_games")
+    snap.land_snapshot(st.status_dim(t), base, MEDALLION_RUN_DATE, "raw_gamestatus")
+    run = run_daily(spark, base, MEDALLION_RUN_DATE, base,
+                    contracts={"raw_games": SC.RAW_GAMES, "raw_gamestatus": SC.RAW_GAMESTATUS},
+                    display_names=True, fail_on_test=False)
+    return run.gold["fct_games"]
+
+
 # ---- report queries --------------------------------------------------------
 
 def q_top3_rated(spark, sf_dir):
@@ -164,6 +183,13 @@ def q_popularity_rank(spark, sf_dir):
                                    st.POPULARITY_TYPE, st.TOP_N)
 
 
+def q_popularity_flags(spark, sf_dir):
+    """Every entity's summed score with its dense rank and top-N flag."""
+    pop = st.popularity(_t(spark, sf_dir))
+    return reports.popularity_flags(pop, "fk_game", "fk_popularity_type", "popularity_score",
+                                    st.POPULARITY_TYPE, st.TOP_N)
+
+
 def _top_labels(aspect: str, metric: str):
     def run(spark, sf_dir):
         model = st.item_model(_t(spark, sf_dir))
@@ -310,8 +336,10 @@ QUERIES: dict[str, Query] = {
     "schema_align": q_schema_align,
     "bad_rows": q_bad_rows,
     "snapshot_reload": q_snapshot_reload,
+    "medallion_run": q_medallion_run,
     "top3_rated": q_top3_rated,
     "popularity_rank": q_popularity_rank,
+    "popularity_flags": q_popularity_flags,
     "top5_aspect_rating": _top_labels("Genres", "rating"),
     "top5_aspect_reviews": _top_labels("Genres", "reviews"),
     "top5_platform_rating": _top_labels("Platforms", "rating"),

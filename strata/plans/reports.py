@@ -58,7 +58,7 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
     modes = (pairs.join(facts.select(model.fact_key, "name"), model.fact_key, "inner")
                   .join(best.select("name"), "name", "left_semi")
                   .groupBy("name").agg(F.min("label").alias("min_mode")))
-    return best.join(modes, "name", "left")
+    return best.join(modes, "name", "left").orderBy(F.col("avg_weighted_rating").desc(), "name")
 
 
 def popularity_rank(popularity: DataFrame, entity: str, type_col: str, score: str,
@@ -71,7 +71,19 @@ def popularity_rank(popularity: DataFrame, entity: str, type_col: str, score: st
         rows = rows.filter(F.col(type_col).isin(list(type_values)))
     per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
     ranked = topn.dense_top_n(per, "popularity_score", n, rank_col="popularity_rank")
-    return ranked.withColumn("is_top_n", F.lit(1))
+    return ranked.withColumn("is_top_n", F.lit(1)).orderBy("popularity_rank", entity)
+
+
+def popularity_flags(popularity: DataFrame, entity: str, type_col: str, score: str,
+                     type_values: Iterable | None, n: int | None = None) -> DataFrame:
+    """Every entity with its summed score, its dense rank when within the
+    top N (else NULL) and the 1/0 "is top N" flag (W1 + W2)."""
+    n = n or DEFAULT_TOP_N
+    rows = popularity
+    if type_values:
+        rows = rows.filter(F.col(type_col).isin(list(type_values)))
+    per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
+    return topn.with_top_n_flag(per, "popularity_score", n, "is_top_n", "popularity_rank")
 
 
 def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: int = 5,
@@ -89,7 +101,7 @@ def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: i
     else:
         raise ValueError(f"unknown metric {metric!r}")
     per = sem.metric_by_label(model, dim, aggs, facts)
-    return topn.top_n_with_ties(per, key, n)
+    return topn.top_n_with_ties(per, key, n).orderBy(F.col(key).desc(), "label")
 
 
 def top_labels_for_aspect(model: sem.SemanticModel, aspect_to_dim: Mapping[str, str],
@@ -120,7 +132,7 @@ def wishlist_top(fact: DataFrame, n: int = 5) -> DataFrame:
     ties kept (Q12: P7 A4 L2)."""
     per = (fact.filter(F.col("date_first_release").isNull())
                .groupBy("name").agg(F.sum("wishlist_count").cast("bigint").alias("wishlist_count")))
-    return topn.top_n_with_ties(per, "wishlist_count", n)
+    return topn.top_n_with_ties(per, "wishlist_count", n).orderBy(F.col("wishlist_count").desc(), "name")
 
 
 def types_with_known_status(popularity: DataFrame, fact: DataFrame, game_col: str,

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from strata.functions.scalars import timestamp_to_epoch
 from strata.operators import semantic as sem
 from strata.plans import gold, silver
-from strata.session import broadcast_if_bounded, materialize_shared
+from strata.session import materialize_shared
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -133,7 +133,10 @@ def franchise_bridge(t: Tables) -> DataFrame:
 
 
 def genre_bridge(t: Tables) -> DataFrame:
-    sup = broadcast_if_bounded(t.supplier.select("s_suppkey", "s_nationkey"), sem.MAX_BROADCAST_DIM_ROWS)
+    # supplier grows with the data: the join strategy is left to the
+    # planner's size statistics and AQE (broadcast while small, else a
+    # shuffle join with skew splitting)
+    sup = t.supplier.select("s_suppkey", "s_nationkey")
     return (t.lineitem.select("l_partkey", "l_suppkey")
              .join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
              .select("l_partkey", "s_nationkey"))
