@@ -82,5 +82,13 @@ def yyyymmdd(d: Column | str) -> Column:
 
 
 def timestamp_to_epoch(ts: Column | str) -> Column:
-    """Timestamp (with or without zone, read as UTC) -> UNIX seconds."""
-    return F.unix_seconds(F.to_utc_timestamp(_c(ts).cast("timestamp_ntz"), "UTC"))
+    """Wall-clock timestamp read as UTC -> UNIX seconds (sub-second part
+    dropped).
+
+    Built from the calendar day and the time-of-day fields of the value cast
+    to ``timestamp_ntz``, so a naive timestamp gives the same seconds under
+    every session time zone.
+    """
+    t = _c(ts).cast("timestamp_ntz")
+    return (F.unix_date(F.to_date(t)).cast("bigint") * SECONDS_PER_DAY
+            + F.hour(t) * 3600 + F.minute(t) * 60 + F.floor(F.second(t)).cast("bigint"))

@@ -65,3 +65,15 @@ def test_exact_fixed_decimal_sums(spark):
     assert r.a == 2.0 / 15
     empty = df.filter("x is null").agg(avg_fixed(F.col("x")).alias("a")).first()
     assert empty.a is None
+
+
+def test_timestamp_to_epoch_any_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(1969, 12, 31, 23, 59, 59),)],
+                               "ts timestamp_ntz")
+    for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            got = [r[0] for r in df.select(S.timestamp_to_epoch("ts")).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == [1704067207, -1], tz
