@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize_shared
+
 # Above this many rank values the rank table is joined by shuffle, not broadcast.
 MAX_BROADCAST_RANKS = 100_000
 
@@ -68,6 +70,32 @@ def dense_top_n(df: DataFrame, metric: str, n: int, ascending: bool = False,
     return _join_ranks(df, dense_rank_values(df, metric, n, ascending, rank_col), metric, n)
 
 
+def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
+                   rank_col: str = "rank") -> DataFrame:
+    """Every row of ``df`` with the dense rank of its ``metric`` (NULL metric
+    -> NULL rank), without a single-partition window.
+
+    The distinct values are range-sorted across partitions (``orderBy``),
+    ranked inside each partition, and shifted by the number of values held
+    by all earlier partitions; that offset table has one row per partition,
+    so it is the only thing that is broadcast. The locally ranked values are
+    checkpointed once: range bounds come from sampling, so evaluating the
+    sort twice could place values differently in the two branches.
+    """
+    m = F.col(metric)
+    values = (df.filter(m.isNotNull()).select(metric).distinct()
+                .orderBy(_order(m, ascending))
+                .withColumn("_part", F.spark_partition_id()))
+    local = materialize_shared(values.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(_order(F.col(metric), ascending)))))
+    sizes = local.groupBy("_part").agg(F.max("_local").alias("_n"))
+    offsets = sizes.select("_part", (F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_offset"))
+    ranks = (local.join(F.broadcast(offsets), "_part")
+                  .select(metric, (F.col("_offset") + F.col("_local")).cast("int").alias(rank_col)))
+    return df.join(ranks, on=metric, how="left")
+
+
 def with_top_n_flag(df: DataFrame, metric: str, n: int, flag_col: str = "is_top_n",
                     rank_col: str = "rank", ascending: bool = False) -> DataFrame:
     """Every row, with its dense rank when within the top ``n`` (else NULL)

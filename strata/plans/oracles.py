@@ -239,7 +239,7 @@ SELECT fk_game, popularity_score, popularity_rank, 1 AS is_top_n FROM ranked WHE
   FROM events WHERE event_type IN ({_in(POPULARITY_TYPE)}) GROUP BY user_id),
 ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY popularity_score DESC) AS INTEGER) AS r FROM per)
 SELECT fk_game, popularity_score,
-       CASE WHEN popularity_score IS NOT NULL AND r <= {TOP_N} THEN r END AS popularity_rank,
+       CASE WHEN popularity_score IS NOT NULL THEN r END AS popularity_rank,
        CASE WHEN popularity_score IS NOT NULL AND r <= {TOP_N} THEN 1 ELSE 0 END AS is_top_n
 FROM ranked""",
     "top5_aspect_rating": _top_labels("genre", "rating"),

@@ -28,6 +28,13 @@ from strata.sources.catalog import DEFAULT_TOP_N, selected_value
 SCORE_SCALE = 2
 
 
+def display_order(df: DataFrame, *order) -> DataFrame:
+    """Result ordering for a visual (L1). Report results are small (top-N
+    plus ties), so they move to one partition and are sorted there: no
+    range-partition sampling pass, and everything upstream stays parallel."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def _facts(model: sem.SemanticModel, filters, status) -> DataFrame:
     status_filter = F.col("status").isin(list(status)) if status else None
     return sem.propagate(model, filters, status_filter)
@@ -58,7 +65,7 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
     modes = (pairs.join(facts.select(model.fact_key, "name"), model.fact_key, "inner")
                   .join(best.select("name"), "name", "left_semi")
                   .groupBy("name").agg(F.min("label").alias("min_mode")))
-    return best.join(modes, "name", "left").orderBy(F.col("avg_weighted_rating").desc(), "name")
+    return display_order(best.join(modes, "name", "left"), F.col("avg_weighted_rating").desc(), "name")
 
 
 def popularity_rank(popularity: DataFrame, entity: str, type_col: str, score: str,
@@ -71,19 +78,22 @@ def popularity_rank(popularity: DataFrame, entity: str, type_col: str, score: st
         rows = rows.filter(F.col(type_col).isin(list(type_values)))
     per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
     ranked = topn.dense_top_n(per, "popularity_score", n, rank_col="popularity_rank")
-    return ranked.withColumn("is_top_n", F.lit(1)).orderBy("popularity_rank", entity)
+    return display_order(ranked.withColumn("is_top_n", F.lit(1)), "popularity_rank", entity)
 
 
 def popularity_flags(popularity: DataFrame, entity: str, type_col: str, score: str,
                      type_values: Iterable | None, n: int | None = None) -> DataFrame:
-    """Every entity with its summed score, its dense rank when within the
-    top N (else NULL) and the 1/0 "is top N" flag (W1 + W2)."""
+    """Every entity with its summed score, its dense rank among all entities
+    and the 1/0 "is top N" flag (W1 + W2: the rank measure and the flag the
+    rank table filters on)."""
     n = n or DEFAULT_TOP_N
     rows = popularity
     if type_values:
         rows = rows.filter(F.col(type_col).isin(list(type_values)))
     per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
-    return topn.with_top_n_flag(per, "popularity_score", n, "is_top_n", "popularity_rank")
+    ranked = topn.dense_rank_all(per, "popularity_score", rank_col="popularity_rank")
+    flag = F.when(F.col("popularity_rank") <= n, 1).otherwise(0)
+    return ranked.withColumn("is_top_n", flag)
 
 
 def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: int = 5,
@@ -101,7 +111,7 @@ def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: i
     else:
         raise ValueError(f"unknown metric {metric!r}")
     per = sem.metric_by_label(model, dim, aggs, facts)
-    return topn.top_n_with_ties(per, key, n).orderBy(F.col(key).desc(), "label")
+    return display_order(topn.top_n_with_ties(per, key, n), F.col(key).desc(), "label")
 
 
 def top_labels_for_aspect(model: sem.SemanticModel, aspect_to_dim: Mapping[str, str],
@@ -132,7 +142,7 @@ def wishlist_top(fact: DataFrame, n: int = 5) -> DataFrame:
     ties kept (Q12: P7 A4 L2)."""
     per = (fact.filter(F.col("date_first_release").isNull())
                .groupBy("name").agg(F.sum("wishlist_count").cast("bigint").alias("wishlist_count")))
-    return topn.top_n_with_ties(per, "wishlist_count", n).orderBy(F.col("wishlist_count").desc(), "name")
+    return display_order(topn.top_n_with_ties(per, "wishlist_count", n), F.col("wishlist_count").desc(), "name")
 
 
 def types_with_known_status(popularity: DataFrame, fact: DataFrame, game_col: str,

@@ -29,6 +29,8 @@ flattened array, game type = nation (many-to-one).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +60,44 @@ ASPECT_TO_DIM = {
 }
 
 
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
+def _file_signature(path: str):
+    """(mtime, size) of a local file, or of a folder's files; None when the
+    path is not local (then nothing is cached)."""
+    if "://" in path and not path.startswith("file:"):
+        return None
+    local = path.removeprefix("file:")
+    if not os.path.exists(local):
+        return None
+    if os.path.isfile(local):
+        st_ = os.stat(local)
+        return (st_.st_mtime_ns, st_.st_size)
+    sig = []
+    for root, _, files in os.walk(local):
+        for f in sorted(files):
+            st_ = os.stat(os.path.join(root, f))
+            sig.append((f, st_.st_mtime_ns, st_.st_size))
+    return tuple(sig)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` whose resolved relation (file listing, footer
+    schema) is reused while the local files are unchanged."""
+    sig = _file_signature(path)
+    if sig is None:
+        return spark.read.parquet(path)
+    key = (id(spark), path, sig)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
+
+
 class Tables:
-    """Lazy readers for the driver's parquet tables."""
+    """Lazy readers for the driver's parquet tables; each table is resolved
+    once and the same frame is reused, which also lets the planner recognise
+    repeated scans of it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
@@ -67,7 +105,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        frames = self.__dict__.setdefault("_frames", {})
+        if name not in frames:
+            frames[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return frames[name]
 
 
 def item_measures(lineitem: DataFrame) -> DataFrame:
@@ -116,20 +157,20 @@ def status_dim(t: Tables) -> DataFrame:
     return t.region.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("status"))
 
 
-def clean_items(t: Tables) -> DataFrame:
-    return silver.clean_games(raw_items(t))
+def clean_items(t: Tables, raw: DataFrame | None = None) -> DataFrame:
+    return silver.clean_games(raw_items(t) if raw is None else raw)
 
 
-def item_fact(t: Tables) -> DataFrame:
+def item_fact(t: Tables, raw: DataFrame | None = None) -> DataFrame:
     """Game fact on the item catalogue, with the weighted rating. Silver is
     materialized first (as the model persists its silver tables), so the
     prior and the rows read the deduplicated games instead of redoing the
     dedup twice."""
-    return gold.fct_games(materialize_shared(clean_items(t)), status_dim(t))
+    return gold.fct_games(materialize_shared(clean_items(t, raw)), status_dim(t))
 
 
-def franchise_bridge(t: Tables) -> DataFrame:
-    return silver.clean_bridge(raw_items(t), "franchises", "fk_franchise")
+def franchise_bridge(t: Tables, raw: DataFrame | None = None) -> DataFrame:
+    return silver.clean_bridge(raw_items(t) if raw is None else raw, "franchises", "fk_franchise")
 
 
 def genre_bridge(t: Tables) -> DataFrame:
@@ -150,7 +191,8 @@ def mode_bridge(t: Tables) -> DataFrame:
 
 
 def item_model(t: Tables, fact: DataFrame | None = None) -> sem.SemanticModel:
-    fact = item_fact(t) if fact is None else fact
+    raw = raw_items(t)
+    fact = item_fact(t, raw) if fact is None else fact
     nation = t.nation.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
     region = t.region.select(F.col("r_regionkey").cast("bigint").alias("r_regionkey"), "r_name")
     dims = {
@@ -161,7 +203,7 @@ def item_model(t: Tables, fact: DataFrame | None = None) -> sem.SemanticModel:
         "game_mode": sem.Dimension("game_mode", None, "o_orderpriority", None,
                                    mode_bridge(t), "l_partkey", "o_orderpriority"),
         "franchise": sem.Dimension("franchise", region, "r_regionkey", "r_name",
-                                   franchise_bridge(t), "fk_game", "fk_franchise"),
+                                   franchise_bridge(t, raw), "fk_game", "fk_franchise"),
         # many-to-one: the key is read from the fact's own column
         "game_type": sem.Dimension("game_type", nation.withColumnRenamed("n_nationkey", "fk_game_type"),
                                    "fk_game_type", "n_name"),

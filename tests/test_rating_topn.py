@@ -73,3 +73,17 @@ def test_topn_plan_avoids_global_window_over_input(spark):
     w = Window.orderBy(F.col("v").desc())
     naive = df.withColumn("r", F.rank().over(w))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in naive
+
+
+def test_dense_rank_all_matches_window(spark):
+    rnd = random.Random(11)
+    vals = [rnd.choice([None] + list(range(60))) for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v int").repartition(5)
+    got = {r.id: r.rk for r in topn.dense_rank_all(df, "v", rank_col="rk").collect()}
+    distinct = sorted({v for v in vals if v is not None}, reverse=True)
+    want = {i: (None if v is None else distinct.index(v) + 1) for i, v in enumerate(vals)}
+    assert got == want
+    asc = {r.id: r.rk for r in topn.dense_rank_all(df, "v", ascending=True, rank_col="rk").collect()}
+    assert all(asc[i] == (None if v is None else sorted(distinct).index(v) + 1) for i, v in enumerate(vals))
+    plan = topn.dense_rank_all(df, "v")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan  # local ranks come from one checkpointed evaluation
