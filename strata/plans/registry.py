@@ -20,7 +20,7 @@ from strata.operators.flatten import flatten_bridge
 from strata.operators.summarize import summarize
 from strata import schemas as SC
 from strata.plans import reports, silver
-from strata.plans.pipeline import run_daily
+from strata.plans.daily import run_daily
 from strata.plans import standins as st
 from strata.session import scratch_path
 from strata.sources import snapshot as snap

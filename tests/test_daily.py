@@ -4,7 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from strata import schemas as SC
-from strata.plans.pipeline import run_daily
+from strata.plans.daily import run_daily
 from strata.sources import snapshot as snap
 from strata.streaming.snapshots import load_new_snapshots
 from tests.conftest import rows
