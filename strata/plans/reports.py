@@ -148,9 +148,12 @@ def wishlist_top(fact: DataFrame, n: int = 5) -> DataFrame:
 def types_with_known_status(popularity: DataFrame, fact: DataFrame, game_col: str,
                             type_col: str, key: str = "id") -> DataFrame:
     """Popularity types measured for at least one game whose status is known
-    (Q13: P6 + J6 as a semi join)."""
+    (Q13: P6 + J6 as a semi join). (game, type) pairs are deduplicated first
+    -- a partial aggregate on every task -- so a game holding most of the
+    measurements reaches the join as one row per type."""
     known = fact.filter(F.col("status").isNotNull()).select(F.col(key).alias(game_col))
-    return popularity.join(known, game_col, "left_semi").select(type_col).distinct()
+    pairs = popularity.select(game_col, type_col).distinct()
+    return pairs.join(known, game_col, "left_semi").select(type_col).distinct()
 
 
 def drill_by_release(fact: DataFrame, calendar: DataFrame, levels: list[str],
