@@ -79,7 +79,7 @@ def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
     ranked inside each partition, and shifted by the number of values held
     by all earlier partitions; that offset table has one row per partition,
     so it is the only thing that is broadcast. The locally ranked values are
-    checkpointed once: range bounds come from sampling, so evaluating the
+    materialized once: range bounds come from sampling, so evaluating the
     sort twice could place values differently in the two branches.
     """
     m = F.col(metric)
@@ -87,7 +87,8 @@ def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
                 .orderBy(_order(m, ascending))
                 .withColumn("_part", F.spark_partition_id()))
     local = materialize_shared(values.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(_order(F.col(metric), ascending)))))
+        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(_order(F.col(metric), ascending)))),
+        "dense-rank")
     sizes = local.groupBy("_part").agg(F.max("_local").alias("_n"))
     offsets = sizes.select("_part", (F.coalesce(F.sum("_n").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_offset"))

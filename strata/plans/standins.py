@@ -166,7 +166,7 @@ def item_fact(t: Tables, raw: DataFrame | None = None) -> DataFrame:
     materialized first (as the model persists its silver tables), so the
     prior and the rows read the deduplicated games instead of redoing the
     dedup twice."""
-    return gold.fct_games(materialize_shared(clean_items(t, raw)), status_dim(t))
+    return gold.fct_games(materialize_shared(clean_items(t, raw), "silver-clean-items"), status_dim(t))
 
 
 def franchise_bridge(t: Tables, raw: DataFrame | None = None) -> DataFrame:

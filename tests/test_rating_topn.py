@@ -86,4 +86,5 @@ def test_dense_rank_all_matches_window(spark):
     asc = {r.id: r.rk for r in topn.dense_rank_all(df, "v", ascending=True, rank_col="rk").collect()}
     assert all(asc[i] == (None if v is None else sorted(distinct).index(v) + 1) for i, v in enumerate(vals))
     plan = topn.dense_rank_all(df, "v")._jdf.queryExecution().executedPlan().toString()
-    assert "ExistingRDD" in plan  # local ranks come from one checkpointed evaluation
+    # local ranks are read from one materialization, never recomputed
+    assert "_local" in plan and "FileScan parquet" in plan and "row_number" not in plan
