@@ -29,10 +29,10 @@ SCORE_SCALE = 2
 
 
 def display_order(df: DataFrame, *order) -> DataFrame:
-    """Result ordering for a visual (L1). Report results are small (top-N
-    plus ties), so they move to one partition and are sorted there: no
-    range-partition sampling pass, and everything upstream stays parallel."""
-    return df.repartition(1).sortWithinPartitions(*order)
+    """Result ordering for a visual (L1): a distributed, range-partitioned
+    sort. Ties can make a top-N result arbitrarily large, so it is never
+    funnelled into a single partition."""
+    return df.orderBy(*order)
 
 
 def _facts(model: sem.SemanticModel, filters, status) -> DataFrame:

@@ -27,20 +27,49 @@ DEFAULT_CONF = {
 }
 
 
+MiB = 1024 * 1024
+
+
+def partition_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * MiB,
+                       max_split_bytes: int = 512 * MiB) -> dict[str, str]:
+    """Sizing for a job over ``input_bytes`` on ``total_cores`` cores.
+
+    Initial shuffle partitions are sized so each holds about
+    ``target_partition_bytes`` of (pre-aggregation) input, rounded up to a
+    multiple of the core count and at least 2 waves; AQE then coalesces
+    toward the same advisory size after each shuffle and splits skewed ones.
+    Scan splits are capped at ``max_split_bytes`` so a task's input stays
+    well inside executor memory. Example: 100 TiB on 8000 cores gives 416,000
+    shuffle partitions (52 full waves) of ~250 MiB.
+    """
+    cores = max(1, total_cores)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // cores) * cores
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "strata",
               shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, input_bytes: int | None = None,
+              total_cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
     ``master`` is only set when given, so ``spark-submit`` keeps control of it
-    on a cluster. ``shuffle_partitions`` should be sized so one shuffle
-    partition stays in the low hundreds of MB at the target data volume; AQE
-    coalesces the small ones afterwards.
+    on a cluster. Give ``input_bytes`` and ``total_cores`` to size shuffle
+    partitions and scan splits with :func:`partition_settings`, or set
+    ``shuffle_partitions`` directly; AQE coalesces small partitions afterwards.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and total_cores:
+        conf.update(partition_settings(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -77,3 +77,12 @@ def test_timestamp_to_epoch_any_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert got == [1704067207, -1], tz
+
+
+def test_partition_settings_scale():
+    from strata.session import partition_settings
+
+    big = partition_settings(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 416000
+    small = partition_settings(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
