@@ -13,7 +13,7 @@ The BI model's behaviour, re-expressed as joins:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -31,19 +31,25 @@ class Dimension:
     """A dimension reachable from the fact.
 
     ``bridge`` holds (fact key, dimension key) pairs for a many-to-many
-    dimension; for a many-to-one attribute leave it ``None`` and the key is
-    read from the fact itself.
+    dimension -- a frame, or a function building one on first use so unused
+    bridges cost nothing; for a many-to-one attribute leave it ``None`` and the
+    key is read from the fact itself.
     """
 
     name: str
     table: DataFrame | None
     key: str
     label: str | None = None
-    bridge: DataFrame | None = None
+    bridge: DataFrame | Callable[[], DataFrame] | None = None
     bridge_fact_key: str | None = None
     bridge_dim_key: str | None = None
     include_blank: bool = True
 
+    def bridge_frame(self) -> DataFrame | None:
+        if callable(self.bridge):
+            self.bridge = self.bridge()
+        return self.bridge
+
 
 @dataclass
 class SemanticModel:
@@ -73,10 +79,11 @@ def label_pairs(model: SemanticModel, dim_name: str,
     """
     d = model.dims[dim_name]
     fk = model.fact_key
-    if d.bridge is None:
+    bridge = d.bridge_frame()
+    if bridge is None:
         pairs = model.fact.select(F.col(fk), F.col(d.key).alias("_dk"))
     else:
-        pairs = d.bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
+        pairs = bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
     if d.table is None:  # the key is its own label
         return pairs.select(F.col("_dk").alias("label"), fk).distinct()
     dim = d.table.select(F.col(d.key).alias("_dk"), F.col(d.label).alias("label"))
@@ -100,11 +107,12 @@ def fact_keys_with_labels(model: SemanticModel, dim_name: str, labels: Iterable)
         keys = None
     else:
         keys = d.table.filter(F.col(d.label).isin(labels)).select(F.col(d.key).alias("_dk"))
-    if d.bridge is None:
+    bridge = d.bridge_frame()
+    if bridge is None:
         if keys is None:
             return model.fact.filter(F.col(d.key).isin(labels)).select(fk)
         return model.fact.join(keys, model.fact[d.key] == keys["_dk"], "left_semi").select(fk)
-    b = d.bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
+    b = bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
     if keys is None:
         return b.filter(F.col("_dk").isin(labels)).select(fk).distinct()
     return b.join(keys, "_dk", "left_semi").select(fk).distinct()

@@ -1,0 +1,71 @@
+"""Explicit handling of hot join keys.
+
+Aggregations here are always partially aggregated on the map side, so a hot
+key shrinks before any shuffle. Joins cannot do that: every row of a hot key
+goes to the reducer that owns it. AQE's skew-join splitting covers that at run
+time; :func:`salted_join` does it up front, for a join whose hot keys are
+known or found by sampling:
+
+* rows of the large side whose key is hot get a salt in ``[0, buckets)``,
+  a hash of their own columns and their row position -- so even identical
+  copies of a row spread out. Taken directly above a scan the position is
+  reproducible; elsewhere Spark treats the shuffle as indeterminate and
+  re-runs it whole on a retry, and either way every row meets exactly one
+  copy of its partner rows, whatever salt it drew;
+* rows of the other side whose key is hot are replicated once per salt;
+* all other keys keep salt 0 and are joined as usual.
+
+Each large-side row still meets exactly one copy of each matching row, so the
+result equals the unsalted join, while a hot key's rows spread over
+``buckets`` reducers.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALT = "_salt"
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.05, sample_fraction: float = 0.01,
+             max_keys: int = 64, seed: int = 17) -> list:
+    """Keys holding at least ``min_share`` of a sample of ``df``'s rows.
+
+    The sample is counted per key with a partial aggregate and only the
+    ``max_keys`` most frequent keys come back to the driver, so the result is
+    bounded whatever the input size.
+    """
+    sample = df.select(key).sample(fraction=sample_fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = sample.count()
+    if total == 0:
+        return []
+    top = counts.orderBy(F.col("_n").desc()).limit(max_keys).collect()
+    return [r[key] for r in top if r["_n"] >= min_share * total and r[key] is not None]
+
+
+def salt_rows(large: DataFrame, key: str, hot: Sequence, buckets: int) -> DataFrame:
+    """``large`` with a ``_salt`` column: a hash of the row's columns and row
+    position modulo ``buckets`` for hot keys, 0 otherwise."""
+    spread = F.xxhash64(*[F.col(c) for c in large.columns], F.monotonically_increasing_id())
+    salt = F.when(F.col(key).isin(list(hot)), F.pmod(spread, F.lit(buckets)))
+    return large.withColumn(SALT, salt.otherwise(0).cast("int"))
+
+
+def salted_join(large: DataFrame, small: DataFrame, large_key: str, small_key: str,
+                how: str = "inner", hot: Sequence | None = None, buckets: int = 32) -> DataFrame:
+    """``large`` joined to ``small`` on ``large_key == small_key`` with the
+    ``hot`` keys spread over ``buckets`` salts (inner or left joins)."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    if not hot:
+        return large.join(small, large[large_key] == small[small_key], how)
+    hot = list(hot)
+    salted_large = salt_rows(large, large_key, hot, buckets)
+    salts = F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.withColumn(SALT, F.explode(salts))
+    cond = (salted_large[large_key] == salted_small[small_key]) & (salted_large[SALT] == salted_small[SALT])
+    return salted_large.join(salted_small, cond, how).drop(salted_large[SALT]).drop(salted_small[SALT])

@@ -1,0 +1,43 @@
+from pyspark.sql import functions as F
+
+from strata.operators.skew import SALT, hot_keys, salt_rows, salted_join
+from tests.conftest import rows
+
+
+def _data(spark):
+    # key 1 holds a third of the large side
+    large = spark.createDataFrame([(1 if i % 3 == 0 else i, i) for i in range(3000)], "k bigint, v bigint")
+    small = spark.createDataFrame([(k, f"x{k}") for k in range(0, 3000, 2)] + [(1, "hot")], "k2 bigint, label string")
+    return large, small
+
+
+def test_hot_keys_finds_the_heavy_key(spark):
+    large, _ = _data(spark)
+    assert hot_keys(large, "k", sample_fraction=0.5) == [1]
+
+
+def test_salted_join_equals_plain_join(spark):
+    large, small = _data(spark)
+    for how in ("inner", "left"):
+        plain = large.join(small, large.k == small.k2, how)
+        salted = salted_join(large, small, "k", "k2", how, hot=[1], buckets=8)
+        assert salted.columns == plain.columns
+        assert rows(salted) == rows(plain)
+
+
+def test_salt_spreads_the_hot_key(spark):
+    large, _ = _data(spark)
+    salted = salt_rows(large, "k", [1], 8)
+    hot_salts = {r[0] for r in salted.filter(F.col("k") == 1).select(SALT).distinct().collect()}
+    cold_salts = {r[0] for r in salted.filter(F.col("k") != 1).select(SALT).distinct().collect()}
+    assert hot_salts == set(range(8)) and cold_salts == {0}
+    again = {tuple(r) for r in salt_rows(large, "k", [1], 8).collect()}
+    assert again == {tuple(r) for r in salted.collect()}  # deterministic: a retried task salts alike
+
+
+def test_identical_copies_of_a_hot_key_spread(spark):
+    large = spark.createDataFrame([(1, 5)] * 1000 + [(2, 6)], "k bigint, v bigint")
+    small = spark.createDataFrame([(1, "a"), (2, "b")], "k2 bigint, label string")
+    salted = salt_rows(large, "k", [1], 8)
+    assert salted.filter("k = 1").select(SALT).distinct().count() == 8
+    assert rows(salted_join(large, small, "k", "k2", "inner", [1], 8)) == rows(large.join(small, large.k == small.k2))
