@@ -28,8 +28,12 @@ def _join_ranks(df: DataFrame, ranks: DataFrame, metric: str, n: int) -> DataFra
     return df.join(ranks, on=metric, how="inner")
 
 
+def _stable(df: DataFrame, materialize: bool) -> DataFrame:
+    return materialize_shared(df, "topn-input") if materialize else df
+
+
 def top_n_with_ties(df: DataFrame, metric: str, n: int, ascending: bool = False,
-                    rank_col: str | None = None) -> DataFrame:
+                    rank_col: str | None = None, materialize: bool = False) -> DataFrame:
     """Rows whose ``rank()`` by ``metric`` is <= n (ties kept, so the result
     may hold more than n rows); NULL metrics are dropped.
 
@@ -38,6 +42,7 @@ def top_n_with_ties(df: DataFrame, metric: str, n: int, ascending: bool = False,
     """
     if n < 1:
         raise ValueError("n must be >= 1")
+    df = _stable(df, materialize)
     m = F.col(metric)
     nonnull = df.filter(m.isNotNull())
     best_n = nonnull.select(m.alias("_v")).orderBy(_order(F.col("_v"), ascending)).limit(n)
@@ -63,15 +68,16 @@ def dense_rank_values(df: DataFrame, metric: str, n: int, ascending: bool = Fals
 
 
 def dense_top_n(df: DataFrame, metric: str, n: int, ascending: bool = False,
-                rank_col: str = "rank") -> DataFrame:
+                rank_col: str = "rank", materialize: bool = False) -> DataFrame:
     """Rows whose ``dense_rank()`` by ``metric`` is <= n, with that rank."""
     if n < 1:
         raise ValueError("n must be >= 1")
+    df = _stable(df, materialize)
     return _join_ranks(df, dense_rank_values(df, metric, n, ascending, rank_col), metric, n)
 
 
 def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
-                   rank_col: str = "rank") -> DataFrame:
+                   rank_col: str = "rank", materialize: bool = False) -> DataFrame:
     """Every row of ``df`` with the dense rank of its ``metric`` (NULL metric
     -> NULL rank), without a single-partition window.
 
@@ -82,6 +88,7 @@ def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
     materialized once: range bounds come from sampling, so evaluating the
     sort twice could place values differently in the two branches.
     """
+    df = _stable(df, materialize)
     m = F.col(metric)
     values = (df.filter(m.isNotNull()).select(metric).distinct()
                 .orderBy(_order(m, ascending))
@@ -98,9 +105,10 @@ def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
 
 
 def with_top_n_flag(df: DataFrame, metric: str, n: int, flag_col: str = "is_top_n",
-                    rank_col: str = "rank", ascending: bool = False) -> DataFrame:
+                    rank_col: str = "rank", ascending: bool = False, materialize: bool = False) -> DataFrame:
     """Every row, with its dense rank when within the top ``n`` (else NULL)
     and a 1/0 flag (W2)."""
+    df = _stable(df, materialize)
     ranks = dense_rank_values(df, metric, n, ascending, rank_col)
     ranks = F.broadcast(ranks) if n <= MAX_BROADCAST_RANKS else ranks
     out = df.join(ranks, on=metric, how="left")

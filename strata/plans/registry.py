@@ -216,7 +216,7 @@ def q_scatter_points(spark, sf_dir):
 def q_item_count(spark, sf_dir):
     """Q11: games under the status slicer."""
     model = st.item_model(_t(spark, sf_dir))
-    return reports.game_count(reports._facts(model, None, st.STATUS_SELECTION))
+    return reports.game_count(reports.facts_in_context(model, None, st.STATUS_SELECTION))
 
 
 def q_filter_propagation(spark, sf_dir):
@@ -238,7 +238,7 @@ def q_types_with_status(spark, sf_dir):
 def q_label_lists(spark, sf_dir):
     """Q15: game-mode slicer values under the status slicer."""
     model = st.item_model(_t(spark, sf_dir))
-    facts = reports._facts(model, None, ["EUROPE"])
+    facts = reports.facts_in_context(model, None, ["EUROPE"])
     return reports.slicer_values(model, "game_mode", facts)
 
 

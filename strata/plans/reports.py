@@ -35,7 +35,8 @@ def display_order(df: DataFrame, *order) -> DataFrame:
     return df.orderBy(*order)
 
 
-def _facts(model: sem.SemanticModel, filters, status) -> DataFrame:
+def facts_in_context(model: sem.SemanticModel, filters, status) -> DataFrame:
+    """Fact rows under dimension filters plus a status slicer (J6 + P5)."""
     status_filter = F.col("status").isin(list(status)) if status else None
     return sem.propagate(model, filters, status_filter)
 
@@ -53,7 +54,7 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
               status: Iterable[str] | None = None, n: int = 3, mode_dim: str = "game_mode") -> DataFrame:
     """Top-``n`` names by average weighted rating, ties kept, with their
     summed reviews and their first game-mode label (Q5: J6 A5 A4 A7 L2 J7)."""
-    facts = _facts(model, filters, status)
+    facts = facts_in_context(model, filters, status)
     per_name = facts.groupBy("name").agg(
         avg_fixed(F.col("weighted_rating"), SCORE_SCALE).alias("avg_weighted_rating"),
         F.sum("num_of_reviews").cast("bigint").alias("sum_reviews"))

@@ -88,3 +88,13 @@ def test_dense_rank_all_matches_window(spark):
     plan = topn.dense_rank_all(df, "v")._jdf.queryExecution().executedPlan().toString()
     # local ranks are read from one materialization, never recomputed
     assert "_local" in plan and "FileScan parquet" in plan and "row_number" not in plan
+
+
+def test_materialized_float_metrics(spark):
+    df = spark.createDataFrame([(i % 13, 0.1 * (i % 7)) for i in range(400)], "g int, x double").repartition(6)
+    per = df.groupBy("g").agg(F.sum("x").alias("s"))
+    got = topn.top_n_with_ties(per, "s", 3, rank_col="rk", materialize=True)
+    want = per.withColumn("rk", F.rank().over(Window.orderBy(F.col("s").desc()))).filter("rk <= 3")
+    assert sorted((r.g, r.rk) for r in got.collect()) == sorted((r.g, r.rk) for r in want.collect())
+    flags = topn.with_top_n_flag(per, "s", 2, rank_col="rk", materialize=True)
+    assert flags.count() == 13 and flags.filter("is_top_n = 1").count() >= 2
