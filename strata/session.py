@@ -80,6 +80,14 @@ def get_spark(master: str | None = None, app: str = "strata",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -87,15 +95,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     tests) is ``fallback`` -- or a fresh folder under the system temp dir --
     installed, so a cluster never ends up writing to a machine-local path.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return spark.sparkContext.getCheckpointDir() or current
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return (sc.getCheckpointDir() if sc is not None else None) or current
     path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), f"strata-ckpt-{uuid.uuid4().hex[:8]}")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir()
+    return path
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
