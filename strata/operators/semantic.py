@@ -44,6 +44,7 @@ class Dimension:
     bridge_fact_key: str | None = None
     bridge_dim_key: str | None = None
     include_blank: bool = True
+    both_directions: bool = True  # False: the dimension filters the fact, not the reverse
 
     def bridge_frame(self) -> DataFrame | None:
         if callable(self.bridge):
@@ -153,7 +154,12 @@ def metric_by_label(model: SemanticModel, dim_name: str, aggs: Mapping[str, Colu
 
 
 def label_values(model: SemanticModel, dim_name: str, facts: DataFrame | None = None) -> DataFrame:
-    """The labels a slicer offers under the filters that reach it."""
+    """The labels a slicer offers under the filters that reach it.
+    A one-way dimension is not filtered by the fact, so it offers all its
+    labels."""
+    d = model.dims[dim_name]
+    if not d.both_directions and d.table is not None:
+        return d.table.select(F.col(d.label).alias("label")).distinct()
     facts = model.fact if facts is None else facts
     pairs = label_pairs(model, dim_name)
     return pairs.join(facts.select(model.fact_key), model.fact_key, "left_semi").select("label").distinct()

@@ -28,6 +28,26 @@ from strata.sources.catalog import DEFAULT_TOP_N, selected_value
 SCORE_SCALE = 2
 
 
+# Which slicer reaches which visual of the report page (the
+# page's default is "filters"; these are the pairs left on).
+SLICERS = ("game_mode", "status", "popularity_type", "aspect", "top_n")
+FILTER_MATRIX = {
+    "top3_rated": {"game_mode", "status"},
+    "popularity_rank": {"status", "popularity_type", "top_n"},
+    "top5_by_rating": {"status", "aspect"},
+    "top5_by_reviews": {"status", "aspect"},
+    "scatter": {"status"},
+    "game_count": {"status"},
+    "most_wishlisted": set(),
+}
+
+
+def context_for(visual: str, selections: Mapping[str, Iterable | None]) -> dict:
+    """The slicer selections that reach ``visual``; the others are dropped."""
+    reach = FILTER_MATRIX[visual]
+    return {k: v for k, v in selections.items() if k in reach and v}
+
+
 def display_order(df: DataFrame, *order) -> DataFrame:
     """Result ordering for a visual (L1): a distributed, range-partitioned
     sort. Ties can make a top-N result arbitrarily large, so it is never

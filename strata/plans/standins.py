@@ -209,9 +209,9 @@ def item_model(t: Tables, fact: DataFrame | None = None) -> sem.SemanticModel:
                                    lambda: mode_bridge(t), "l_partkey", "o_orderpriority"),
         "franchise": sem.Dimension("franchise", region, "r_regionkey", "r_name",
                                    lambda: franchise_bridge(t, raw), "fk_game", "fk_franchise"),
-        # many-to-one: the key is read from the fact's own column
+        # many-to-one and one-way: the key is read from the fact's own column
         "game_type": sem.Dimension("game_type", nation.withColumnRenamed("n_nationkey", "fk_game_type"),
-                                   "fk_game_type", "n_name"),
+                                   "fk_game_type", "n_name", both_directions=False),
     }
     return sem.SemanticModel(fact, "id", dims)
 

@@ -109,6 +109,17 @@ def union_pages(frames: Iterable[DataFrame]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
 
 
+def read_pages(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+    """Read raw JSON pages (one array or one object per line/file) as one
+    frame (S5 on storage): columns are merged by name across all pages and a
+    field absent from a page is NULL; every page file is read in parallel.
+    """
+    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.json(list(paths) if not isinstance(paths, str) else paths)
+
+
 def land_snapshot(df: DataFrame, base: str, run_date: str, entity: str,
                   zstd_level: int = 3) -> str:
     """Write one entity's snapshot as zstd Parquet in its day folder.

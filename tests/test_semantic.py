@@ -79,3 +79,21 @@ def test_hot_game_in_bridge_is_reduced_before_shuffle(spark):
     plan = sem.label_pairs(m, "genre")._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.rfind("Exchange hashpartitioning")
     assert "HashAggregate" in plan[first_exchange:], "no partial aggregate below the first shuffle"
+
+
+def test_one_way_dimension_lists_all_labels(spark):
+    m = _model(spark)
+    m.dims["type"].both_directions = False
+    facts = sem.propagate(m, {"genre": ["Shooter"]})
+    assert rows(sem.label_values(m, "type", facts)) == [("DLC",), ("Main",)]
+    m.dims["type"].both_directions = True
+    assert rows(sem.label_values(m, "type", facts)) == [("DLC",)]
+
+
+def test_filter_matrix_context():
+    from strata.plans.reports import context_for
+
+    sel = {"game_mode": ["Battle Royale"], "status": ["Released"], "popularity_type": ["Peak"], "top_n": [25]}
+    assert context_for("top3_rated", sel) == {"game_mode": ["Battle Royale"], "status": ["Released"]}
+    assert context_for("most_wishlisted", sel) == {}
+    assert set(context_for("popularity_rank", sel)) == {"status", "popularity_type", "top_n"}

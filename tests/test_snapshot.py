@@ -74,3 +74,18 @@ def test_catalog_helpers(spark, tmp_path):
     assert C.ref(spark, "gold", "t").count() == 1 and view.count() == 1
     tbl = C.materialize(df, "silver", "t", kind="table", base=str(tmp_path))
     assert tbl.count() == 1 and os.path.isdir(tmp_path / "silver" / "t")
+
+
+def test_read_json_pages_merges_by_name(spark, tmp_path):
+    import json
+
+    pages = [[{"id": 1, "name": "A", "genres": [1, 2]}], [{"id": 2, "total_rating": 80.5}], []]
+    paths = []
+    for i, page in enumerate(pages):
+        p = tmp_path / f"page{i}.json"
+        p.write_text(json.dumps(page))
+        paths.append(str(p))
+    df = snap.read_pages(spark, paths)
+    assert set(df.columns) == {"id", "name", "genres", "total_rating"}
+    got = {r.id: (r.name, r.total_rating) for r in df.collect()}
+    assert got == {1: ("A", None), 2: (None, 80.5)}
