@@ -1,8 +1,5 @@
-import datetime as dt
 import tempfile
 
-from pyspark.sql import functions as F
-
 from strata import schemas as SC
 from strata.plans.daily import run_daily
 from strata.sources import snapshot as snap
