@@ -61,13 +61,23 @@ def facts_in_context(model: sem.SemanticModel, filters, status) -> DataFrame:
     return sem.propagate(model, filters, status_filter)
 
 
-def most_wishlisted(fact: DataFrame) -> DataFrame:
+def first_in_order(col: str, collation: str | None = None) -> Column:
+    """The first value of ``col`` in sort order (A7/A10). Spark compares text
+    by code point; pass e.g. ``collation="UNICODE_CI"`` to order ignoring case
+    as the BI tool does. The result is returned as a plain string."""
+    if collation is None:
+        return F.min(col)
+    return F.collate(F.min(F.collate(F.col(col), collation)), "UTF8_BINARY")
+
+
+def most_wishlisted(fact: DataFrame, collation: str | None = None) -> DataFrame:
     """Highest wishlist among unreleased games and the game holding it;
     on ties the first name in sort order (Q4: P7, A8, P9, A10). One row."""
     unreleased = fact.filter(F.col("date_first_release").isNull())
     top = unreleased.agg(F.max("wishlist_count")).scalar()
     return (unreleased.filter(F.col("wishlist_count") == top)
-                      .agg(F.min("name").alias("name"), F.max("wishlist_count").alias("wishlist_count")))
+                      .agg(first_in_order("name", collation).alias("name"),
+                           F.max("wishlist_count").alias("wishlist_count")))
 
 
 def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None = None,
@@ -146,11 +156,12 @@ def top_labels_for_aspect(model: sem.SemanticModel, aspect_to_dim: Mapping[str,
     return top_labels(model, aspect_to_dim[chosen], metric, n, facts)
 
 
-def scatter_points(fact: DataFrame) -> DataFrame:
+def scatter_points(fact: DataFrame, collation: str | None = None) -> DataFrame:
     """Distinct (reviews, weighted rating) points with a representative
     (first) name; unrated games are not plotted (Q10: A11)."""
     return (fact.filter(F.col("weighted_rating").isNotNull())
-                .groupBy("num_of_reviews", "weighted_rating").agg(F.min("name").alias("name")))
+                .groupBy("num_of_reviews", "weighted_rating")
+                .agg(first_in_order("name", collation).alias("name")))
 
 
 def game_count(facts: DataFrame, key: str = "id") -> DataFrame:

@@ -85,3 +85,12 @@ def test_drill_levels(spark):
     out = reports.drill_by_release(fact, cal, ["Year", "QuarterName"], {"n": F.count("id")})
     got = sorted((r.Year or 0, r.QuarterName or "", r.drill_level, r.n) for r in out.collect())
     assert (0, "", 0, 3) in got and (2024, "", 1, 2) in got and (2024, "Q2", 2, 1) in got
+
+
+def test_case_insensitive_first_name_is_opt_in(spark):
+    fact = spark.createDataFrame([(1, "a", 10, None), (2, "B", 10, None)],
+                                 "id bigint, name string, wishlist_count bigint, date_first_release date")
+    assert reports.most_wishlisted(fact).first().name == "B"  # code-point order
+    out = reports.most_wishlisted(fact, collation="UNICODE_CI")
+    assert out.first().name == "a"
+    assert out.schema["name"].dataType.simpleString() == "string"
