@@ -41,3 +41,21 @@ def test_filters_reach_the_scan(plans):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,purchase\)", plans["popularity_rank"])
     assert re.search(r"PushedFilters: \[[^\]]*value", plans["dq_range"])
     assert re.search(r"PushedFilters: \[[^\]]*p_size", plans["union_pages"])
+
+
+BOUNDED_CHILDREN = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject",
+                    "GlobalLimit", "LocalLimit", "CollectLimit")
+
+
+def test_single_partition_exchanges_only_take_bounded_input(plans):
+    """Every move to one partition (global aggregate, rank over the <= n
+    threshold values, per-partition offsets) reads an aggregate or a top-k,
+    never raw rows."""
+    for name, plan in plans.items():
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            child = next((ln for ln in lines[i + 1:] if re.search(r"\+- |:- ", ln)), "")
+            op = re.sub(r"^[\s:|+\-]*", "", child).split("(")[0].split(" ")[0]
+            assert op in BOUNDED_CHILDREN, f"{name}: SinglePartition over {op}"
