@@ -9,6 +9,7 @@ rows instead of failing the load, and replaces the target wholesale.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,28 +151,50 @@ def refresh_table(df: DataFrame, name: str | None = None, path: str | None = Non
         writer.format("parquet").saveAsTable(name)
 
 
+def publish_flagged(spark: SparkSession, flagged: DataFrame, root: str, tag: str) -> str:
+    """Write flagged rows as a new version of a bronze root and make it current.
+
+    The rows go to ``{root}/versions/{tag}-{id}`` partitioned by
+    ``_load_status``; only after that write succeeds is the one-row
+    ``{root}/_current`` pointer replaced. A failed load therefore never leaves
+    readers with an empty or half-written table (the truncate-then-load gap).
+    Older versions stay until removed by the operator.
+    """
+    status = F.when(F.col(BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
+    version = f"{root.rstrip('/')}/versions/{tag}-{uuid.uuid4().hex[:10]}"
+    flagged.withColumn(LOAD_STATUS, status).write.mode("overwrite").partitionBy(LOAD_STATUS).parquet(version)
+    (spark.createDataFrame([(version,)], "path string").coalesce(1)
+          .write.mode("overwrite").json(f"{root.rstrip('/')}/_current"))
+    return version
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The version folder a bronze root's pointer names (one tiny read)."""
+    return spark.read.schema("path string").json(f"{root.rstrip('/')}/_current").first()["path"]
+
+
 def load_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
                 target_base: str, max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> str:
-    """Full-refresh one entity's bronze folder from its snapshot.
+    """Full-refresh one entity's bronze table from its snapshot.
 
     One scan and one write: rows are flagged against the contract and written
     partitioned by ``_load_status`` (``loaded`` / ``quarantined``), so the
     good table and its quarantine are replaced together and the raw file is
-    read once. Returns the bronze root; read it with :func:`read_bronze`.
+    read once. The new version becomes visible only once complete. Returns
+    the bronze root; read it with :func:`read_bronze`.
     """
     raw = spark.read.parquet(snapshot_path(base, run_date, entity))
     flagged = flag_bad_rows(raw, schema, max_text, unbounded_text)
-    status = F.when(F.col(BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
     root = f"{target_base.rstrip('/')}/bronze/{entity}"
-    (flagged.withColumn(LOAD_STATUS, status)
-            .write.mode("overwrite").partitionBy(LOAD_STATUS).parquet(root))
+    publish_flagged(spark, flagged, root, run_date)
     return root
 
 
 def read_bronze(spark: SparkSession, root: str, quarantined: bool = False) -> DataFrame:
-    """The loaded rows (or the quarantined ones, with their reason) of a
-    bronze root; the status filter prunes to one partition folder."""
-    df = spark.read.parquet(root)
+    """The loaded rows (or the quarantined ones, with their reason) of the
+    current version of a bronze root; the status filter prunes to one
+    partition folder."""
+    df = spark.read.parquet(current_version(spark, root))
     want = "quarantined" if quarantined else "loaded"
     df = df.filter(F.col(LOAD_STATUS) == want).drop(LOAD_STATUS)
     return df if quarantined else df.drop(BAD_REASON)

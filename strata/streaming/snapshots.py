@@ -37,9 +37,7 @@ def _refresh_latest(contract: T.StructType, root: str, unbounded_text):
         latest = batch.agg(F.max(RUN_DATE)).scalar()
         rows = batch.filter(F.col(RUN_DATE) == latest).drop(RUN_DATE)
         flagged = snap.flag_bad_rows(rows, contract, unbounded_text=unbounded_text)
-        status = F.when(F.col(snap.BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
-        (flagged.withColumn(snap.LOAD_STATUS, status)
-                .write.mode("overwrite").partitionBy(snap.LOAD_STATUS).parquet(root))
+        snap.publish_flagged(batch.sparkSession, flagged, root, f"batch{batch_id}")
     return handle
 
 

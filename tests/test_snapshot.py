@@ -89,3 +89,14 @@ def test_read_json_pages_merges_by_name(spark, tmp_path):
     assert set(df.columns) == {"id", "name", "genres", "total_rating"}
     got = {r.id: (r.name, r.total_rating) for r in df.collect()}
     assert got == {1: ("A", None), 2: (None, 80.5)}
+
+
+def test_failed_load_keeps_current_table(spark):
+    base = tempfile.mkdtemp(prefix="strata-atomic-")
+    good = spark.createDataFrame([(1, "A", "10.5")], "id bigint, name string, total_rating string")
+    snap.land_snapshot(good, base, "20240101", "raw_games")
+    root = snap.load_all(spark, base, "20240101", {"raw_games": CONTRACT}, base)["raw_games"]
+    before = rows(snap.read_bronze(spark, root), "id", "name")
+    with pytest.raises(Exception):
+        snap.load_all(spark, base, "20240102", {"raw_games": CONTRACT}, base)  # snapshot missing
+    assert rows(snap.read_bronze(spark, root), "id", "name") == before == [(1, "A")]
