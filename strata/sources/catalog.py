@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -18,6 +20,31 @@ ASPECT_CHOICES = [
 ]
 
 
+def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as a new version folder of the table at ``root``, then
+    point ``{root}/_current`` at it. Readers (:func:`read_current`) never see
+    a missing or half-written table; the previous version stays readable
+    until the new one is complete."""
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    version = f"{root}/versions/{tag}-{uuid.uuid4().hex[:10]}"
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(version)
+    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    return version
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The version folder the table's pointer names (one tiny read)."""
+    return spark.read.schema("path string").json(f"{root.rstrip('/')}/_current").first()["path"]
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(current_version(spark, root))
+
+
 def schema_name(custom: str | None, default: str) -> str:
     """A model's configured layer name is used as-is, else the default."""
     return custom.strip() if custom and custom.strip() else default
@@ -29,8 +56,9 @@ def view_name(layer: str, name: str) -> str:
 
 def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
                 base: str | None = None) -> DataFrame:
-    """Publish a model (S8): ``table`` persists it (Parquet under ``base`` if
-    given, else a catalog table ``layer.name``); ``view`` only registers the
+    """Publish a model (S8): ``table`` persists it (a new Parquet version
+    under ``base`` made current by :func:`publish`, else a catalog table
+    ``layer.name``); ``view`` only registers the
     plan, so it is recomputed -- and optimized together with its consumer --
     at read time. Returns the frame consumers should read."""
     spark = df.sparkSession
@@ -41,9 +69,8 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
     if kind != "table":
         raise ValueError(f"unknown materialization {kind!r}")
     if base is not None:
-        path = f"{base.rstrip('/')}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
+        root = f"{base.rstrip('/')}/{layer}/{name}"
+        out = spark.read.parquet(publish(df, root, name))
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
         df.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")

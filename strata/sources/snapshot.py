@@ -9,13 +9,14 @@ rows instead of failing the load, and replaces the target wholesale.
 from __future__ import annotations
 
 import functools
-import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.catalog import publish, read_current
+
 BAD_REASON = "_bad_reason"
 LOAD_STATUS = "_load_status"
 MAX_TEXT = 255
@@ -152,25 +153,11 @@ def refresh_table(df: DataFrame, name: str | None = None, path: str | None = Non
 
 
 def publish_flagged(spark: SparkSession, flagged: DataFrame, root: str, tag: str) -> str:
-    """Write flagged rows as a new version of a bronze root and make it current.
-
-    The rows go to ``{root}/versions/{tag}-{id}`` partitioned by
-    ``_load_status``; only after that write succeeds is the one-row
-    ``{root}/_current`` pointer replaced. A failed load therefore never leaves
-    readers with an empty or half-written table (the truncate-then-load gap).
-    Older versions stay until removed by the operator.
-    """
+    """Publish flagged rows as the new current version of a bronze root,
+    partitioned by ``_load_status``; see :func:`strata.sources.catalog.publish`
+    (a failed load never leaves readers with an empty or half-written table)."""
     status = F.when(F.col(BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
-    version = f"{root.rstrip('/')}/versions/{tag}-{uuid.uuid4().hex[:10]}"
-    flagged.withColumn(LOAD_STATUS, status).write.mode("overwrite").partitionBy(LOAD_STATUS).parquet(version)
-    (spark.createDataFrame([(version,)], "path string").coalesce(1)
-          .write.mode("overwrite").json(f"{root.rstrip('/')}/_current"))
-    return version
-
-
-def current_version(spark: SparkSession, root: str) -> str:
-    """The version folder a bronze root's pointer names (one tiny read)."""
-    return spark.read.schema("path string").json(f"{root.rstrip('/')}/_current").first()["path"]
+    return publish(flagged.withColumn(LOAD_STATUS, status), root, tag, [LOAD_STATUS])
 
 
 def load_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
@@ -194,7 +181,7 @@ def read_bronze(spark: SparkSession, root: str, quarantined: bool = False) -> Da
     """The loaded rows (or the quarantined ones, with their reason) of the
     current version of a bronze root; the status filter prunes to one
     partition folder."""
-    df = spark.read.parquet(current_version(spark, root))
+    df = read_current(spark, root)
     want = "quarantined" if quarantined else "loaded"
     df = df.filter(F.col(LOAD_STATUS) == want).drop(LOAD_STATUS)
     return df if quarantined else df.drop(BAD_REASON)

@@ -73,7 +73,8 @@ def test_catalog_helpers(spark, tmp_path):
     view = C.materialize(df, "gold", "t", kind="view")
     assert C.ref(spark, "gold", "t").count() == 1 and view.count() == 1
     tbl = C.materialize(df, "silver", "t", kind="table", base=str(tmp_path))
-    assert tbl.count() == 1 and os.path.isdir(tmp_path / "silver" / "t")
+    assert tbl.count() == 1 and os.path.isdir(tmp_path / "silver" / "t" / "versions")
+    assert C.read_current(spark, str(tmp_path / "silver" / "t")).count() == 1
 
 
 def test_read_json_pages_merges_by_name(spark, tmp_path):
