@@ -202,6 +202,14 @@ FROM events""",
        event_type AS fk_popularity_type, CAST(value AS DOUBLE) AS popularity_score,
        {_date_from_epoch("CAST(floor(epoch(ts)) AS BIGINT)")} AS date_measured_at
 FROM events""",
+    "fct_daily_popularity": f"""SELECT CAST(event_id AS BIGINT) AS "Popularity ID", CAST(user_id AS BIGINT) AS "Game ID",
+       event_type AS "Popularity type ID", CAST(value AS DOUBLE) AS "Popularity score",
+       {_date_from_epoch("CAST(floor(epoch(ts)) AS BIGINT)")} AS "Date popularity measured at"
+FROM events""",
+    "dim_platform": f"""WITH first_ship AS (SELECT l_suppkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_suppkey)
+SELECT CAST(s.s_suppkey AS BIGINT) AS "Platform ID", s.s_name AS "Platform name",
+       {_date_from_epoch("CAST(floor(epoch(f.first_ship)) AS BIGINT)")} AS "Date platform created"
+FROM supplier s LEFT JOIN first_ship f ON s.s_suppkey = f.l_suppkey""",
     "union_pages": """SELECT p_partkey, p_name, p_brand FROM part WHERE p_size <= 10
 UNION ALL BY NAME
 SELECT p_partkey, p_name, p_type FROM part WHERE p_size > 10 AND p_size <= 30

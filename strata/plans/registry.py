@@ -19,7 +19,7 @@ from strata.operators import semantic as sem
 from strata.operators.flatten import flatten_bridge
 from strata.operators.summarize import summarize
 from strata import schemas as SC
-from strata.plans import reports, silver
+from strata.plans import gold, reports, silver
 from strata.plans.daily import run_daily
 from strata.plans import standins as st
 from strata.session import scratch_path
@@ -80,6 +80,23 @@ def q_popularity_fact(spark, sf_dir):
     return silver.clean_popularity(raw, type_as_id=False)
 
 
+def q_dim_platform(spark, sf_dir):
+    """Q1b + Q2c: the platform lookup (supplier; created = epoch of its first
+    shipment) cleaned to a UTC date and published with display names."""
+    t = _t(spark, sf_dir)
+    first = t.lineitem.groupBy("l_suppkey").agg(F.min("l_shipdate").alias("_first"))
+    raw = (t.supplier.join(first, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+             .select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                     S.timestamp_to_epoch("_first").alias("created_at")))
+    return gold.with_display_names(silver.clean_lookup(raw), gold.DISPLAY_NAMES["dim_platform"])
+
+
+def q_fct_daily_popularity(spark, sf_dir):
+    """The popularity fact published with display names."""
+    clean = q_popularity_fact(spark, sf_dir)
+    return gold.with_display_names(gold.fct_daily_popularity(clean), gold.DISPLAY_NAMES["fct_daily_popularity"])
+
+
 # ---- ingest ----------------------------------------------------------------
 
 def q_union_pages(spark, sf_dir):
@@ -332,6 +349,8 @@ QUERIES: dict[str, Query] = {
     "bridge_flatten": q_bridge_flatten,
     "embedding_flatten": q_embedding_flatten,
     "popularity_fact": q_popularity_fact,
+    "fct_daily_popularity": q_fct_daily_popularity,
+    "dim_platform": q_dim_platform,
     "union_pages": q_union_pages,
     "schema_align": q_schema_align,
     "bad_rows": q_bad_rows,
