@@ -48,3 +48,30 @@ def run_daily(spark: SparkSession, landing_base: str, run_date: str, warehouse:
     if fail_on_test:
         assert_checks(tests)
     return RunResult(bronze, silver, gold, tests)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit -m strata.plans.daily --landing L --run-date D --warehouse W``
+
+    Runs one day; exits non-zero when any column test fails.
+    """
+    import argparse
+
+    from strata.session import get_spark
+
+    ap = argparse.ArgumentParser(description="Load one day's snapshot and rebuild all layers.")
+    ap.add_argument("--landing", required=True, help="base folder holding raw/{run_date}/{entity}.parquet")
+    ap.add_argument("--run-date", required=True, help="yyyyMMdd")
+    ap.add_argument("--warehouse", required=True, help="base folder for bronze/silver tables")
+    ap.add_argument("--no-fail-on-test", action="store_true", help="report failing tests without failing")
+    args = ap.parse_args(argv)
+    spark = get_spark(app=f"strata-daily-{args.run_date}")
+    result = run_daily(spark, args.landing, args.run_date, args.warehouse, fail_on_test=False)
+    failed = result.tests.filter("failures > 0").collect()  # one row per check: bounded
+    for r in failed:
+        print(f"FAILED {r['table']}.{r['check']}: {r['failures']}")
+    return 1 if failed and not args.no_fail_on_test else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

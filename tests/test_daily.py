@@ -60,3 +60,13 @@ def test_stream_loads_latest_snapshot(spark):
     snap.land_snapshot(spark.createDataFrame([(7, "Offline")], schema), base, "20240103", "raw_gamestatus")
     load_new_snapshots(spark, base, "raw_gamestatus", file_schema, contract, base, ckpt)
     assert rows(snap.read_bronze(spark, f"{base}/bronze/raw_gamestatus"), "id", "status") == [(7, "Offline")]
+
+
+def test_command_line_run(spark):
+    from strata.plans.daily import main
+
+    base = tempfile.mkdtemp(prefix="strata-cli-")
+    _land_all(spark, base, "20240105")
+    # the fixture has two failing checks (duplicate game id, two popularity rows for one game)
+    assert main(["--landing", base, "--run-date", "20240105", "--warehouse", base]) == 1
+    assert main(["--landing", base, "--run-date", "20240105", "--warehouse", base, "--no-fail-on-test"]) == 0
