@@ -51,7 +51,7 @@ def run_daily(spark: SparkSession, landing_base: str, run_date: str, warehouse:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit -m strata.plans.daily --landing L --run-date D --warehouse W``
+    """``spark-submit --py-files strata.zip strata/plans/daily.py --landing L --run-date D --warehouse W``
 
     Runs one day; exits non-zero when any column test fails.
     """
