@@ -1 +1 @@
-"""Structured Streaming entry points (arrival-driven snapshot loading)."""
+"""Structured Streaming entry points (arrival-driven loading and daily rebuilds)."""

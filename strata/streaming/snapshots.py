@@ -55,3 +55,35 @@ def load_new_snapshots(spark: SparkSession, landing_base: str, entity: str, file
     if wait:
         q.awaitTermination()
     return q
+
+
+def run_on_arrival(spark: SparkSession, landing_base: str, warehouse: str, checkpoint: str,
+                   marker_entity: str = "raw_games", contracts: dict | None = None,
+                   fail_on_test: bool = False, wait: bool = True) -> StreamingQuery:
+    """Rebuild every layer when a new day has landed (the source's "load,
+    then trigger the transform run" hand-off, driven by arrival).
+
+    The stream watches the landing folder for the ``marker_entity`` file of
+    each run date; each micro-batch runs :func:`strata.plans.daily.run_daily`
+    for the newest run date it saw (a backlog of days collapses to the latest,
+    as a daily full refresh would). Only the batch's distinct run dates -- a
+    handful of strings -- reach the driver.
+    """
+    from strata.plans.daily import run_daily
+
+    file_schema = spark.read.parquet(f"{landing_base.rstrip('/')}/raw/*/{marker_entity}.parquet").schema
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        dates = [r[0] for r in batch.select(RUN_DATE).distinct().collect()]
+        if dates:
+            run_daily(batch.sparkSession, landing_base, max(dates), warehouse, contracts,
+                      fail_on_test=fail_on_test)
+
+    q = (landed_stream(spark, landing_base, marker_entity, file_schema)
+         .writeStream.foreachBatch(handle)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True)
+         .start())
+    if wait:
+        q.awaitTermination()
+    return q

@@ -70,3 +70,17 @@ def test_command_line_run(spark):
     # the fixture has two failing checks (duplicate game id, two popularity rows for one game)
     assert main(["--landing", base, "--run-date", "20240105", "--warehouse", base]) == 1
     assert main(["--landing", base, "--run-date", "20240105", "--warehouse", base, "--no-fail-on-test"]) == 0
+
+
+def test_run_on_arrival(spark):
+    from strata.sources import catalog as C
+    from strata.streaming.snapshots import run_on_arrival
+
+    base = tempfile.mkdtemp(prefix="strata-arrival-")
+    ckpt = tempfile.mkdtemp(prefix="strata-arrival-ckpt-")
+    _land_all(spark, base, "20240201", n_games=2)
+    run_on_arrival(spark, base, base, ckpt)
+    assert C.read_current(spark, f"{base}/silver/clean_games").count() == 3  # 2 games + 1 conflicting row
+    _land_all(spark, base, "20240202", n_games=4)
+    run_on_arrival(spark, base, base, ckpt)
+    assert C.read_current(spark, f"{base}/silver/clean_games").count() == 5
