@@ -233,6 +233,18 @@ per_name AS (SELECT name, {_exact_avg("weighted_rating")} AS avg_weighted_rating
 ranked AS (SELECT *, rank() OVER (ORDER BY avg_weighted_rating DESC) AS rk
            FROM per_name WHERE avg_weighted_rating IS NOT NULL),
 best AS (SELECT name, avg_weighted_rating, sum_reviews FROM ranked WHERE rk <= 3),
+modes AS (SELECT f.name, min(mp.label) AS min_mode FROM mode_pairs mp JOIN facts f ON mp.id = f.id
+          WHERE mp.label IN ({_in(MODE_SELECTION)}) GROUP BY f.name)
+SELECT b.name, b.avg_weighted_rating, b.sum_reviews, m.min_mode FROM best b LEFT JOIN modes m ON b.name = m.name""",
+    "top3_rated_ties": f"""WITH {ITEMS},
+mode_pairs AS ({PAIRS["game_mode"]}),
+facts AS (SELECT * FROM fact WHERE id IN (SELECT id FROM mode_pairs WHERE label IN ({_in(MODE_SELECTION)}))),
+per_name AS (SELECT name, round({_exact_avg("weighted_rating")}, 0) AS avg_weighted_rating,
+                    CAST(sum(num_of_reviews) AS BIGINT) AS sum_reviews
+             FROM facts GROUP BY name),
+ranked AS (SELECT *, rank() OVER (ORDER BY avg_weighted_rating DESC) AS rk
+           FROM per_name WHERE avg_weighted_rating IS NOT NULL),
+best AS (SELECT name, avg_weighted_rating, sum_reviews FROM ranked WHERE rk <= 3),
 modes AS (SELECT f.name, min(mp.label) AS min_mode FROM mode_pairs mp JOIN facts f ON mp.id = f.id
           WHERE mp.label IN ({_in(MODE_SELECTION)}) GROUP BY f.name)
 SELECT b.name, b.avg_weighted_rating, b.sum_reviews, m.min_mode FROM best b LEFT JOIN modes m ON b.name = m.name""",

@@ -193,6 +193,13 @@ def q_top3_rated(spark, sf_dir):
     return reports.top_rated(model, {"game_mode": st.MODE_SELECTION}, None, n=3)
 
 
+def q_top3_rated_ties(spark, sf_dir):
+    """Q5, tie-rich: the average as displayed in whole points, so several
+    names share a place and all of them are kept."""
+    model = st.item_model(_t(spark, sf_dir))
+    return reports.top_rated(model, {"game_mode": st.MODE_SELECTION}, None, n=3, display_scale=0)
+
+
 def q_popularity_rank(spark, sf_dir):
     """Q6: dense popularity rank for one popularity type, top-N kept."""
     pop = st.popularity(_t(spark, sf_dir))
@@ -357,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_reload": q_snapshot_reload,
     "medallion_run": q_medallion_run,
     "top3_rated": q_top3_rated,
+    "top3_rated_ties": q_top3_rated_ties,
     "popularity_rank": q_popularity_rank,
     "popularity_flags": q_popularity_flags,
     "top5_aspect_rating": _top_labels("Genres", "rating"),

@@ -81,12 +81,18 @@ def most_wishlisted(fact: DataFrame, collation: str | None = None) -> DataFrame:
 
 
 def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None = None,
-              status: Iterable[str] | None = None, n: int = 3, mode_dim: str = "game_mode") -> DataFrame:
+              status: Iterable[str] | None = None, n: int = 3, mode_dim: str = "game_mode",
+              display_scale: int | None = None) -> DataFrame:
     """Top-``n`` names by average weighted rating, ties kept, with their
-    summed reviews and their first game-mode label (Q5: J6 A5 A4 A7 L2 J7)."""
+    summed reviews and their first game-mode label (Q5: J6 A5 A4 A7 L2 J7).
+    ``display_scale`` ranks the average as displayed, rounded to that many
+    decimals (coarser values tie more often)."""
     facts = facts_in_context(model, filters, status)
+    avg = avg_fixed(F.col("weighted_rating"), SCORE_SCALE)
+    if display_scale is not None:
+        avg = F.round(avg, display_scale)
     per_name = facts.groupBy("name").agg(
-        avg_fixed(F.col("weighted_rating"), SCORE_SCALE).alias("avg_weighted_rating"),
+        avg.alias("avg_weighted_rating"),
         F.sum("num_of_reviews").cast("bigint").alias("sum_reviews"))
     best = topn.top_n_with_ties(per_name, "avg_weighted_rating", n)
     pairs = sem.label_pairs(model, mode_dim)

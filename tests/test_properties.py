@@ -69,3 +69,26 @@ def test_propagation_matches_brute_force(spark, games, bridge, pick):
 def test_avg_fixed_is_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,)], "x double").repartition(3)
     assert df.agg(avg_fixed(F.col("x")).alias("a")).first().a == 0.2
+
+
+vals_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 6)), st.one_of(st.none(), st.sampled_from("abc"))),
+                   min_size=0, max_size=25)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=vals_st)
+def test_column_tests_match_brute_force(spark, data):
+    from strata.operators import quality as Q
+
+    df = spark.createDataFrame(data, "k int, s string")
+    counts = {}
+    for k, _ in data:
+        if k is not None:
+            counts[k] = counts.get(k, 0) + 1
+    assert sorted(tuple(r) for r in Q.unique(df, "k").collect()) == sorted((k, n) for k, n in counts.items() if n > 1)
+    assert Q.not_null(df, "s").count() == sum(1 for _, s in data if s is None)
+    assert Q.accepted_range(df, "k", 0, 4).count() == sum(1 for k, _ in data if k is not None and not 0 <= k <= 4)
+    assert Q.accepted_values(df, "s", ["a", "b"]).count() == sum(1 for _, s in data if s is not None and s not in "ab")
+    res = {r.check: r.failures for r in Q.run_checks(df, [Q.Check("unique", "k"), Q.Check("not_null", "s")]).collect()}
+    assert res == {"unique:k": sum(1 for n in counts.values() if n > 1),
+                   "not_null:s": sum(1 for _, s in data if s is None)}
