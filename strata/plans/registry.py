@@ -21,6 +21,7 @@ from strata.operators.summarize import summarize
 from strata import schemas as SC
 from strata.plans import gold, reports, silver
 from strata.plans.daily import run_daily
+from strata.plans.data_tests import SILVER_CHECKS
 from strata.plans import standins as st
 from strata.session import scratch_path
 from strata.sources import snapshot as snap
@@ -329,18 +330,8 @@ def q_dq_values(spark, sf_dir):
         .select("o_orderkey", "o_orderstatus")
 
 
-CLEAN_GAMES_CHECKS = [
-    Q.Check("unique", "id"),
-    Q.Check("not_null", "id"),
-    Q.Check("accepted_range", "id", {"min_value": 0, "inclusive": True}),
-    Q.Check("not_null", "name"),
-    Q.Check("accepted_range", "average_rating", {"min_value": 0, "max_value": 100, "inclusive": True}),
-    Q.Check("not_null", "num_of_reviews"),
-    Q.Check("accepted_range", "num_of_reviews", {"min_value": 0, "inclusive": True}),
-    Q.Check("not_null", "wishlist_count"),
-    Q.Check("accepted_range", "wishlist_count", {"min_value": 0, "inclusive": True}),
-    Q.Check("not_null", "date_first_release"),
-]
+# the silver games checks, plus release date present (fails for unreleased items)
+CLEAN_GAMES_CHECKS = SILVER_CHECKS["clean_games"] + [Q.Check("not_null", "date_first_release")]
 
 
 def q_dq_suite(spark, sf_dir):
