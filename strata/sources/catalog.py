@@ -55,12 +55,14 @@ def view_name(layer: str, name: str) -> str:
 
 
 def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
-                base: str | None = None) -> DataFrame:
+                base: str | None = None, bucket_by: tuple[int, list[str]] | None = None) -> DataFrame:
     """Publish a model (S8): ``table`` persists it (a new Parquet version
     under ``base`` made current by :func:`publish`, else a catalog table
     ``layer.name``); ``view`` only registers the
     plan, so it is recomputed -- and optimized together with its consumer --
-    at read time. Returns the frame consumers should read."""
+    at read time. ``bucket_by=(n, cols)`` writes a catalog table bucketed
+    and sorted by ``cols``: tables bucketed alike on a join key are joined
+    later without shuffling either side. Returns the frame consumers read."""
     spark = df.sparkSession
     vname = view_name(layer, name)
     if kind == "view":
@@ -73,7 +75,11 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
         out = spark.read.parquet(publish(df, root, name))
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")
+        writer = df.write.mode("overwrite").format("parquet")
+        if bucket_by:
+            n, cols = bucket_by
+            writer = writer.bucketBy(n, *cols).sortBy(*cols)
+        writer.saveAsTable(f"`{layer}`.`{name}`")
         out = spark.table(f"`{layer}`.`{name}`")
     out.createOrReplaceTempView(vname)
     return out

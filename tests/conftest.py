@@ -18,7 +18,9 @@ def spark():
     b = SparkSession.builder.master("local[4]").appName("strata-tests")
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
-    s = b.config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    s = (b.config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-test-warehouse-"))
+         .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     yield s

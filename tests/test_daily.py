@@ -84,3 +84,18 @@ def test_run_on_arrival(spark):
     _land_all(spark, base, "20240202", n_games=4)
     run_on_arrival(spark, base, base, ckpt)
     assert C.read_current(spark, f"{base}/silver/clean_games").count() == 5
+
+
+def test_bucketed_silver_joins_without_shuffle(spark):
+    base = tempfile.mkdtemp(prefix="strata-bucket-")
+    _land_all(spark, base, "20240301")
+    run = run_daily(spark, base, "20240301", base, fail_on_test=False, catalog=True, game_buckets=4)
+    games, bridge = run.silver["clean_games"], run.silver["clean_bridge_genre"]
+    joined = bridge.join(games, bridge.fk_game == games.id)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == 12  # game 1 has two silver rows (conflicting ratings)
