@@ -78,9 +78,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-date", required=True, help="yyyyMMdd")
     ap.add_argument("--warehouse", required=True, help="base folder for bronze/silver tables")
     ap.add_argument("--no-fail-on-test", action="store_true", help="report failing tests without failing")
+    ap.add_argument("--catalog", action="store_true", help="write silver as catalog tables")
+    ap.add_argument("--game-buckets", type=int, default=None,
+                    help="with --catalog: bucket games and bridges by game key into this many buckets")
     args = ap.parse_args(argv)
     spark = get_spark(app=f"strata-daily-{args.run_date}")
-    result = run_daily(spark, args.landing, args.run_date, args.warehouse, fail_on_test=False)
+    result = run_daily(spark, args.landing, args.run_date, args.warehouse, fail_on_test=False,
+                       catalog=args.catalog, game_buckets=args.game_buckets)
     failed = result.tests.filter("failures > 0").collect()  # one row per check: bounded
     for r in failed:
         print(f"FAILED {r['table']}.{r['check']}: {r['failures']}")
