@@ -36,7 +36,9 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.05, sample_fraction:
 
     The sample is counted per key with a partial aggregate and only the
     ``max_keys`` most frequent keys come back to the driver, so the result is
-    bounded whatever the input size.
+    bounded whatever the input size. The cap only limits which keys get
+    salted: every other key is still joined, exactly, by the plain join path
+    (where AQE's skew splitting remains in force).
     """
     sample = df.select(key).sample(fraction=sample_fraction, seed=seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
