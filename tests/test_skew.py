@@ -41,3 +41,19 @@ def test_identical_copies_of_a_hot_key_spread(spark):
     salted = salt_rows(large, "k", [1], 8)
     assert salted.filter("k = 1").select(SALT).distinct().count() == 8
     assert rows(salted_join(large, small, "k", "k2", "inner", [1], 8)) == rows(large.join(small, large.k == small.k2))
+
+
+def test_hot_keys_on_real_table(spark):
+    from tests.conftest import SF_SMALL
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    hot = hot_keys(li, "l_returnflag", sample_fraction=0.2)
+    assert sorted(hot) == ["A", "N", "R"]  # each flag holds about a third of the rows
+    flags = spark.createDataFrame([("A", "accepted"), ("N", "none"), ("R", "returned")], "flag string, meaning string")
+    lines = li.select("l_orderkey", "l_linenumber", "l_returnflag")
+    salted = salted_join(lines, flags, "l_returnflag", "flag", "inner", hot, buckets=8)
+    plain = lines.join(flags, lines.l_returnflag == flags.flag)
+    assert salted.count() == plain.count() == li.count()
+    assert salted.groupBy("meaning").count().collect() and \
+        sorted(tuple(r) for r in salted.groupBy("meaning").count().collect()) == \
+        sorted(tuple(r) for r in plain.groupBy("meaning").count().collect())
