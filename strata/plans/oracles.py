@@ -298,12 +298,14 @@ WHERE l.l_partkey IN (SELECT id FROM fact WHERE status IN ('EUROPE'))""",
 per_day AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders FROM orders GROUP BY 1)
 SELECT cal.*, p.n_orders FROM per_day p JOIN cal ON p.d = cal."Date\"""",
     "drill_by_date": f"""WITH {ITEMS}, {CALENDAR},
-j AS (SELECT f.*, cal."Year", cal."QuarterName", cal."MonthName"
+j AS (SELECT f.*, cal."Year", cal."QuarterName", cal."MonthName", cal."MonthShort",
+             f.date_first_release AS "Date"
       FROM fact f LEFT JOIN cal ON f.date_first_release = cal."Date")
-SELECT "Year", "QuarterName", "MonthName", count(id) AS n_items,
+SELECT "Year", "QuarterName", "MonthName", "MonthShort", "Date", count(id) AS n_items,
        CAST(sum(num_of_reviews) AS BIGINT) AS sum_reviews, CAST(sum(wishlist_count) AS BIGINT) AS sum_wishlist,
-       CAST(3 - (GROUPING("Year") + GROUPING("QuarterName") + GROUPING("MonthName")) AS INTEGER) AS drill_level
-FROM j GROUP BY ROLLUP ("Year", "QuarterName", "MonthName")""",
+       CAST(5 - (GROUPING("Year") + GROUPING("QuarterName") + GROUPING("MonthName") + GROUPING("MonthShort")
+                 + GROUPING("Date")) AS INTEGER) AS drill_level
+FROM j GROUP BY ROLLUP ("Year", "QuarterName", "MonthName", "MonthShort", "Date")""",
     "default_summary": """SELECT l_returnflag, l_linestatus, count(l_orderkey) AS count_l_orderkey,
        sum(l_quantity) AS sum_l_quantity, round(sum(l_extendedprice), 2) AS sum_l_extendedprice,
        round(avg(l_discount), 6) AS avg_l_discount

@@ -25,7 +25,7 @@ from strata.plans.data_tests import SILVER_CHECKS
 from strata.plans import standins as st
 from strata.session import scratch_path
 from strata.sources import snapshot as snap
-from strata.sources.calendar import CALENDAR_COLUMNS, calendar
+from strata.sources.calendar import CALENDAR_COLUMNS, DATE_HIERARCHY, calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,11 +277,12 @@ def q_calendar_dim(spark, sf_dir):
 
 
 def q_drill_by_date(spark, sf_dir):
-    """Q14: games by release year > quarter > month, all levels at once."""
+    """Q14: games by release date over the whole hierarchy (year > quarter >
+    month > short month > day), all levels at once."""
     t = _t(spark, sf_dir)
     fact = st.item_fact(t)
     cal = calendar(spark, as_of=st.AS_OF)
-    return reports.drill_by_release(fact, cal, ["Year", "QuarterName", "MonthName"], {
+    return reports.drill_by_release(fact, cal, DATE_HIERARCHY, {
         "n_items": F.count("id"),
         "sum_reviews": F.sum("num_of_reviews").cast("bigint"),
         "sum_wishlist": F.sum("wishlist_count").cast("bigint"),

@@ -198,8 +198,11 @@ def drill_by_release(fact: DataFrame, calendar: DataFrame, levels: list[str],
                      aggs: Mapping[str, Column]) -> DataFrame:
     """The fact by release-date hierarchy level (Q14: J4 + A15). The
     calendar's size is bounded by its date span, so it is broadcast."""
-    cal = F.broadcast(calendar.select(F.col("Date").alias("date_first_release"), *levels))
+    lookup_cols = [c for c in levels if c != "Date"]
+    cal = F.broadcast(calendar.select(F.col("Date").alias("date_first_release"), *lookup_cols))
     joined = fact.join(cal, "date_first_release", "left")
+    if "Date" in levels:
+        joined = joined.withColumn("Date", F.col("date_first_release"))
     return drill(joined, levels, aggs)
 
 

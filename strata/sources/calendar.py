@@ -25,6 +25,8 @@ CALENDAR_COLUMNS = [
     "YearQuarterName", "IsWeekend", "IsWeekday", "IsLeapYear", "IsCurrentYear",
     "IsCurrentMonth", "IsCurrentQuarter", "IsPastDate", "IsFutureDate",
 ]
+# The date hierarchy's levels, top to bottom.
+DATE_HIERARCHY = ["Year", "QuarterName", "MonthName", "MonthShort", "Date"]
 
 
 def _as_date(v) -> dt.date:
