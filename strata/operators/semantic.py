@@ -23,7 +23,7 @@ from strata.session import broadcast_if_bounded
 
 # Dimensions up to this many rows are broadcast into lookups; larger ones
 # are joined by shuffle.
-MAX_BROADCAST_DIM_ROWS = 2_000_000
+MAX_BROADCAST_DIM_ROWS = 1_000_000
 
 
 @dataclass
