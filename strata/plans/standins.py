@@ -103,9 +103,10 @@ def persisted(t: "Tables", name: str, build, sources=("part", "lineitem")) -> Da
     signature to the shared folder and read back by every query that needs it
     -- as the reference persists its bronze and silver tables and its reports
     read them. Rebuilt when a source file changes; not cached for non-local
-    sources."""
+    sources, nor when ``STRATA_REUSE_LAYERS=0`` (then every query rebuilds
+    its layers, still writing each one once)."""
     sigs = tuple(_file_signature(f"{t.sf_dir}/{x}.parquet") for x in sources)
-    if any(sig is None for sig in sigs):
+    if os.environ.get("STRATA_REUSE_LAYERS", "1") == "0" or any(sig is None for sig in sigs):
         return materialize_shared(build(), name)
     key = (id(t.spark), t.sf_dir, name, sigs)
     path = _PERSISTED.get(key)
