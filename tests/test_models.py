@@ -94,3 +94,14 @@ def test_case_insensitive_first_name_is_opt_in(spark):
     out = reports.most_wishlisted(fact, collation="UNICODE_CI")
     assert out.first().name == "a"
     assert out.schema["name"].dataType.simpleString() == "string"
+
+
+def test_dimension_switch_needs_one_selection(spark):
+    from strata.operators import semantic as sem
+
+    fact = spark.createDataFrame([(1, "a", 3, 7.5)], "id bigint, name string, num_of_reviews bigint, weighted_rating double")
+    model = sem.SemanticModel(fact, "id", {"t": sem.Dimension("t", None, "name")})
+    mapping = {"Types": "t", "Other": "t"}
+    assert reports.top_labels_for_aspect(model, mapping, None) is None
+    assert reports.top_labels_for_aspect(model, mapping, ["Types", "Other"]) is None
+    assert rows(reports.top_labels_for_aspect(model, mapping, ["Types"])) == [("a", 3)]

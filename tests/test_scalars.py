@@ -86,3 +86,20 @@ def test_partition_settings_scale():
     assert int(big["spark.sql.shuffle.partitions"]) == 416000
     small = partition_settings(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_get_spark_applies_sizing(spark):
+    from strata.session import get_spark, partition_settings
+
+    keys = list(partition_settings(1, 1))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        s = get_spark(input_bytes=10 * 1024 ** 3, total_cores=8)  # reuses the running session
+        assert s.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert s.conf.get("spark.sql.files.maxPartitionBytes") == str(512 * 1024 ** 2)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

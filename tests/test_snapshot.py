@@ -101,3 +101,13 @@ def test_failed_load_keeps_current_table(spark):
     with pytest.raises(Exception):
         snap.load_all(spark, base, "20240102", {"raw_games": CONTRACT}, base)  # snapshot missing
     assert rows(snap.read_bronze(spark, root), "id", "name") == before == [(1, "A")]
+
+
+def test_refresh_catalog_table_replaces_contents(spark):
+    df1 = spark.createDataFrame([(1,), (2,)], "a int")
+    df2 = spark.createDataFrame([(3,)], "a int")
+    snap.refresh_table(df1, name="strata_refresh_t")
+    snap.refresh_table(df2, name="strata_refresh_t")
+    assert rows(spark.table("strata_refresh_t")) == [(3,)]
+    with pytest.raises(ValueError):
+        snap.refresh_table(df1)
