@@ -92,3 +92,16 @@ def test_column_tests_match_brute_force(spark, data):
     res = {r.check: r.failures for r in Q.run_checks(df, [Q.Check("unique", "k"), Q.Check("not_null", "s")]).collect()}
     assert res == {"unique:k": sum(1 for n in counts.values() if n > 1),
                    "not_null:s": sum(1 for _, s in data if s is None)}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(secs=st.lists(st.integers(-4_000_000_000, 4_000_000_000), min_size=1, max_size=50))
+def test_epoch_to_date_matches_python(spark, secs):
+    import datetime as dt
+
+    from strata.functions.scalars import epoch_to_date
+
+    df = spark.createDataFrame([(s,) for s in secs], "s bigint")
+    got = {r.s: r.d for r in df.select("s", epoch_to_date("s").alias("d")).collect()}
+    epoch = dt.date(1970, 1, 1)
+    assert all(got[s] == epoch + dt.timedelta(days=s // 86400) for s in secs)
