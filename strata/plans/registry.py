@@ -24,6 +24,7 @@ from strata.plans.daily import run_daily
 from strata.plans.data_tests import SILVER_CHECKS
 from strata.plans import standins as st
 from strata.session import scratch_path
+from strata.sources import catalog
 from strata.sources import snapshot as snap
 from strata.sources.calendar import CALENDAR_COLUMNS, DATE_HIERARCHY, calendar
 
@@ -179,10 +180,10 @@ def q_medallion_run(spark, sf_dir):
     base = scratch_path(spark, "medallion")
     snap.land_snapshot(st.raw_items(t), base, MEDALLION_RUN_DATE, "raw_games")
     snap.land_snapshot(st.status_dim(t), base, MEDALLION_RUN_DATE, "raw_gamestatus")
-    run = run_daily(spark, base, MEDALLION_RUN_DATE, base,
-                    contracts={"raw_games": SC.RAW_GAMES, "raw_gamestatus": SC.RAW_GAMESTATUS},
-                    display_names=True, fail_on_test=False)
-    return run.gold["fct_games"]
+    run_daily(spark, base, MEDALLION_RUN_DATE, base,
+              contracts={"raw_games": SC.RAW_GAMES, "raw_gamestatus": SC.RAW_GAMESTATUS},
+              display_names=True, fail_on_test=False)
+    return catalog.ref(spark, catalog.schema_name(None, "gold"), "fct_games")  # S9: named read
 
 
 # ---- report queries --------------------------------------------------------
