@@ -40,6 +40,17 @@ DISPLAY_NAMES = {
 }
 
 
+# Default summarization of the fact columns in the BI model
+# (keys and dates are not summarized).
+DEFAULT_SUMMARY = {
+    "fct_games": {"id": "none", "name": "none", "fk_game_type": "none", "average_rating": "sum",
+                  "num_of_reviews": "sum", "wishlist_count": "sum", "date_first_release": "none",
+                  "status": "none", "weighted_rating": "sum"},
+    "fct_daily_popularity": {"id": "count", "fk_game": "none", "fk_popularity_type": "none",
+                             "popularity_score": "sum", "date_measured_at": "none"},
+}
+
+
 def with_display_names(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Display-name projection (P2): keep the mapped columns, renamed."""
     return df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])

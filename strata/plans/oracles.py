@@ -310,6 +310,11 @@ FROM j GROUP BY ROLLUP ("Year", "QuarterName", "MonthName", "MonthShort", "Date"
        sum(l_quantity) AS sum_l_quantity, round(sum(l_extendedprice), 2) AS sum_l_extendedprice,
        round(avg(l_discount), 6) AS avg_l_discount
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+    "fact_summary": f"""WITH {ITEMS}
+SELECT status, CAST(sum(num_of_reviews) AS BIGINT) AS sum_num_of_reviews,
+       CAST(sum(wishlist_count) AS BIGINT) AS sum_wishlist_count,
+       round(sum(weighted_rating), 2) + 0.0 AS sum_weighted_rating
+FROM fact GROUP BY status""",
     "dq_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -309,6 +309,15 @@ def q_default_summary(spark, sf_dir):
                       F.round("avg_l_discount", 6).alias("avg_l_discount"))
 
 
+def q_fact_summary(spark, sf_dir):
+    """A14 on the game fact: its model-defined default summaries by status
+    (2-decimal weighted ratings summed, then rounded back to cents)."""
+    fact = st.item_fact(_t(spark, sf_dir))
+    meta = {k: v for k, v in gold.DEFAULT_SUMMARY["fct_games"].items() if k != "average_rating"}
+    out = summarize(fact, ["status"], meta)
+    return out.withColumn("sum_weighted_rating", F.round("sum_weighted_rating", 2))
+
+
 # ---- data tests ------------------------------------------------------------
 
 def q_dq_unique(spark, sf_dir):
@@ -376,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "calendar_dim": q_calendar_dim,
     "drill_by_date": q_drill_by_date,
     "default_summary": q_default_summary,
+    "fact_summary": q_fact_summary,
     "dq_unique": q_dq_unique,
     "dq_not_null": q_dq_not_null,
     "dq_range": q_dq_range,
