@@ -315,6 +315,9 @@ SELECT status, CAST(sum(num_of_reviews) AS BIGINT) AS sum_num_of_reviews,
        CAST(sum(wishlist_count) AS BIGINT) AS sum_wishlist_count,
        round(sum(weighted_rating), 2) + 0.0 AS sum_weighted_rating
 FROM fact GROUP BY status""",
+    "popularity_summary": """SELECT event_type AS fk_popularity_type, count(event_id) AS count_id,
+       round(sum(value), 2) + 0.0 AS sum_popularity_score
+FROM events GROUP BY event_type""",
     "dq_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -318,6 +318,15 @@ def q_fact_summary(spark, sf_dir):
     return out.withColumn("sum_weighted_rating", F.round("sum_weighted_rating", 2))
 
 
+def q_popularity_summary(spark, sf_dir):
+    """A14 on the popularity fact: count of measurements and summed score per
+    popularity type, as its metadata defines (2-decimal scores, rounded back
+    to cents after summing)."""
+    fact = gold.fct_daily_popularity(q_popularity_fact(spark, sf_dir))
+    out = summarize(fact, ["fk_popularity_type"], gold.DEFAULT_SUMMARY["fct_daily_popularity"])
+    return out.withColumn("sum_popularity_score", F.round("sum_popularity_score", 2))
+
+
 # ---- data tests ------------------------------------------------------------
 
 def q_dq_unique(spark, sf_dir):
@@ -386,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "drill_by_date": q_drill_by_date,
     "default_summary": q_default_summary,
     "fact_summary": q_fact_summary,
+    "popularity_summary": q_popularity_summary,
     "dq_unique": q_dq_unique,
     "dq_not_null": q_dq_not_null,
     "dq_range": q_dq_range,
