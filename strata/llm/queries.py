@@ -8,10 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, quality_rules, sharding, simhash, token_count, toxicity
+from strata.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, secret_scan, sharding, simhash, token_count, toxicity
 from strata.llm.common import read_table, stored
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["exact"])
+    names = lambda places: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))))
+    starts = F.transform(base, lambda p: p["first"])
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                        F.array_max(starts).alias("last_word"), names(base).alias("base_labels"), names(F.col("places")).alias("labels"),
+                        F.coalesce(F.array_max(F.transform("places", lambda p: p["part"])), F.lit(0.0)).alias("score"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", number("assign"), number("access"), number("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), number("random"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +61,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN, max_tokens=1024)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.match_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
@@ -59,8 +83,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken")))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash, op5_sharding, op6_toxicity, op7_token_counts,
-                                   op9_decontamination, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_quality_rules, op4_simhash, op5_sharding, op6_toxicity, op7_token_counts,
+                                   op8_line_dedup, op9_decontamination, op10_mixing)}
 
 _WORDS9 = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
