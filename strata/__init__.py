@@ -30,7 +30,6 @@ _EXPORTS = {
     "run_checks": "strata.operators.quality",
     "Check": "strata.operators.quality",
     "calendar": "strata.sources.calendar",
-    "salted_join": "strata.operators.skew",
 }
 
 __all__ = sorted(_EXPORTS)

@@ -22,6 +22,13 @@ def sum_fixed(c: Column, scale: int = 2) -> Column:
     return F.sum(_scaled(c, scale)).cast("double") / F.lit(float(10 ** scale))
 
 
+def sum_exact(c: Column) -> Column:
+    """Exact decimal sum of doubles as written (their shortest decimal form),
+    down to 18 decimals: scores in scientific notation keep their digits. The
+    result is a decimal: compare and rank it as such, cast it to show it."""
+    return F.sum(c.cast("decimal(38,18)"))
+
+
 def avg_fixed(c: Column, scale: int = 2) -> Column:
     """Exact mean of values with at most ``scale`` decimals (NULLs ignored,
     NULL when there are none)."""

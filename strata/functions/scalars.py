@@ -52,11 +52,6 @@ def as_id(c: Column | str) -> Column:
     return _c(c).cast("bigint")
 
 
-def round_half_up(c: Column | str, scale: int = 2) -> Column:
-    """Round half away from zero."""
-    return F.round(_c(c), scale)
-
-
 def weekday_monday1(d: Column | str) -> Column:
     """Day of week with Monday = 1 ... Sunday = 7."""
     return F.weekday(_c(d)) + 1

@@ -19,11 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import broadcast_if_bounded
-
-# Dimensions up to this many rows are broadcast into lookups; larger ones
-# are joined by shuffle.
-MAX_BROADCAST_DIM_ROWS = 1_000_000
+from strata.session import broadcast_if_small
 
 
 @dataclass
@@ -52,32 +48,74 @@ class Dimension:
         return self.bridge
 
 
+@dataclass
+class RelatedFact:
+    """A second fact on the many side of the first, related both ways over
+    ``key``, with many-to-one dimensions of its own."""
+
+    table: DataFrame
+    key: str
+    dims: dict[str, Dimension] = field(default_factory=dict)
+
+
 @dataclass
 class SemanticModel:
     fact: DataFrame
     fact_key: str
     dims: dict[str, Dimension] = field(default_factory=dict)
+    related: dict[str, RelatedFact] = field(default_factory=dict)
+
+    def related_with(self, dim_name: str) -> RelatedFact | None:
+        return next((r for r in self.related.values() if dim_name in r.dims), None)
+
+
+def _member_keys(d: Dimension, labels: Iterable) -> DataFrame:
+    return d.table.filter(F.col(d.label).isin(list(labels))).select(F.col(d.key))
+
+
+def related_rows(model: SemanticModel, name: str, filters: Mapping[str, Iterable] | None = None,
+                 facts: DataFrame | None = None) -> DataFrame:
+    """Rows of a related fact under a filter context: its own dimensions'
+    selections, and the first fact's surviving rows where ``facts`` is given
+    (J6 over the fact-to-fact relationship). All are semi joins."""
+    r = model.related[name]
+    out = r.table
+    for dim_name, labels in (filters or {}).items():
+        if dim_name in r.dims and labels:
+            d = r.dims[dim_name]
+            out = out.join(_member_keys(d, labels), d.key, "left_semi")
+    if facts is not None:
+        out = out.join(facts.select(F.col(model.fact_key).alias(r.key)), r.key, "left_semi")
+    return out
+
+
+def related_labels(model: SemanticModel, name: str, dim_name: str, facts: DataFrame | None = None) -> DataFrame:
+    """Labels of a related fact's dimension that its rows carry in a context
+    (A16); keys without a member give the blank label. (fact, key) pairs are
+    deduplicated before any join."""
+    r = model.related[name]
+    d = r.dims[dim_name]
+    pairs = r.table.select(r.key, d.key).distinct()
+    if facts is not None:
+        pairs = pairs.join(facts.select(F.col(model.fact_key).alias(r.key)), r.key, "left_semi")
+    keys = pairs.select(d.key).distinct()
+    return keys.join(d.table.select(d.key, d.label), d.key, "left").select(F.col(d.label).alias("label")).distinct()
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           columns: Iterable[str], max_dim_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+           columns: Iterable[str]) -> DataFrame:
     """Many-to-one lookup (J1/J4): attach ``columns`` of ``dim`` to every fact
     row; keys without a match keep NULLs (the blank member)."""
     right = dim.select(F.col(dim_key).alias("_dk"), *columns)
-    right = broadcast_if_bounded(right, max_dim_rows)
+    right = broadcast_if_small(right)
     out = fact.join(right, fact[fact_key] == right["_dk"], "left")
     return out.drop("_dk")
 
 
-def label_pairs(model: SemanticModel, dim_name: str,
-                max_dim_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
-    """Distinct (label, fact key) pairs of one dimension.
-
-    With a broadcastable dimension the label is attached map-side and one
-    partially-aggregated ``distinct`` follows; otherwise the (fact, dim key)
-    pairs are deduplicated before the shuffle join so a hot key cannot
-    inflate it.
-    """
+def label_pairs(model: SemanticModel, dim_name: str) -> DataFrame:
+    """Distinct (label, fact key) pairs of one dimension (J5). (fact, dim key)
+    pairs are deduplicated before the join, with a partial aggregate in every
+    task, so a hot key can't inflate it whatever strategy is picked."""
     d = model.dims[dim_name]
     fk = model.fact_key
     bridge = d.bridge_frame()
@@ -88,11 +126,7 @@ def label_pairs(model: SemanticModel, dim_name: str,
     if d.table is None:  # the key is its own label
         return pairs.select(F.col("_dk").alias("label"), fk).distinct()
     dim = d.table.select(F.col(d.key).alias("_dk"), F.col(d.label).alias("label"))
-    small = broadcast_if_bounded(dim, max_dim_rows)
-    if small is not dim:
-        joined = pairs.join(small, "_dk", "left" if d.include_blank else "inner")
-    else:
-        joined = pairs.distinct().join(dim, "_dk", "left" if d.include_blank else "inner")
+    joined = pairs.distinct().join(broadcast_if_small(dim), "_dk", "left" if d.include_blank else "inner")
     return joined.select("label", fk).distinct()
 
 
@@ -134,15 +168,15 @@ def propagate(model: SemanticModel, filters: Mapping[str, Iterable] | None = Non
         labels = list(labels)
         if not labels:
             continue
+        r = model.related_with(name)
+        if r is not None and name not in model.dims:  # the other fact restricts this one
+            keys = related_rows(model, next(k for k, v in model.related.items() if v is r), {name: labels})
+            out = out.join(keys.select(F.col(r.key).alias(model.fact_key)).distinct(), model.fact_key, "left_semi")
+            continue
         out = out.join(fact_keys_with_labels(model, name, labels), model.fact_key, "left_semi")
     return out
 
 
-def restricted(model: SemanticModel, facts: DataFrame) -> SemanticModel:
-    """The same model with its fact replaced by a filtered one."""
-    return SemanticModel(facts, model.fact_key, dict(model.dims))
-
-
 def metric_by_label(model: SemanticModel, dim_name: str, aggs: Mapping[str, Column],
                     facts: DataFrame | None = None) -> DataFrame:
     """Group the (filtered) fact by a dimension's label, each fact row counted

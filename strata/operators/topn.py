@@ -33,12 +33,14 @@ def _stable(df: DataFrame, materialize: bool) -> DataFrame:
 
 
 def top_n_with_ties(df: DataFrame, metric: str, n: int, ascending: bool = False,
-                    rank_col: str | None = None, materialize: bool = False) -> DataFrame:
+                    rank_col: str | None = None, materialize: bool = True) -> DataFrame:
     """Rows whose ``rank()`` by ``metric`` is <= n (ties kept, so the result
     may hold more than n rows); NULL metrics are dropped.
 
     rank <= n  <=>  metric is at least as good as the n-th best value counted
-    with repeats, which is the threshold used here.
+    with repeats, which is the threshold used here. The input is written once
+    and read for the threshold and for the rows: evaluated twice, a metric
+    that depends on the order of rows could lose its best one.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -53,7 +55,7 @@ def top_n_with_ties(df: DataFrame, metric: str, n: int, ascending: bool = False,
     # rank = 1 + rows strictly better; the kept rows have at most n distinct values.
     counts = kept.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(_order(F.col(metric), ascending)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(metric, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int").alias(rank_col))
+    ranks = counts.select(metric, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("bigint").alias(rank_col))
     return _join_ranks(kept, ranks, metric, n)
 
 
@@ -64,11 +66,11 @@ def dense_rank_values(df: DataFrame, metric: str, n: int, ascending: bool = Fals
     m = F.col(metric)
     values = (df.filter(m.isNotNull()).select(metric).distinct()
                 .orderBy(_order(m, ascending)).limit(n))
-    return values.select(metric, F.dense_rank().over(Window.orderBy(_order(m, ascending))).alias(rank_col))
+    return values.select(metric, F.dense_rank().over(Window.orderBy(_order(m, ascending))).cast("bigint").alias(rank_col))
 
 
 def dense_top_n(df: DataFrame, metric: str, n: int, ascending: bool = False,
-                rank_col: str = "rank", materialize: bool = False) -> DataFrame:
+                rank_col: str = "rank", materialize: bool = True) -> DataFrame:
     """Rows whose ``dense_rank()`` by ``metric`` is <= n, with that rank."""
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -77,7 +79,7 @@ def dense_top_n(df: DataFrame, metric: str, n: int, ascending: bool = False,
 
 
 def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
-                   rank_col: str = "rank", materialize: bool = False) -> DataFrame:
+                   rank_col: str = "rank", materialize: bool = True) -> DataFrame:
     """Every row of ``df`` with the dense rank of its ``metric`` (NULL metric
     -> NULL rank), without a single-partition window.
 
@@ -100,16 +102,7 @@ def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
     offsets = sizes.select("_part", (F.coalesce(F.sum("_n").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_offset"))
     ranks = (local.join(F.broadcast(offsets), "_part")
-                  .select(metric, (F.col("_offset") + F.col("_local")).cast("int").alias(rank_col)))
-    return df.join(ranks, on=metric, how="left")
-
-
-def with_top_n_flag(df: DataFrame, metric: str, n: int, flag_col: str = "is_top_n",
-                    rank_col: str = "rank", ascending: bool = False, materialize: bool = False) -> DataFrame:
-    """Every row, with its dense rank when within the top ``n`` (else NULL)
-    and a 1/0 flag (W2)."""
-    df = _stable(df, materialize)
-    ranks = dense_rank_values(df, metric, n, ascending, rank_col)
-    ranks = F.broadcast(ranks) if n <= MAX_BROADCAST_RANKS else ranks
-    out = df.join(ranks, on=metric, how="left")
-    return out.withColumn(flag_col, F.when(F.col(rank_col).isNotNull(), 1).otherwise(0))
+                  .select(metric, (F.col("_offset") + F.col("_local")).cast("bigint").alias(rank_col)))
+    # rows without a metric share no rank: they bypass the join on the value
+    ranked = df.filter(m.isNotNull()).join(ranks, on=metric, how="inner")
+    return ranked.unionByName(df.filter(m.isNull()).withColumn(rank_col, F.lit(None).cast("bigint")))

@@ -41,7 +41,8 @@ def run_daily(spark: SparkSession, landing_base: str, run_date: str, warehouse:
     """Load ``run_date``'s snapshot of every entity and rebuild all layers.
 
     Re-running the same day replaces every layer with the same content. With
-    ``catalog=True`` silver goes to catalog tables; ``game_buckets`` then
+    ``catalog=True`` silver goes to catalog tables and gold to persistent
+    views over them, with display names; ``game_buckets`` then
     buckets the games and the four bridges by game key, so the fact-to-bridge
     joins of the reports run without a shuffle.
     """
@@ -58,6 +59,10 @@ def run_daily(spark: SparkSession, landing_base: str, run_date: str, warehouse:
             silver[name] = C.materialize(df, "silver", name, kind="table", base=warehouse)
     gold = {name: C.materialize(df, "gold", name, kind="view")
             for name, df in G.build_gold(silver, display=display_names).items()}
+    if catalog:  # views that outlive the application, over the silver catalog tables
+        for name, select in G.view_sql("silver").items():
+            if name in gold:
+                C.create_view(spark, "gold", name, select)
     tests = run_silver_checks(silver)
     if fail_on_test:
         assert_checks(tests)
@@ -71,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     """
     import argparse
 
-    from strata.session import get_spark
+    from strata.session import get_spark, release_scratch
 
     ap = argparse.ArgumentParser(description="Load one day's snapshot and rebuild all layers.")
     ap.add_argument("--landing", required=True, help="base folder holding raw/{run_date}/{entity}.parquet")
@@ -86,6 +91,7 @@ def main(argv: list[str] | None = None) -> int:
     result = run_daily(spark, args.landing, args.run_date, args.warehouse, fail_on_test=False,
                        catalog=args.catalog, game_buckets=args.game_buckets)
     failed = result.tests.filter("failures > 0").collect()  # one row per check: bounded
+    release_scratch(spark)
     for r in failed:
         print(f"FAILED {r['table']}.{r['check']}: {r['failures']}")
     return 1 if failed and not args.no_fail_on_test else 0

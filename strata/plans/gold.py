@@ -88,3 +88,22 @@ def build_gold(silver: dict[str, DataFrame], display: bool = False) -> dict[str,
     if display:
         out = {k: with_display_names(v, DISPLAY_NAMES[k]) for k, v in out.items()}
     return out
+
+
+def view_sql(silver: str = "silver") -> dict[str, str]:
+    """The twelve gold models as SELECTs over the silver catalog tables, for
+    persistent views: columns under their display names (Q2, Q2b, Q2c)."""
+    def shown(name: str, source: str) -> str:
+        columns = ", ".join(f"`{src}` AS `{dst}`" for src, dst in DISPLAY_NAMES[name].items())
+        return f"SELECT {columns} FROM {source}"
+
+    rated = f"""(SELECT g.*, s.status, round(try_divide(p.threshold * p.mean + cast(g.average_rating AS double) * g.num_of_reviews,
+       p.threshold + g.num_of_reviews), 2) AS weighted_rating
+FROM `{silver}`.`clean_games` g LEFT JOIN `{silver}`.`clean_gamestatus` s ON g.fk_status = s.id
+CROSS JOIN (SELECT avg(cast(average_rating AS decimal(38,18))) AS mean, median(num_of_reviews) AS threshold
+            FROM `{silver}`.`clean_games` WHERE average_rating IS NOT NULL AND num_of_reviews > 0) p)"""
+    out = {"fct_games": shown("fct_games", rated), "fct_daily_popularity": shown("fct_daily_popularity", f"`{silver}`.`clean_popprimitive`")}
+    for name in DISPLAY_NAMES:
+        if name.startswith("dim_"):
+            out[name] = shown(name, f"`{silver}`.`clean_{name.removeprefix('dim_')}`")
+    return out

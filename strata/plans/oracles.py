@@ -96,10 +96,10 @@ PAIRS = {
     "platform": """SELECT DISTINCT s.s_name AS label, l.l_partkey AS id
                    FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
     "genre": """SELECT DISTINCT n.n_name AS label, l.l_partkey AS id
-                FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+                FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
                 LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "game_mode": """SELECT DISTINCT o.o_orderpriority AS label, l.l_partkey AS id
-                    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+                    FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "franchise": """SELECT DISTINCT r.r_name AS label, b.id
                     FROM (SELECT id, unnest(franchises) AS fk FROM raw_items) b
                     LEFT JOIN region r ON b.fk = r.r_regionkey""",
@@ -108,7 +108,7 @@ PAIRS = {
 }
 
 
-def _top_labels(dim: str, metric: str) -> str:
+def _top_labels(dim: str, metric: str, where: str = "TRUE") -> str:
     if metric == "reviews":
         aggs, key, cols = "CAST(sum(f.num_of_reviews) AS BIGINT) AS sum_reviews", "sum_reviews", "label, sum_reviews"
     else:
@@ -117,7 +117,7 @@ def _top_labels(dim: str, metric: str) -> str:
         key, cols = "avg_weighted_rating", "label, avg_weighted_rating, sum_reviews"
     return f"""WITH {ITEMS},
 pairs AS ({PAIRS[dim]}),
-per AS (SELECT p.label, {aggs} FROM pairs p JOIN fact f ON p.id = f.id GROUP BY p.label),
+per AS (SELECT p.label, {aggs} FROM pairs p JOIN fact f ON p.id = f.id WHERE {where} GROUP BY p.label),
 ranked AS (SELECT *, rank() OVER (ORDER BY {key} DESC) AS rk FROM per WHERE {key} IS NOT NULL)
 SELECT {cols} FROM ranked WHERE rk <= 5"""
 
@@ -188,6 +188,75 @@ SELECT 'clean_items' AS "table", pos, "check", failures FROM (
 )"""
 
 
+# The raw entities as SQL, and the silver models on them, for the whole suite.
+_NATION = "SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(n_regionkey * 86400 AS BIGINT) AS created_at FROM nation"
+_GAMES = """SELECT r.*, CASE WHEN p.p_size <= 40 THEN [CAST(floor(p.p_size / 10) + 1 AS BIGINT)] END AS game_modes,
+       [CAST(substring(p.p_brand, 7, 10) AS BIGINT), CAST(floor(p.p_size / 3) AS BIGINT)] AS genres,
+       CASE WHEN p.p_size > 5 THEN [CAST(p.p_size AS BIGINT), CAST(ascii(p.p_name) AS BIGINT)] ELSE CAST([] AS BIGINT[]) END AS platforms
+FROM raw_items r JOIN part p ON r.id = p.p_partkey"""
+
+
+def _created(source: str, label: str = "name") -> str:
+    return f"SELECT id, {label}, {_date_from_epoch('created_at')} AS date_created_at FROM ({source})"
+
+
+_MODELS = {
+    "clean_games": "SELECT * FROM clean_items",
+    "clean_franchise": _created("SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(r_regionkey * 86400 AS BIGINT) AS created_at FROM region"),
+    "clean_gamemode": _created("""SELECT CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS id, o_orderpriority AS name,
+       CAST(floor(epoch(min(o_orderdate))) AS BIGINT) AS created_at FROM orders GROUP BY o_orderpriority"""),
+    "clean_gametype": _created(f"SELECT id, name AS type, created_at FROM ({_NATION})", "type"),
+    "clean_genre": _created(_NATION),
+    "clean_platform": _created("""SELECT CAST(s_suppkey AS BIGINT) AS id, s_name AS name, created_at FROM supplier
+       LEFT JOIN (SELECT l_suppkey, CAST(floor(epoch(min(l_shipdate))) AS BIGINT) AS created_at FROM lineitem GROUP BY 1) ON s_suppkey = l_suppkey"""),
+    "clean_poptype": "SELECT CAST(ascii(event_type) AS BIGINT) AS id, event_type AS name FROM events GROUP BY event_type",
+    "clean_popprimitive": f"""SELECT CAST(event_id AS BIGINT) AS id, CAST(user_id AS BIGINT) AS fk_game,
+       CAST(ascii(event_type) AS BIGINT) AS fk_popularity_type, value AS popularity_score,
+       {_date_from_epoch("CAST(floor(epoch(ts)) AS BIGINT)")} AS date_measured_at FROM events""",
+    "clean_gamestatus": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS status FROM region",
+    "clean_bridge_franchise": "SELECT id AS fk_game, unnest(franchises) AS fk_franchise FROM games",
+    "clean_bridge_gamemode": "SELECT id AS fk_game, unnest(game_modes) AS fk_game_mode FROM games",
+    "clean_bridge_genre": "SELECT id AS fk_game, unnest(genres) AS fk_genre FROM games",
+    "clean_bridge_platform": "SELECT id AS fk_game, unnest(platforms) AS fk_platform FROM games",
+}
+
+
+def _with_models(names) -> str:
+    games = f", games AS ({_GAMES})" if any("bridge" in n for n in names) else ""
+    return f"WITH {ITEMS}{games}, " + ", ".join(f"{n} AS ({_MODELS[n]})" for n in names if n != "clean_games")
+
+
+def _failures(model: str, check) -> str:
+    c = check.column
+    if check.kind == "unique":
+        return f"(SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+    if check.kind == "not_null":
+        wrong = f"{c} IS NULL"
+    elif check.kind == "accepted_values":
+        wrong = f"{c} IS NOT NULL AND {c} NOT IN ({_in(check.params['values'])})"
+    else:
+        high = f" AND {c} <= {check.params['max_value']}" if "max_value" in check.params else ""
+        wrong = f"{c} IS NOT NULL AND NOT ({c} >= {check.params['min_value']}{high})"
+    return f"(SELECT count(*) FILTER (WHERE {wrong}) FROM {model})"
+
+
+def _dq_all_models() -> str:
+    from strata.plans.data_tests import SILVER_CHECKS
+
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{model}' AS \"table\", {pos} AS pos, '{check.name}' AS \"check\", CAST({_failures('clean_items' if model == 'clean_games' else model, check)} AS BIGINT) AS failures"
+        for model, checks in SILVER_CHECKS.items() for pos, check in enumerate(checks))
+    return f"{_with_models(list(_MODELS))} {rows}"
+
+
+def _gold_model(name: str) -> str:
+    from strata.plans.gold import DISPLAY_NAMES
+
+    model = "clean_" + name.removeprefix("dim_")
+    columns = ", ".join(f'{src} AS "{dst}"' for src, dst in DISPLAY_NAMES[name].items())
+    return f"{_with_models([model])} SELECT {columns} FROM {model}"
+
+
 ORACLES: dict[str, str] = {
     "weighted_rating": f"WITH {ITEMS} SELECT * FROM fact",
     "clean_items": f"WITH {ITEMS} SELECT * FROM clean_items",
@@ -218,8 +287,11 @@ SELECT p_partkey, p_retailprice FROM part WHERE p_size > 30""",
     "schema_align": """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
        CAST(c_acctbal AS DECIMAL(12, 2)) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_phone
 FROM customer""",
-    "bad_rows": """SELECT doc_id, lang,
-       CASE WHEN length(text) > 255 THEN 'text: longer than 255' END AS bad_reason
+    "bad_rows": """SELECT doc_id, lang, nullif(concat_ws('; ',
+       CASE WHEN length(text) > 255 THEN 'text: longer than 255' END,
+       CASE WHEN n_chars < 400 THEN 'size: not bigint' END,
+       CASE WHEN n_chars % 2 = 1 THEN 'half: not bigint' END,
+       CASE WHEN lang = 'de' THEN 'codes: not array<bigint>' END), '') AS bad_reason
 FROM documents""",
     "snapshot_reload": """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
        o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority
@@ -248,19 +320,25 @@ best AS (SELECT name, avg_weighted_rating, sum_reviews FROM ranked WHERE rk <= 3
 modes AS (SELECT f.name, min(mp.label) AS min_mode FROM mode_pairs mp JOIN facts f ON mp.id = f.id
           WHERE mp.label IN ({_in(MODE_SELECTION)}) GROUP BY f.name)
 SELECT b.name, b.avg_weighted_rating, b.sum_reviews, m.min_mode FROM best b LEFT JOIN modes m ON b.name = m.name""",
-    "popularity_rank": f"""WITH per AS (
-  SELECT user_id AS fk_game, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS popularity_score
-  FROM events WHERE event_type IN ({_in(POPULARITY_TYPE)}) GROUP BY user_id),
-ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY popularity_score DESC) AS INTEGER) AS popularity_rank
-           FROM per WHERE popularity_score IS NOT NULL)
-SELECT fk_game, popularity_score, popularity_rank, 1 AS is_top_n FROM ranked WHERE popularity_rank <= {TOP_N}""",
-    "popularity_flags": f"""WITH per AS (
-  SELECT user_id AS fk_game, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS popularity_score
-  FROM events WHERE event_type IN ({_in(POPULARITY_TYPE)}) GROUP BY user_id),
-ranked AS (SELECT *, CAST(dense_rank() OVER (ORDER BY popularity_score DESC) AS INTEGER) AS r FROM per)
-SELECT fk_game, popularity_score,
-       CASE WHEN popularity_score IS NOT NULL THEN r END AS popularity_rank,
-       CASE WHEN popularity_score IS NOT NULL AND r <= {TOP_N} THEN 1 ELSE 0 END AS is_top_n
+    "popularity_rank": f"""WITH {ITEMS},
+per AS (
+  SELECT f.name, sum(CAST(CAST(e.value * 1e-4 AS VARCHAR) AS DECIMAL(38, 18))) AS score
+  FROM events e JOIN fact f ON e.user_id = f.id
+  WHERE upper(e.event_type) IN ({_in(POPULARITY_TYPE)}) AND f.status IN ({_in(STATUS_SELECTION)})
+  GROUP BY f.name),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY score DESC) AS popularity_rank FROM per WHERE score IS NOT NULL)
+SELECT name, CAST(score AS DOUBLE) AS popularity_score, popularity_rank, 1 AS is_top_n FROM ranked
+WHERE popularity_rank <= 10""",
+    "popularity_flags": f"""WITH {ITEMS},
+per AS (
+  SELECT f.name, sum(CAST(CAST(e.value * 1e-4 AS VARCHAR) AS DECIMAL(38, 18))) AS score
+  FROM events e LEFT JOIN fact f ON e.user_id = f.id
+  WHERE upper(e.event_type) IN ({_in(POPULARITY_TYPE)})
+  GROUP BY f.name),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY score DESC NULLS LAST) AS r FROM per)
+SELECT name, CAST(score AS DOUBLE) AS popularity_score,
+       CASE WHEN score IS NOT NULL THEN r END AS popularity_rank,
+       CASE WHEN score IS NOT NULL AND r <= {TOP_N} THEN 1 ELSE 0 END AS is_top_n
 FROM ranked""",
     "top5_aspect_rating": _top_labels("genre", "rating"),
     "top5_aspect_reviews": _top_labels("genre", "reviews"),
@@ -278,8 +356,8 @@ per AS (SELECT name, CAST(sum(wishlist_count) AS BIGINT) AS wishlist_count FROM
 ranked AS (SELECT *, rank() OVER (ORDER BY wishlist_count DESC) AS rk FROM per WHERE wishlist_count IS NOT NULL)
 SELECT name, wishlist_count FROM ranked WHERE rk <= 5""",
     "scatter_points": f"""WITH {ITEMS}
-SELECT num_of_reviews, weighted_rating, min(name) AS name FROM fact
-WHERE weighted_rating IS NOT NULL GROUP BY num_of_reviews, weighted_rating""",
+SELECT num_of_reviews, average_rating, min(name) AS name FROM fact
+WHERE average_rating IS NOT NULL GROUP BY num_of_reviews, average_rating""",
     "item_count": f"WITH {ITEMS} SELECT count(id) AS n_items FROM fact WHERE status IN ({_in(STATUS_SELECTION)})",
     "filter_propagation": f"""WITH {ITEMS}
 SELECT id, name, status FROM fact
@@ -289,17 +367,20 @@ WHERE status IN ({_in(STATUS_SELECTION)})
   AND id IN (SELECT l.l_partkey FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
              JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE n.n_name IN ({_in(GENRE_SELECTION)}))""",
     "types_with_status": f"""WITH {ITEMS}
-SELECT DISTINCT l_returnflag AS popularity_type FROM lineitem
-WHERE l_partkey IN (SELECT id FROM fact WHERE status IS NOT NULL)""",
+SELECT DISTINCT CASE WHEN event_type <> 'error' THEN upper(event_type) END AS popularity_type FROM events
+WHERE user_id IN (SELECT id FROM fact WHERE status IS NOT NULL)""",
     "label_lists": f"""WITH {ITEMS}
 SELECT DISTINCT o.o_orderpriority AS label FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE l.l_partkey IN (SELECT id FROM fact WHERE status IN ('EUROPE'))""",
     "calendar_dim": f"""WITH {CALENDAR},
-per_day AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders FROM orders GROUP BY 1)
-SELECT cal.*, p.n_orders FROM per_day p JOIN cal ON p.d = cal."Date\"""",
+per_day AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
+outside AS (SELECT sum(n) AS n FROM per_day WHERE d IS NULL OR d NOT IN (SELECT "Date" FROM cal))
+SELECT cal.*, coalesce(p.n, 0) AS n_orders FROM cal LEFT JOIN per_day p ON p.d = cal."Date"
+UNION ALL
+SELECT {", ".join(["NULL"] * 26)}, CAST(n AS BIGINT) FROM outside WHERE n > 0""",
     "drill_by_date": f"""WITH {ITEMS}, {CALENDAR},
 j AS (SELECT f.*, cal."Year", cal."QuarterName", cal."MonthName", cal."MonthShort",
-             f.date_first_release AS "Date"
+             cal."Date"
       FROM fact f LEFT JOIN cal ON f.date_first_release = cal."Date")
 SELECT "Year", "QuarterName", "MonthName", "MonthShort", "Date", count(id) AS n_items,
        CAST(sum(num_of_reviews) AS BIGINT) AS sum_reviews, CAST(sum(wishlist_count) AS BIGINT) AS sum_wishlist,
@@ -326,4 +407,18 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "dq_values": """SELECT o_orderkey, o_orderstatus FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')""",
     "dq_suite": _dq_suite(),
+    "dq_all_models": _dq_all_models(),
+    **{name: _gold_model(name) for name in (
+        "dim_franchise", "dim_gamemode", "dim_gametype", "dim_genre", "dim_poptype", "dim_bridge_franchise",
+        "dim_bridge_gamemode", "dim_bridge_genre", "dim_bridge_platform")},
+    "top5_genre_rating_status": _top_labels("genre", "rating", f"f.status IN ({_in(STATUS_SELECTION)})"),
+    "top5_mode_reviews_status": _top_labels("game_mode", "reviews", f"f.status IN ({_in(STATUS_SELECTION)})"),
+    "status_list": f"WITH {ITEMS} SELECT DISTINCT status FROM fact",
+    "genre_list": f"""WITH {ITEMS}, pairs AS ({PAIRS["genre"]})
+SELECT DISTINCT label FROM pairs WHERE id IN (SELECT id FROM fact WHERE status IN ({_in(STATUS_SELECTION)}))""",
+    "wishlist_order": f"""WITH {ITEMS},
+per AS (SELECT name, CAST(sum(wishlist_count) AS BIGINT) AS wishlist_count FROM fact
+        WHERE date_first_release IS NULL GROUP BY name),
+ranked AS (SELECT *, rank() OVER (ORDER BY wishlist_count DESC) AS rk FROM per WHERE wishlist_count IS NOT NULL)
+SELECT name, wishlist_count, row_number() OVER (ORDER BY wishlist_count DESC, name) AS position FROM ranked WHERE rk <= 25""",
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +21,12 @@ from strata.operators.summarize import summarize
 from strata import schemas as SC
 from strata.plans import gold, reports, silver
 from strata.plans.daily import run_daily
-from strata.plans.data_tests import SILVER_CHECKS
+from strata.plans.data_tests import SILVER_CHECKS, run_silver_checks
 from strata.plans import standins as st
-from strata.session import scratch_path
+from strata.session import materialize_shared, scratch_path
 from strata.sources import catalog
 from strata.sources import snapshot as snap
-from strata.sources.calendar import CALENDAR_COLUMNS, DATE_HIERARCHY, calendar
+from strata.sources.calendar import CALENDAR_COLUMNS, DATE_HIERARCHY, DEFAULT_END, DEFAULT_START, calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,18 @@ def q_weighted_rating(spark, sf_dir):
     return st.item_fact(_t(spark, sf_dir))
 
 
+def with_position(df, order):
+    """``df`` with the place (from 1) of each row in ``order``: a range sort,
+    numbered inside partitions and shifted by what earlier ones hold."""
+    ordered = materialize_shared(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), "ordered")
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (ordered.withColumn("_row", inside).join(F.broadcast(offsets), "_part")
+            .withColumn("position", F.col("_offset") + F.col("_row")).drop("_part", "_row", "_offset"))
+
+
 def q_clean_items(spark, sf_dir):
     """Q1: cleaned, deduplicated games from the overlapping-page snapshot."""
     return st.clean_items(_t(spark, sf_dir))
@@ -74,10 +86,9 @@ def q_embedding_flatten(spark, sf_dir):
 
 def q_popularity_fact(spark, sf_dir):
     """Popularity measurements with the measuring day as a UTC date."""
-    pop = st.popularity(_t(spark, sf_dir))
-    raw = pop.select(F.col("id"), F.col("fk_game").alias("game_id"),
-                     F.col("fk_popularity_type").alias("popularity_type"),
-                     F.col("popularity_score").alias("value"),
+    pop = _t(spark, sf_dir).events
+    raw = pop.select(F.col("event_id").alias("id"), F.col("user_id").alias("game_id"),
+                     F.col("event_type").alias("popularity_type"), "value",
                      S.timestamp_to_epoch("ts").alias("calculated_at"))
     return silver.clean_popularity(raw, type_as_id=False)
 
@@ -135,15 +146,24 @@ DOCUMENT_CONTRACT = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()),
-    T.StructField("n_chars", T.IntegerType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("half", T.LongType()),
+    T.StructField("codes", T.ArrayType(T.LongType())),
 ])
 
 
 def q_bad_rows(spark, sf_dir):
-    """S3: documents against a 255-character text contract; every text is
-    measured whole. One row per document with its quarantine reason."""
+    """S3: documents against a contract that some break: texts over 255
+    characters (measured whole), sizes that are no number, halves that are no
+    whole number, lists with an element that is no number. One row per
+    document with its quarantine reason."""
     docs = _t(spark, sf_dir).documents
-    flagged = snap.flag_bad_rows(docs, DOCUMENT_CONTRACT)
+    file_like = docs.select(
+        "doc_id", "text", "lang",
+        F.when(F.col("n_chars") < 400, "few").otherwise(F.col("n_chars").cast("string")).alias("size"),
+        (F.col("n_chars") / 2).cast("double").alias("half"),
+        F.array(F.substring("source", 4, 10), F.when(F.col("lang") == "de", "x").otherwise("7")).alias("codes"))
+    flagged = snap.flag_bad_rows(file_like, DOCUMENT_CONTRACT)
     return flagged.select("doc_id", "lang", F.col(snap.BAD_REASON).alias("bad_reason"))
 
 
@@ -173,19 +193,32 @@ MEDALLION_RUN_DATE = "20240615"
 
 
 def q_medallion_run(spark, sf_dir):
-    """S1-S9 + Q1/Q2 end to end: land the derived games and status snapshots,
-    run the daily pipeline (contract load, silver tables, gold views with
-    display names) and return the published game fact."""
-    t = _t(spark, sf_dir)
+    """S1-S9 + Q1/Q2 end to end: land the derived snapshots of all nine
+    entities, run the daily pipeline (contract load, silver tables, gold views
+    with display names) and return the published game fact."""
     base = scratch_path(spark, "medallion")
-    snap.land_snapshot(st.raw_items(t), base, MEDALLION_RUN_DATE, "raw_games")
-    snap.land_snapshot(st.status_dim(t), base, MEDALLION_RUN_DATE, "raw_gamestatus")
-    run_daily(spark, base, MEDALLION_RUN_DATE, base,
-              contracts={"raw_games": SC.RAW_GAMES, "raw_gamestatus": SC.RAW_GAMESTATUS},
-              display_names=True, fail_on_test=False)
+    for entity, frame in st.raw_entities(_t(spark, sf_dir)).items():
+        snap.land_snapshot(frame, base, MEDALLION_RUN_DATE, entity)
+    run_daily(spark, base, MEDALLION_RUN_DATE, base, contracts=SC.BRONZE_CONTRACTS, display_names=True, fail_on_test=False)
     return catalog.ref(spark, catalog.schema_name(None, "gold"), "fct_games")  # S9: named read
 
 
+def _gold_model(name: str):
+    def run(spark, sf_dir):
+        raw = st.raw_entities(_t(spark, sf_dir))
+        needed = {"raw_games" if "bridge" in name else "raw_" + name.removeprefix("dim_")}
+        silver_models = silver.build_silver({k: v for k, v in raw.items() if k in needed})
+        return gold.build_gold(silver_models, display=True)[name]
+    run.__doc__ = f"Q1b/Q1d/Q2c: {name} from its raw entity, cleaned and published with display names."
+    return run
+
+
+def q_dq_all_models(spark, sf_dir):
+    """The whole suite, 66 checks over the 13 silver models."""
+    models = silver.build_silver(st.raw_entities(_t(spark, sf_dir)))
+    return run_silver_checks({k: materialize_shared(v, k) for k, v in models.items()})
+
+
 # ---- report queries --------------------------------------------------------
 
 def q_top3_rated(spark, sf_dir):
@@ -203,17 +236,18 @@ def q_top3_rated_ties(spark, sf_dir):
 
 
 def q_popularity_rank(spark, sf_dir):
-    """Q6: dense popularity rank for one popularity type, top-N kept."""
-    pop = st.popularity(_t(spark, sf_dir))
-    return reports.popularity_rank(pop, "fk_game", "fk_popularity_type", "popularity_score",
-                                   st.POPULARITY_TYPE, st.TOP_N)
+    """Q6: game names by dense popularity rank under the status and type
+    slicers, the default ten kept."""
+    model = st.item_model(_t(spark, sf_dir))
+    return reports.popularity_rank(model, {"status": st.STATUS_SELECTION, "popularity_type": st.POPULARITY_TYPE,
+                                           "game_mode": st.MODE_SELECTION})
 
 
 def q_popularity_flags(spark, sf_dir):
-    """Every entity's summed score with its dense rank and top-N flag."""
-    pop = st.popularity(_t(spark, sf_dir))
-    return reports.popularity_flags(pop, "fk_game", "fk_popularity_type", "popularity_score",
-                                    st.POPULARITY_TYPE, st.TOP_N)
+    """Every game name's summed score with its dense rank and top-N
+    flag, for one popularity type."""
+    model = st.item_model(_t(spark, sf_dir))
+    return reports.popularity_flags(model, {"popularity_type": st.POPULARITY_TYPE, "top_n": [st.TOP_N]})
 
 
 def _top_labels(aspect: str, metric: str):
@@ -224,6 +258,36 @@ def _top_labels(aspect: str, metric: str):
     return run
 
 
+def _top_labels_in_status(aspect: str, metric: str):
+    def run(spark, sf_dir):
+        model = st.item_model(_t(spark, sf_dir))
+        visual = "top5_by_rating" if metric == "rating" else "top5_by_reviews"
+        context = reports.context_for(visual, {"status": st.STATUS_SELECTION, "game_mode": st.MODE_SELECTION, "aspect": [aspect]})
+        facts = reports.facts_in_context(model, None, context["status"])
+        return reports.top_labels_for_aspect(model, st.ASPECT_TO_DIM, context["aspect"], metric, 5, facts)
+    run.__doc__ = f"Q7/Q8/Q9 under the status slicer (the mode slicer doesn't reach it): top-5 {aspect} by {metric}."
+    return run
+
+
+def q_status_list(spark, sf_dir):
+    """Q15: status slicer values; unknown statuses are its blank."""
+    return st.item_fact(_t(spark, sf_dir)).select("status").distinct()
+
+
+def q_genre_list(spark, sf_dir):
+    """Q15: genre labels under the status slicer."""
+    model = st.item_model(_t(spark, sf_dir))
+    return reports.slicer_values(model, "genre", reports.facts_in_context(model, None, st.STATUS_SELECTION))
+
+
+def q_wishlist_order(spark, sf_dir):
+    """L1: the wishlist table in its display order, with each row's position
+    in the ordered result."""
+    top = reports.wishlist_top(st.item_fact(_t(spark, sf_dir)), 25)
+    order = [F.col("wishlist_count").desc(), F.col("name")]
+    return with_position(top, order)
+
+
 def q_most_wishlisted(spark, sf_dir):
     """Q4: most wishlisted unreleased game."""
     return reports.most_wishlisted(st.item_fact(_t(spark, sf_dir)))
@@ -254,11 +318,8 @@ def q_filter_propagation(spark, sf_dir):
 
 
 def q_types_with_status(spark, sf_dir):
-    """Q13: line return flags (as popularity types) seen on games with a
-    known status."""
-    t = _t(spark, sf_dir)
-    lines = t.lineitem.select(F.col("l_partkey").alias("fk_game"), F.col("l_returnflag").alias("popularity_type"))
-    return reports.types_with_known_status(lines, st.item_fact(t), "fk_game", "popularity_type")
+    """Q13: popularity types measured for games with a known status."""
+    return reports.types_with_known_status(st.item_model(_t(spark, sf_dir)))
 
 
 def q_label_lists(spark, sf_dir):
@@ -269,12 +330,15 @@ def q_label_lists(spark, sf_dir):
 
 
 def q_calendar_dim(spark, sf_dir):
-    """Q3: the calendar dimension looked up for every order date, with the
-    number of orders per day."""
+    """Q3: every day of the calendar with its number of orders; orders of
+    other days, or of none, are in the blank member."""
     orders = _t(spark, sf_dir).orders
-    per_day = orders.groupBy(F.to_date("o_orderdate").alias("Date")).agg(F.count(F.lit(1)).alias("n_orders"))
-    cal = F.broadcast(calendar(spark, as_of=st.AS_OF))
-    return per_day.join(cal, "Date", "inner").select(*CALENDAR_COLUMNS, "n_orders")
+    day = F.to_date("o_orderdate")
+    known = F.when(day.between(F.lit(DEFAULT_START), F.lit(DEFAULT_END)), day)
+    per_day = orders.groupBy(known.alias("_day")).agg(F.count(F.lit(1)).alias("n_orders"))
+    cal = calendar(spark, as_of=st.AS_OF)
+    return cal.join(per_day, F.col("Date") == F.col("_day"), "full_outer").select(
+        *CALENDAR_COLUMNS, F.coalesce("n_orders", F.lit(0).cast("bigint")).alias("n_orders"))
 
 
 def q_drill_by_date(spark, sf_dir):
@@ -401,4 +465,19 @@ QUERIES: dict[str, Query] = {
     "dq_range": q_dq_range,
     "dq_values": q_dq_values,
     "dq_suite": q_dq_suite,
+    "dq_all_models": q_dq_all_models,
+    "dim_franchise": _gold_model("dim_franchise"),
+    "dim_gamemode": _gold_model("dim_gamemode"),
+    "dim_gametype": _gold_model("dim_gametype"),
+    "dim_genre": _gold_model("dim_genre"),
+    "dim_poptype": _gold_model("dim_poptype"),
+    "dim_bridge_franchise": _gold_model("dim_bridge_franchise"),
+    "dim_bridge_gamemode": _gold_model("dim_bridge_gamemode"),
+    "dim_bridge_genre": _gold_model("dim_bridge_genre"),
+    "dim_bridge_platform": _gold_model("dim_bridge_platform"),
+    "top5_genre_rating_status": _top_labels_in_status("Genres", "rating"),
+    "top5_mode_reviews_status": _top_labels_in_status("Game modes", "reviews"),
+    "status_list": q_status_list,
+    "genre_list": q_genre_list,
+    "wishlist_order": q_wishlist_order,
 }

@@ -17,10 +17,11 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import avg_fixed, sum_fixed
+from strata.functions.exact import avg_fixed, sum_exact
 from strata.operators import semantic as sem
 from strata.operators import topn
 from strata.operators.summarize import drill
+from strata.session import materialize_shared
 from strata.sources.catalog import DEFAULT_TOP_N, selected_value
 
 # Weighted ratings and popularity scores carry 2 decimals; their sums and
@@ -87,7 +88,15 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
     summed reviews and their first game-mode label (Q5: J6 A5 A4 A7 L2 J7).
     ``display_scale`` ranks the average as displayed, rounded to that many
     decimals (coarser values tie more often)."""
-    facts = facts_in_context(model, filters, status)
+    chosen = (filters or {}).get(mode_dim)
+    pairs = sem.label_pairs(model, mode_dim)
+    if chosen:
+        pairs = pairs.filter(F.col("label").isin(list(chosen)))
+    pairs = materialize_shared(pairs, "mode-pairs")  # read for the filter and for the label
+    others = {k: v for k, v in (filters or {}).items() if k != mode_dim}
+    facts = facts_in_context(model, others, status)
+    if chosen:
+        facts = facts.join(pairs.select(model.fact_key).distinct(), model.fact_key, "left_semi")
     avg = avg_fixed(F.col("weighted_rating"), SCORE_SCALE)
     if display_scale is not None:
         avg = F.round(avg, display_scale)
@@ -95,42 +104,46 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
         avg.alias("avg_weighted_rating"),
         F.sum("num_of_reviews").cast("bigint").alias("sum_reviews"))
     best = topn.top_n_with_ties(per_name, "avg_weighted_rating", n)
-    pairs = sem.label_pairs(model, mode_dim)
-    chosen = (filters or {}).get(mode_dim)
-    if chosen:
-        pairs = pairs.filter(F.col("label").isin(list(chosen)))
     modes = (pairs.join(facts.select(model.fact_key, "name"), model.fact_key, "inner")
                   .join(best.select("name"), "name", "left_semi")
                   .groupBy("name").agg(F.min("label").alias("min_mode")))
     return display_order(best.join(modes, "name", "left"), F.col("avg_weighted_rating").desc(), "name")
 
 
-def popularity_rank(popularity: DataFrame, entity: str, type_col: str, score: str,
-                    type_values: Iterable | None, n: int | None = None) -> DataFrame:
-    """Entities by summed score for the selected popularity type, dense
-    ranked, keeping those flagged top-N (Q6: A4 W1 W2 P8)."""
-    n = n or DEFAULT_TOP_N
-    rows = popularity
-    if type_values:
-        rows = rows.filter(F.col(type_col).isin(list(type_values)))
-    per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
-    ranked = topn.dense_top_n(per, "popularity_score", n, rank_col="popularity_rank")
-    return display_order(ranked.withColumn("is_top_n", F.lit(1)), "popularity_rank", entity)
-
-
-def popularity_flags(popularity: DataFrame, entity: str, type_col: str, score: str,
-                     type_values: Iterable | None, n: int | None = None) -> DataFrame:
-    """Every entity with its summed score, its dense rank among all entities
-    and the 1/0 "is top N" flag (W1 + W2: the rank measure and the flag the
-    rank table filters on)."""
-    n = n or DEFAULT_TOP_N
-    rows = popularity
-    if type_values:
-        rows = rows.filter(F.col(type_col).isin(list(type_values)))
-    per = rows.groupBy(entity).agg(sum_fixed(F.col(score), SCORE_SCALE).alias("popularity_score"))
-    ranked = topn.dense_rank_all(per, "popularity_score", rank_col="popularity_rank")
+def popularity_by_name(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
+    """Summed popularity score per game *name* (games sharing a name merge)
+    under the slicers that reach the rank table: status restricts the games
+    and, through them, the measurements; the popularity type restricts the
+    measurements (J6 over both facts, A4). Scores are summed exactly, per game
+    first, so a much measured game shrinks before it meets its name."""
+    context = context_for("popularity_rank", selections)
+    status = context.get("status")
+    games = facts_in_context(model, None, status)
+    r = model.related["popularity"]
+    rows = sem.related_rows(model, "popularity", context, games if status else None)
+    per_game = rows.groupBy(r.key).agg(sum_exact(F.col("popularity_score")).alias("_score"))
+    names = games.select(F.col(model.fact_key).alias(r.key), "name")
+    return (per_game.join(names, r.key, "left").groupBy("name")
+            .agg(F.sum("_score").cast("decimal(38,18)").alias("popularity_score")))
+
+
+def popularity_rank(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
+    """Game names by summed score, dense ranked, keeping those flagged top-N
+    (Q6: A4 W1 W2 P8 A13). N is the slicer's single choice, else 10."""
+    n = selected_value(selections.get("top_n"), DEFAULT_TOP_N)
+    ranked = topn.dense_top_n(popularity_by_name(model, selections), "popularity_score", n, rank_col="popularity_rank")
+    ranked = ranked.withColumn("popularity_score", F.col("popularity_score").cast("double")).withColumn("is_top_n", F.lit(1))
+    return display_order(ranked, "popularity_rank", "name")
+
+
+def popularity_flags(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
+    """Every game name with its summed score, its dense rank among all
+    selected names and the 1/0 "is top N" flag (W1 + W2: the rank measure and
+    the flag the rank table filters on)."""
+    n = selected_value(selections.get("top_n"), DEFAULT_TOP_N)
+    ranked = topn.dense_rank_all(popularity_by_name(model, selections), "popularity_score", rank_col="popularity_rank")
     flag = F.when(F.col("popularity_rank") <= n, 1).otherwise(0)
-    return ranked.withColumn("is_top_n", flag)
+    return ranked.withColumn("popularity_score", F.col("popularity_score").cast("double")).withColumn("is_top_n", flag)
 
 
 def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: int = 5,
@@ -163,10 +176,10 @@ def top_labels_for_aspect(model: sem.SemanticModel, aspect_to_dim: Mapping[str,
 
 
 def scatter_points(fact: DataFrame, collation: str | None = None) -> DataFrame:
-    """Distinct (reviews, weighted rating) points with a representative
+    """Distinct (reviews, average rating) points with a representative
     (first) name; unrated games are not plotted (Q10: A11)."""
-    return (fact.filter(F.col("weighted_rating").isNotNull())
-                .groupBy("num_of_reviews", "weighted_rating")
+    return (fact.filter(F.col("average_rating").isNotNull())
+                .groupBy("num_of_reviews", "average_rating")
                 .agg(first_in_order("name", collation).alias("name")))
 
 
@@ -183,26 +196,21 @@ def wishlist_top(fact: DataFrame, n: int = 5) -> DataFrame:
     return display_order(topn.top_n_with_ties(per, "wishlist_count", n), F.col("wishlist_count").desc(), "name")
 
 
-def types_with_known_status(popularity: DataFrame, fact: DataFrame, game_col: str,
-                            type_col: str, key: str = "id") -> DataFrame:
+def types_with_known_status(model: sem.SemanticModel) -> DataFrame:
     """Popularity types measured for at least one game whose status is known
-    (Q13: P6 + J6 as a semi join). (game, type) pairs are deduplicated first
-    -- a partial aggregate on every task -- so a game holding most of the
-    measurements reaches the join as one row per type."""
-    known = fact.filter(F.col("status").isNotNull()).select(F.col(key).alias(game_col))
-    pairs = popularity.select(game_col, type_col).distinct()
-    return pairs.join(known, game_col, "left_semi").select(type_col).distinct()
+    (Q13: P6 + J6 as a semi join over the fact-to-fact relationship)."""
+    known = model.fact.filter(F.col("status").isNotNull())
+    return sem.related_labels(model, "popularity", "popularity_type", known).withColumnRenamed("label", "popularity_type")
 
 
 def drill_by_release(fact: DataFrame, calendar: DataFrame, levels: list[str],
                      aggs: Mapping[str, Column]) -> DataFrame:
-    """The fact by release-date hierarchy level (Q14: J4 + A15). The
-    calendar's size is bounded by its date span, so it is broadcast."""
-    lookup_cols = [c for c in levels if c != "Date"]
-    cal = F.broadcast(calendar.select(F.col("Date").alias("date_first_release"), *lookup_cols))
-    joined = fact.join(cal, "date_first_release", "left")
-    if "Date" in levels:
-        joined = joined.withColumn("Date", F.col("date_first_release"))
+    """The fact by release-date hierarchy level (Q14: J4 + A15). Every level,
+    the date too, is the calendar's: games without a date, or with one outside
+    the calendar, are in its blank member. The calendar's size is bounded by
+    its date span, so it is broadcast."""
+    cal = F.broadcast(calendar.select(F.col("Date").alias("_released"), *levels))
+    joined = fact.join(cal, F.col("date_first_release") == F.col("_released"), "left")
     return drill(joined, levels, aggs)
 
 

@@ -29,16 +29,13 @@ flattened array, game type = nation (many-to-one).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import timestamp_to_epoch
 from strata.operators import semantic as sem
-from strata.operators.skew import hot_keys, salted_join
 from strata.plans import gold, silver
-from strata.session import materialize_shared, scratch_path
+from strata.session import materialize_shared
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -47,9 +44,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 MODE_SELECTION = ["1-URGENT"]
 GENRE_SELECTION = ["NATION_9"]
 STATUS_SELECTION = ["AFRICA", "ASIA"]
-POPULARITY_TYPE = ["purchase"]
+POPULARITY_TYPE = ["PURCHASE"]
 TOP_N = 25
-AS_OF = "2024-06-15"
+AS_OF = "1998-06-15"  # inside the order dates: every relative-date flag takes both values
 
 # dimension-switch labels -> stand-in dimensions
 ASPECT_TO_DIM = {
@@ -61,76 +58,27 @@ ASPECT_TO_DIM = {
 }
 
 
-_RELATIONS: dict[tuple, DataFrame] = {}
-
-
-def _file_signature(path: str):
-    """(mtime, size) of a local file, or of a folder's files; None when the
-    path is not local (then nothing is cached)."""
-    if "://" in path and not path.startswith("file:"):
-        return None
-    local = path.removeprefix("file:")
-    if not os.path.exists(local):
-        return None
-    if os.path.isfile(local):
-        st_ = os.stat(local)
-        return (st_.st_mtime_ns, st_.st_size)
-    sig = []
-    for root, _, files in os.walk(local):
-        for f in sorted(files):
-            st_ = os.stat(os.path.join(root, f))
-            sig.append((f, st_.st_mtime_ns, st_.st_size))
-    return tuple(sig)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` whose resolved relation (file listing, footer
-    schema) is reused while the local files are unchanged."""
-    sig = _file_signature(path)
-    if sig is None:
-        return spark.read.parquet(path)
-    key = (id(spark), path, sig)
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
-
-
-_PERSISTED: dict[tuple, str] = {}
-
-
-def persisted(t: "Tables", name: str, build, sources=("part", "lineitem")) -> DataFrame:
-    """A layer table of the item catalogue, written once per source-data
-    signature to the shared folder and read back by every query that needs it
-    -- as the reference persists its bronze and silver tables and its reports
-    read them. Rebuilt when a source file changes; not cached for non-local
-    sources, nor when ``STRATA_REUSE_LAYERS=0`` (then every query rebuilds
-    its layers, still writing each one once)."""
-    sigs = tuple(_file_signature(f"{t.sf_dir}/{x}.parquet") for x in sources)
-    if os.environ.get("STRATA_REUSE_LAYERS", "1") == "0" or any(sig is None for sig in sigs):
-        return materialize_shared(build(), name)
-    key = (id(t.spark), t.sf_dir, name, sigs)
-    path = _PERSISTED.get(key)
-    if path is None or not os.path.exists(path.removeprefix("file:")):
-        path = scratch_path(t.spark, name)
-        build().write.mode("overwrite").parquet(path)
-        _PERSISTED[key] = path
-    return t.spark.read.parquet(path)
-
-
 class Tables:
-    """Lazy readers for the driver's parquet tables; each table is resolved
-    once and the same frame is reused, which also lets the planner recognise
-    repeated scans of it."""
+    """Lazy readers for the driver's parquet tables, for one query: each table
+    is resolved once and its frame reused, which also lets the planner
+    recognise repeated scans of it. A layer that the query reads twice is
+    written once (:meth:`layer`); nothing outlives the instance."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
+    def layer(self, name: str, build) -> DataFrame:
+        layers = self.__dict__.setdefault("_layers", {})
+        if name not in layers:
+            layers[name] = materialize_shared(build(), name)
+        return layers[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
         frames = self.__dict__.setdefault("_frames", {})
         if name not in frames:
-            frames[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+            frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return frames[name]
 
 
@@ -176,6 +124,44 @@ def raw_items(t: Tables) -> DataFrame:
     return items.withColumn("_page", F.explode(pages)).drop("_page", "p_size")
 
 
+def raw_entities(t: Tables) -> dict[str, DataFrame]:
+    """Bronze-shaped snapshots of all nine entities. Games carry all four id
+    arrays (each built from the part's own row); game modes are the order
+    priorities, genres and game types the nations, platforms the suppliers,
+    franchises and statuses the regions, popularity types the event types,
+    measurements the events."""
+    size = F.col("p_size")
+    extra = t.part.select(
+        F.col("p_partkey").alias("_key"),
+        F.when(size <= 40, F.array((F.floor(size / 10) + 1).cast("bigint"))).alias("game_modes"),
+        F.array(F.substring("p_brand", 7, 10).cast("bigint"), F.floor(size / 3).cast("bigint")).alias("genres"),
+        F.when(size > 5, F.array(size.cast("bigint"), F.ascii("p_name").cast("bigint"))).otherwise(F.array().cast("array<bigint>")).alias("platforms"))
+    games = raw_items(t)
+    games = games.join(extra, games["id"] == extra["_key"]).drop("_key")
+    first_order = timestamp_to_epoch(F.min("o_orderdate")).alias("created_at")
+    first_event = timestamp_to_epoch(F.min("ts")).alias("created_at")
+    nation = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
+                             (F.col("n_regionkey") * 86400).cast("bigint").alias("created_at"))
+    first_ship = t.lineitem.groupBy("l_suppkey").agg(F.min("l_shipdate").alias("_first"))
+    return {
+        "raw_games": games,
+        "raw_gamemode": t.orders.groupBy("o_orderpriority").agg(first_order).select(
+            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("id"), F.col("o_orderpriority").alias("name"), "created_at"),
+        "raw_genre": nation,
+        "raw_gametype": nation.withColumnRenamed("name", "type"),
+        "raw_platform": t.supplier.join(first_ship, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
+            F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_name").alias("name"), timestamp_to_epoch("_first").alias("created_at")),
+        "raw_franchise": t.region.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
+                                         (F.col("r_regionkey") * 86400).cast("bigint").alias("created_at")),
+        "raw_gamestatus": status_dim(t),
+        "raw_poptype": t.events.groupBy("event_type").agg(first_event).select(
+            F.ascii("event_type").cast("bigint").alias("id"), F.col("event_type").alias("name"), "created_at"),
+        "raw_popprimitive": t.events.select(
+            F.col("event_id").cast("bigint").alias("id"), F.col("user_id").cast("bigint").alias("game_id"),
+            F.ascii("event_type").cast("bigint").alias("popularity_type"), "value", timestamp_to_epoch("ts").alias("calculated_at")),
+    }
+
+
 def status_dim(t: Tables) -> DataFrame:
     return t.region.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("status"))
 
@@ -185,13 +171,13 @@ def clean_items(t: Tables, raw: DataFrame | None = None) -> DataFrame:
 
 
 def bronze_items(t: Tables) -> DataFrame:
-    """The persisted raw snapshot (bronze) of the item catalogue."""
-    return persisted(t, "bronze-items", lambda: raw_items(t))
+    """The raw snapshot (bronze) of the item catalogue, written once a query."""
+    return t.layer("bronze-items", lambda: raw_items(t))
 
 
 def silver_items(t: Tables) -> DataFrame:
-    """The persisted cleaned games (silver), built from bronze."""
-    return persisted(t, "silver-items", lambda: silver.clean_games(bronze_items(t)))
+    """The cleaned games (silver), written once a query."""
+    return t.layer("silver-items", lambda: silver.clean_games(raw_items(t)))
 
 
 def item_fact(t: Tables) -> DataFrame:
@@ -205,24 +191,22 @@ def franchise_bridge(t: Tables, raw: DataFrame | None = None) -> DataFrame:
 
 
 def genre_bridge(t: Tables) -> DataFrame:
-    # supplier grows with the data: the join strategy is left to the
-    # planner's size statistics and AQE (broadcast while small, else a
-    # shuffle join with skew splitting)
+    """(part, nation of the supplier); lines with an unknown supplier keep a
+    NULL key, the blank member. Pairs are deduplicated before the join, so a
+    supplier's share of the lines never meets in one task."""
     sup = t.supplier.select("s_suppkey", "s_nationkey")
-    return (t.lineitem.select("l_partkey", "l_suppkey")
-             .join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-             .select("l_partkey", "s_nationkey"))
+    pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct()
+    return (pairs.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left").select("l_partkey", "s_nationkey"))
 
 
 def mode_bridge(t: Tables) -> DataFrame:
     """(part, order priority) through lineitem x orders: the one join here
-    between two tables that both grow with the data. Orders holding a large
-    share of the line items are found by sampling and salted."""
-    lines = t.lineitem.select("l_orderkey", "l_partkey")
+    between two tables that both grow with the data. Lines are reduced to
+    distinct (order, part) pairs first, with a partial aggregate in every
+    task; lines with an unknown order keep a NULL key, the blank member."""
+    lines = t.lineitem.select("l_orderkey", "l_partkey").distinct()
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    hot = hot_keys(lines, "l_orderkey")
-    return (salted_join(lines, orders, "l_orderkey", "o_orderkey", "inner", hot)
-            .select("l_partkey", "o_orderpriority"))
+    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("l_partkey", "o_orderpriority"))
 
 
 def item_model(t: Tables, fact: DataFrame | None = None) -> sem.SemanticModel:
@@ -242,13 +226,22 @@ def item_model(t: Tables, fact: DataFrame | None = None) -> sem.SemanticModel:
         "game_type": sem.Dimension("game_type", nation.withColumnRenamed("n_nationkey", "fk_game_type"),
                                    "fk_game_type", "n_name", both_directions=False),
     }
-    return sem.SemanticModel(fact, "id", dims)
+    measured = sem.RelatedFact(popularity(t), "fk_game", {
+        "popularity_type": sem.Dimension("popularity_type", popularity_types(t), "fk_popularity_type", "type_label")})
+    return sem.SemanticModel(fact, "id", dims, {"popularity": measured})
+
+
+def popularity_types(t: Tables) -> DataFrame:
+    """Popularity types: the event types but "error", which stays unknown."""
+    known = t.events.select("event_type").distinct().filter(F.col("event_type") != "error")
+    return known.select(F.col("event_type").alias("fk_popularity_type"), F.upper("event_type").alias("type_label"))
 
 
 def popularity(t: Tables) -> DataFrame:
-    """Events as popularity measurements: user = measured entity, event type =
-    popularity type, value = score."""
+    """Events as popularity measurements: user = measured game, event type =
+    popularity type, a ten-thousandth of the value = score (scores go down to
+    a millionth)."""
     return t.events.select(
         F.col("event_id").alias("id"), F.col("user_id").alias("fk_game"),
-        F.col("event_type").alias("fk_popularity_type"), F.col("value").alias("popularity_score"),
+        F.col("event_type").alias("fk_popularity_type"), (F.col("value") * F.lit(1e-4)).alias("popularity_score"),
         F.col("ts"))

@@ -9,6 +9,7 @@ depend on the driver's locale) and ANSI mode (bad casts fail loudly unless a
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -91,9 +92,10 @@ def _context(spark: SparkSession):
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins. Only when it is unset (local
-    tests) is ``fallback`` -- or a fresh folder under the system temp dir --
-    installed, so a cluster never ends up writing to a machine-local path.
+    The cluster's ``spark.checkpoint.dir`` wins. Only on a ``local`` master
+    (tests) may it be unset: then ``fallback``, or a fresh folder under the
+    system temp dir, is installed. Any other master without the setting is an
+    error, so a cluster never writes to a machine-local path.
     """
     sc = _context(spark)
     current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
@@ -101,6 +103,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return (sc.getCheckpointDir() if sc is not None else None) or current
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), f"strata-ckpt-{uuid.uuid4().hex[:8]}")
     spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:
@@ -116,21 +121,49 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return shared_path(spark, "strata", sc.applicationId if sc is not None else "remote")
+
+
+_RELEASED_AT_EXIT: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, prefix: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    return shared_path(spark, "strata", f"{prefix}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder for intermediate data under the shared
+    checkpoint folder. It belongs to the application and goes with it."""
+    root = _scratch_root(spark)
+    if root not in _RELEASED_AT_EXIT:
+        _RELEASED_AT_EXIT.add(root)
+        atexit.register(release_scratch, spark)
+    return f"{root}/{prefix}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate data: at the end of a run, when
+    no frame that reads it is used any more. Nothing to do on a session that
+    has been stopped."""
+    sc = _context(spark)
+    if sc is None or sc._jsc is None:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = 64 * MiB) -> DataFrame:
+    """Broadcast ``df`` if the optimizer's size estimate is at most
+    ``max_bytes``; else leave the join strategy to Catalyst and AQE.
 
-    The proof is a ``limit(max_rows + 1).count()``, which stops scanning as
-    soon as the bound is exceeded; beyond the bound the frame is returned
-    unchanged and Catalyst/AQE choose a shuffle join instead.
+    Estimates come from file sizes and never shrink on filters or
+    aggregates without statistics, so they are upper bounds for what is read
+    from columnar files up to their compression; no job runs for them.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if estimate <= max_bytes // COMPRESSION else df
+
+
+#: Rows in memory may take so many times their columnar files' bytes.
+COMPRESSION = 8
 
 
 def materialize_shared(df: DataFrame, name: str = "materialized") -> DataFrame:

@@ -20,11 +20,33 @@ ASPECT_CHOICES = [
 ]
 
 
+#: Complete versions of a table that stay on storage; older ones are removed.
+KEPT_VERSIONS = 2
+_POINTER = "number bigint, path string"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _pointers(spark: SparkSession, root: str) -> list:
+    """(number, path) of the table's complete versions, newest first: one
+    small row per kept version."""
+    folder = f"{root.rstrip('/')}/_pointers"
+    fs, path = _file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    rows = spark.read.schema(_POINTER).json(f"{folder}/*").collect()
+    return sorted(((r["number"], r["path"]) for r in rows if r["path"]), reverse=True)
+
+
 def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version folder of the table at ``root``, then
-    point ``{root}/_current`` at it. Readers (:func:`read_current`) never see
-    a missing or half-written table; the previous version stays readable
-    until the new one is complete."""
+    """Write ``df`` as a new version folder of the table at ``root``, then add
+    a pointer with the next number. Readers (:func:`read_current`) take the
+    highest pointer, and nothing that they use is ever rewritten: a write that
+    fails, of the version or of its pointer, leaves the table as it was. Then
+    versions beyond the newest ``KEPT_VERSIONS`` are removed."""
     spark = df.sparkSession
     root = root.rstrip("/")
     version = f"{root}/versions/{tag}-{uuid.uuid4().hex[:10]}"
@@ -32,17 +54,33 @@ def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    before = _pointers(spark, root)
+    number = before[0][0] + 1 if before else 0
+    pointer = spark.createDataFrame([(number, version)], _POINTER).coalesce(1)
+    pointer.write.mode("error").json(f"{root}/_pointers/{number:010d}")
+    for old, path in before[KEPT_VERSIONS - 1:]:
+        for folder in (f"{root}/_pointers/{old:010d}", path):  # the pointer first: it must never dangle
+            fs, p = _file_system(spark, folder)
+            fs.delete(p, True)
     return version
 
 
-def current_version(spark: SparkSession, root: str) -> str:
-    """The version folder the table's pointer names (one tiny read)."""
-    return spark.read.schema("path string").json(f"{root.rstrip('/')}/_current").first()["path"]
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The folder of the newest complete version; None before the first."""
+    found = _pointers(spark, root)
+    return found[0][1] if found else None
+
+
+def version_tag(version: str) -> str:
+    """The tag that a version was published under."""
+    return version.rstrip("/").rpartition("/")[2].rpartition("-")[0]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(current_version(spark, root))
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no version of {root} has been published")
+    return spark.read.parquet(version)
 
 
 def schema_name(custom: str | None, default: str) -> str:
@@ -58,16 +96,16 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
                 base: str | None = None, bucket_by: tuple[int, list[str]] | None = None) -> DataFrame:
     """Publish a model (S8): ``table`` persists it (a new Parquet version
     under ``base`` made current by :func:`publish`, else a catalog table
-    ``layer.name``); ``view`` only registers the
-    plan, so it is recomputed -- and optimized together with its consumer --
-    at read time. ``bucket_by=(n, cols)`` writes a catalog table bucketed
+    ``layer.name``); ``view`` registers the plan for every session of the
+    application (a global temporary view), so it is recomputed -- and optimized
+    together with its consumer -- at read time. :func:`create_view` makes views
+    that outlive the application. ``bucket_by=(n, cols)`` writes a catalog table bucketed
     and sorted by ``cols``: tables bucketed alike on a join key are joined
     later without shuffling either side. Returns the frame consumers read."""
     spark = df.sparkSession
     vname = view_name(layer, name)
     if kind == "view":
-        df.createOrReplaceTempView(vname)
-        return spark.table(vname)
+        return _register(df, vname)
     if kind != "table":
         raise ValueError(f"unknown materialization {kind!r}")
     if base is not None:
@@ -81,13 +119,26 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
             writer = writer.bucketBy(n, *cols).sortBy(*cols)
         writer.saveAsTable(f"`{layer}`.`{name}`")
         out = spark.table(f"`{layer}`.`{name}`")
-    out.createOrReplaceTempView(vname)
-    return out
+    return _register(out, vname)
+
+
+def _register(df: DataFrame, vname: str) -> DataFrame:
+    df.createOrReplaceGlobalTempView(vname)
+    return df.sparkSession.table(f"global_temp.{vname}")
+
+
+def create_view(spark: SparkSession, layer: str, name: str, select: str) -> DataFrame:
+    """A persistent view ``layer.name`` over catalog tables."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS {select}")
+    return spark.table(f"`{layer}`.`{name}`")
 
 
 def ref(spark: SparkSession, layer: str, name: str) -> DataFrame:
-    """Resolve a published model by layer and name."""
-    return spark.table(view_name(layer, name))
+    """Resolve a published model by layer and name (S9), from any session:
+    one published by this application, else the catalog's ``layer.name``."""
+    published = f"global_temp.{view_name(layer, name)}"
+    return spark.table(published if spark.catalog.tableExists(published) else f"`{layer}`.`{name}`")
 
 
 def values_table(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:

@@ -55,13 +55,39 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _not_converted(raw: Column, converted: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """True where a value did not survive its conversion: it became NULL, or a
+    fraction was cut off to make a whole number; in arrays and structs, where
+    that holds for any element or field. None where nothing can go wrong."""
+    if source == target:
+        return None
+    lost = raw.isNotNull() & converted.isNull()
+    if isinstance(source, _FRACTIONAL) and isinstance(target, _WHOLE):
+        return lost | (raw.isNotNull() & (converted.cast(source) != raw))
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        inner = F.exists(F.zip_with(raw, converted, lambda r, c: F.coalesce(
+            _not_converted(r, c, source.elementType, target.elementType), F.lit(False))), lambda bad: bad)
+        return lost | F.coalesce(inner, F.lit(False)) if source.elementType != target.elementType else lost
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        for a, b in zip(source.fields, target.fields):  # structs are cast by position
+            field_lost = _not_converted(raw[a.name], converted[b.name], a.dataType, b.dataType)
+            lost = lost if field_lost is None else lost | field_lost
+    return lost
+
+
 def flag_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT,
                   unbounded_text: Iterable[str] = ()) -> DataFrame:
     """Aligned rows plus ``_bad_reason`` (NULL for good rows) (S3).
 
-    A row is bad when a non-NULL input value does not convert to the
-    contract's type, or a text value is longer than ``max_text`` characters
-    (the whole text is measured; columns in ``unbounded_text`` are exempt).
+    A row is bad when a non-NULL input value, array element or struct field
+    does not convert to the contract's type or loses a fraction to a whole
+    number, or when a text value is longer than ``max_text`` characters (the
+    whole text is measured; columns in ``unbounded_text`` are exempt).
+    Decimals are rounded to the contract's scale, as the source's load does.
     """
     unbounded = {c.lower() for c in unbounded_text}
     names = _lower_map(df)
@@ -74,23 +100,15 @@ def flag_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT,
         raw = _source_col(df, src)
         conv = raw.try_cast(field.dataType)
         cols.append(conv.alias(field.name))
-        reasons.append(F.when(raw.isNotNull() & conv.isNull(), F.lit(f"{field.name}: not {field.dataType.simpleString()}")))
+        lost = _not_converted(raw, conv, df.schema[src].dataType, field.dataType)
+        if lost is not None:
+            reasons.append(F.when(lost, F.lit(f"{field.name}: not {field.dataType.simpleString()}")))
         if isinstance(field.dataType, T.StringType) and max_text and field.name.lower() not in unbounded:
             reasons.append(F.when(F.length(conv) > max_text, F.lit(f"{field.name}: longer than {max_text}")))
     reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
     return df.select(*cols, F.when(reason != "", reason).alias(BAD_REASON))
 
 
-def split_bad_rows(df: DataFrame, schema: T.StructType, max_text: int = MAX_TEXT,
-                   unbounded_text: Iterable[str] = ()):
-    """(good, quarantine) pair from :func:`flag_bad_rows`; the good frame has
-    exactly the contract's columns."""
-    flagged = flag_bad_rows(df, schema, max_text, unbounded_text)
-    good = flagged.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON)
-    bad = flagged.filter(F.col(BAD_REASON).isNotNull())
-    return good, bad
-
-
 def read_snapshot(spark: SparkSession, base: str, run_date: str, entity: str,
                   schema: T.StructType | None = None) -> DataFrame:
     """Read exactly one day's file of one entity (S1); aligned when a
@@ -137,21 +155,6 @@ def land_snapshot(df: DataFrame, base: str, run_date: str, entity: str,
     return path
 
 
-def refresh_table(df: DataFrame, name: str | None = None, path: str | None = None) -> None:
-    """Full refresh: replace the target's contents with ``df``.
-
-    Loading the same snapshot twice gives the same table. ``path`` writes a
-    Parquet folder; ``name`` a catalog table.
-    """
-    if (name is None) == (path is None):
-        raise ValueError("give exactly one of name or path")
-    writer = df.write.mode("overwrite")
-    if path is not None:
-        writer.parquet(path)
-    else:
-        writer.format("parquet").saveAsTable(name)
-
-
 def publish_flagged(spark: SparkSession, flagged: DataFrame, root: str, tag: str) -> str:
     """Publish flagged rows as the new current version of a bronze root,
     partitioned by ``_load_status``; see :func:`strata.sources.catalog.publish`

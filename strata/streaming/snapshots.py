@@ -5,8 +5,8 @@ catch-up. Here the same full-refresh load is driven by the landing folder
 itself: a file-source stream over ``{base}/raw/*/{entity}.parquet`` with an
 ``availableNow`` trigger picks up every snapshot landed since the last run
 (tracked exactly once in the stream's checkpoint), and each micro-batch
-replaces the bronze table with its newest run date's rows -- so a backlog of
-several days collapses to the latest snapshot, as a truncate-and-load would.
+reloads its newest run date whole -- so a backlog of several days collapses to
+the latest snapshot, as a truncate-and-load would.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.sources import snapshot as snap
+from strata.sources.catalog import current_version, version_tag
 
 RUN_DATE = "_run_date"
 
@@ -32,23 +33,31 @@ def landed_stream(spark: SparkSession, landing_base: str, entity: str, file_sche
     return df.withColumn(RUN_DATE, F.regexp_extract(F.input_file_name(), r"/raw/([^/]+)/", 1))
 
 
-def _refresh_latest(contract: T.StructType, root: str, unbounded_text):
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.agg(F.max(RUN_DATE)).scalar()
-        rows = batch.filter(F.col(RUN_DATE) == latest).drop(RUN_DATE)
-        flagged = snap.flag_bad_rows(rows, contract, unbounded_text=unbounded_text)
-        snap.publish_flagged(batch.sparkSession, flagged, root, f"batch{batch_id}")
-    return handle
+def _arrived_dates(batch: DataFrame) -> list[str]:
+    """The run dates a micro-batch saw files of: a handful of strings."""
+    return sorted(r[0] for r in batch.select(RUN_DATE).distinct().collect())
 
 
 def load_new_snapshots(spark: SparkSession, landing_base: str, entity: str, file_schema: T.StructType,
                        contract: T.StructType, target_base: str, checkpoint: str,
                        unbounded_text=(), wait: bool = True) -> StreamingQuery:
     """Load whatever snapshots of ``entity`` landed since the last call into
-    its bronze root (read it with :func:`strata.sources.snapshot.read_bronze`)."""
+    its bronze root (read it with :func:`strata.sources.snapshot.read_bronze`).
+
+    A batch only tells which days have new files: the newest of them is loaded
+    whole from its folder, so a day whose files arrive apart ends complete. A
+    day older than the published one is skipped."""
     root = f"{target_base.rstrip('/')}/bronze/{entity}"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        dates = _arrived_dates(batch)
+        published = current_version(batch.sparkSession, root)
+        if dates and (published is None or version_tag(published) <= dates[-1]):
+            snap.load_entity(batch.sparkSession, landing_base, dates[-1], entity, contract, target_base,
+                             unbounded_text=unbounded_text)
+
     q = (landed_stream(spark, landing_base, entity, file_schema)
-         .writeStream.foreachBatch(_refresh_latest(contract, root, unbounded_text))
+         .writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -74,9 +83,10 @@ def run_on_arrival(spark: SparkSession, landing_base: str, warehouse: str, check
     file_schema = spark.read.parquet(f"{landing_base.rstrip('/')}/raw/*/{marker_entity}.parquet").schema
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        dates = [r[0] for r in batch.select(RUN_DATE).distinct().collect()]
-        if dates:
-            run_daily(batch.sparkSession, landing_base, max(dates), warehouse, contracts,
+        dates = _arrived_dates(batch)
+        published = current_version(batch.sparkSession, f"{warehouse.rstrip('/')}/bronze/{marker_entity}")
+        if dates and (published is None or version_tag(published) <= dates[-1]):
+            run_daily(batch.sparkSession, landing_base, dates[-1], warehouse, contracts,
                       fail_on_test=fail_on_test)
 
     q = (landed_stream(spark, landing_base, marker_entity, file_schema)

@@ -19,6 +19,9 @@ def spark():
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = (b.config("spark.sql.shuffle.partitions", "8")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.buffer.kb", "1k")
+         .config("spark.eventLog.dir", "file://" + tempfile.mkdtemp(prefix="strata-test-events-"))
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-test-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

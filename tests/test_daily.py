@@ -62,6 +62,31 @@ def test_stream_loads_latest_snapshot(spark):
     assert rows(snap.read_bronze(spark, f"{base}/bronze/raw_gamestatus"), "id", "status") == [(7, "Offline")]
 
 
+def test_day_with_two_files_ends_complete(spark):
+    base, ckpt = tempfile.mkdtemp(prefix="strata-parts-"), tempfile.mkdtemp(prefix="strata-parts-ckpt-")
+    day = snap.snapshot_path(base, "20240102", "raw_gamestatus")
+    status = lambda ids: spark.createDataFrame([(i, f"s{i}") for i in ids], "id bigint, status string").coalesce(1)
+    load = lambda: load_new_snapshots(spark, base, "raw_gamestatus", status([1]).schema, SC.RAW_GAMESTATUS, base, ckpt)
+    status([1, 2]).write.parquet(day)
+    load()
+    status([3]).write.mode("append").parquet(day)  # the rest of the day's files
+    load()
+    assert rows(snap.read_bronze(spark, f"{base}/bronze/raw_gamestatus"), "id") == [(1,), (2,), (3,)]
+    status([9]).write.parquet(snap.snapshot_path(base, "20240101", "raw_gamestatus"))  # a late older day
+    load()
+    assert rows(snap.read_bronze(spark, f"{base}/bronze/raw_gamestatus"), "id") == [(1,), (2,), (3,)]
+
+
+def test_gold_views_persist_in_the_catalog(spark):
+    base = tempfile.mkdtemp(prefix="strata-views-")
+    _land_all(spark, base, "20240401")
+    run = run_daily(spark, base, "20240401", base, fail_on_test=False, catalog=True)
+    other = spark.newSession()
+    for name, frame in run.gold.items():
+        assert rows(other.table(f"gold.{name}")) == rows(frame), name
+        assert other.table(f"gold.{name}").columns == frame.columns
+
+
 def test_command_line_run(spark):
     from strata.plans.daily import main
 

@@ -64,27 +64,60 @@ def test_most_wishlisted_tie_takes_first_name(spark):
 
 def test_scatter_and_count(spark):
     fact = spark.createDataFrame([(1, "b", 3, 7.5), (2, "a", 3, 7.5), (3, "c", 1, None)],
-                                 "id bigint, name string, num_of_reviews bigint, weighted_rating double")
+                                 "id bigint, name string, num_of_reviews bigint, average_rating double")
     assert rows(reports.scatter_points(fact)) == [(3, 7.5, "a")]
     assert reports.game_count(fact).first().n_items == 3
 
 
-def test_popularity_rank_dense(spark):
-    pop = spark.createDataFrame([(1, "t", 4.5), (1, "t", 4.5), (2, "t", 9.0), (3, "t", 7.0), (4, "u", 100.0)],
-                                "g bigint, ty string, s double")
-    out = rows(reports.popularity_rank(pop, "g", "ty", "s", ["t"], 2), "g", "popularity_rank")
-    assert out == [(1, 1), (2, 1), (3, 2)]
+def _popularity_model(spark):
+    from strata.operators import semantic as sem
+
+    games = spark.createDataFrame([(1, "A", "on"), (2, "B", "on"), (3, "A", "on"), (4, "C", "off"), (5, "D", None)],
+                                  "id bigint, name string, status string")
+    pop = spark.createDataFrame(
+        [(1, "t", 0.001), (3, "t", 0.0000123), (2, "t", 0.004), (4, "t", 9.0), (2, "u", 5.0), (9, "t", 1.0), (5, "x", 1.0)],
+        "g bigint, ty string, popularity_score double")
+    types = spark.createDataFrame([("t", "Type T"), ("u", "Type U")], "ty string, label string")
+    related = sem.RelatedFact(pop, "g", {"popularity_type": sem.Dimension("popularity_type", types, "ty", "label")})
+    return sem.SemanticModel(games, "id", {}, {"popularity": related})
+
+
+def test_popularity_rank_by_name_keeps_small_scores(spark):
+    m = _popularity_model(spark)
+    ranked = {r.name: (r.popularity_score, r.popularity_rank) for r in
+              reports.popularity_rank(m, {"status": ["on"], "popularity_type": ["Type T"], "top_n": [2]}).collect()}
+    # games 1 and 3 share a name: their scores add up; status "off" is out
+    assert ranked == {"B": (0.004, 1), "A": (0.0010123, 2)}
+    flags = {r.name: (r.popularity_rank, r.is_top_n) for r in
+             reports.popularity_flags(m, {"popularity_type": ["Type T"], "top_n": [1]}).collect()}
+    assert flags == {"C": (1, 1), None: (2, 0), "B": (3, 0), "A": (4, 0)}  # game 9 is unknown: the blank name
+    default = reports.popularity_rank(m, {"popularity_type": ["Type T"]})
+    assert default.count() == 4
+
+
+def test_facts_restrict_each_other(spark):
+    from strata.operators import semantic as sem
+
+    m = _popularity_model(spark)
+    assert rows(sem.propagate(m, {"popularity_type": ["Type U"]}), "id") == [(2,)]
+    assert rows(reports.types_with_known_status(m)) == [("Type T",), ("Type U",)]
+    none = m.fact.filter("status is null")
+    assert rows(sem.related_labels(m, "popularity", "popularity_type", none)) == [(None,)]  # type x has no member
 
 
 def test_drill_levels(spark):
     from strata.sources.calendar import calendar
 
-    fact = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 4, 1)), (3, None)],
+    fact = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 4, 1)), (3, None), (4, dt.date(1901, 1, 1))],
                                  "id bigint, date_first_release date")
     cal = calendar(spark, "2024-01-01", "2024-12-31", as_of="2024-06-15")
     out = reports.drill_by_release(fact, cal, ["Year", "QuarterName"], {"n": F.count("id")})
     got = sorted((r.Year or 0, r.QuarterName or "", r.drill_level, r.n) for r in out.collect())
-    assert (0, "", 0, 3) in got and (2024, "", 1, 2) in got and (2024, "Q2", 2, 1) in got
+    assert (0, "", 0, 4) in got and (2024, "", 1, 2) in got and (2024, "Q2", 2, 1) in got
+    days = reports.drill_by_release(fact, cal, ["Year", "Date"], {"n": F.count("id")}).filter("drill_level = 2")
+    # no date, and a date outside the calendar: one blank member
+    assert {(r.Year, r.Date, r.n) for r in days.collect()} >= {(None, None, 2)}
+    assert "1901" not in str(days.collect())
 
 
 def test_case_insensitive_first_name_is_opt_in(spark):

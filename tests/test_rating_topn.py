@@ -4,16 +4,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import topn
-from strata.operators.rating import bayesian_prior, with_weighted_rating
+from strata.operators.rating import bayesian_prior, exact_median, with_weighted_rating
 
 
 def test_weighted_rating_formula(spark):
     data = [(1, 80.0, 10), (2, 60.0, 2), (3, None, 5), (4, 90.0, 0), (5, 70.0, 4)]
     df = spark.createDataFrame(data, "id bigint, rating double, reviews bigint")
-    prior = bayesian_prior(df, "rating", "reviews").first()
+    mean, median = bayesian_prior(df, "rating", "reviews")
     # prior over rated rows with reviews > 0: ratings 80, 60, 70; counts 10, 2, 4
-    assert abs(prior.global_mean - 70.0) < 1e-12
-    assert prior.confidence_threshold == 4.0
+    assert mean.first()[0] == 70.0
+    assert median.first()[0] == 4.0
     out = {r.id: r.weighted_rating for r in with_weighted_rating(df).collect()}
     m, c = 70.0, 4.0
     assert out[1] == round((c * m + 80 * 10) / (c + 10), 2)
@@ -26,7 +26,18 @@ def test_weighted_rating_runs_prior_once(spark):
     df = spark.createDataFrame([(1, 80.0, 10)], "id bigint, rating double, reviews bigint")
     plan = with_weighted_rating(df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    assert plan.count("ObjectHashAggregate(keys=[], functions=[avg") == 1
+    assert plan.count("functions=[sum(cast(rating") == 1
+
+
+def test_exact_median_matches_statistics(spark):
+    import statistics
+
+    rnd = random.Random(3)
+    for n in (1, 2, 7, 200):
+        vals = [float(rnd.randint(0, 40)) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double").repartition(4)
+        assert exact_median(df, "v").first().median == statistics.median(vals)
+    assert exact_median(spark.createDataFrame([], "v double"), "v").first().median is None
 
 
 def _brute_rank(values, n, dense):
@@ -56,8 +67,6 @@ def test_dense_top_n_matches_dense_rank(spark):
     df = spark.createDataFrame([(1, 9.0), (2, 9.0), (3, 7.0), (4, 5.0), (5, None)], "id int, s double")
     got = sorted((r.id, r.rk) for r in topn.dense_top_n(df, "s", 2, rank_col="rk").collect())
     assert got == [(1, 1), (2, 1), (3, 2)]
-    flagged = {r.id: (r.is_top_n, r.rk) for r in topn.with_top_n_flag(df, "s", 1, rank_col="rk").collect()}
-    assert flagged[1] == (1, 1) and flagged[3] == (0, None) and flagged[5] == (0, None)
 
 
 def test_tie_at_boundary_returns_more_rows(spark):
@@ -96,5 +105,3 @@ def test_materialized_float_metrics(spark):
     got = topn.top_n_with_ties(per, "s", 3, rank_col="rk", materialize=True)
     want = per.withColumn("rk", F.rank().over(Window.orderBy(F.col("s").desc()))).filter("rk <= 3")
     assert sorted((r.g, r.rk) for r in got.collect()) == sorted((r.g, r.rk) for r in want.collect())
-    flags = topn.with_top_n_flag(per, "s", 2, rank_col="rk", materialize=True)
-    assert flags.count() == 13 and flags.filter("is_top_n = 1").count() >= 2

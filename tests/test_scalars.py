@@ -51,12 +51,6 @@ def test_week_numbers_and_leap(spark):
     assert [r.dow for r in out] == [1, 7, 4, 3]
 
 
-def test_round_half_up(spark):
-    df = spark.createDataFrame([(2.345,), (-2.5,), (0.125,)], "x double")
-    got = [r[0] for r in df.select(S.round_half_up("x", 1)).collect()]
-    assert got == [2.3, -2.5, 0.1]
-
-
 def test_exact_fixed_decimal_sums(spark):
     vals = [0.1] * 10 + [0.2] * 5 + [None]
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)

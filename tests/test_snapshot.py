@@ -39,9 +39,8 @@ def test_align_case_extra_missing(spark):
 def test_bad_rows_quarantined(spark):
     df = spark.createDataFrame([(1, "ok", "70"), (2, "x" * 300, "50"), (3, "fine", "not a number")],
                                "id bigint, name string, total_rating string")
-    good, bad = snap.split_bad_rows(df, CONTRACT)
-    assert rows(good, "id") == [(1,)]
-    reasons = {r.id: r[snap.BAD_REASON] for r in bad.collect()}
+    reasons = {r.id: r[snap.BAD_REASON] for r in snap.flag_bad_rows(df, CONTRACT).collect()}
+    assert reasons[1] is None
     assert reasons[2] == "name: longer than 255"
     assert reasons[3].startswith("total_rating: not decimal")
 
@@ -103,11 +102,65 @@ def test_failed_load_keeps_current_table(spark):
     assert rows(snap.read_bronze(spark, root), "id", "name") == before == [(1, "A")]
 
 
-def test_refresh_catalog_table_replaces_contents(spark):
-    df1 = spark.createDataFrame([(1,), (2,)], "a int")
-    df2 = spark.createDataFrame([(3,)], "a int")
-    snap.refresh_table(df1, name="strata_refresh_t")
-    snap.refresh_table(df2, name="strata_refresh_t")
-    assert rows(spark.table("strata_refresh_t")) == [(3,)]
-    with pytest.raises(ValueError):
-        snap.refresh_table(df1)
+def test_lossy_and_nested_conversions_are_bad(spark):
+    contract = T.StructType([T.StructField("id", T.LongType()), T.StructField("tags", T.ArrayType(T.LongType()))])
+    df = spark.createDataFrame([(1.0, ["1", "2"]), (1.7, ["3"]), (3.0, ["1", "x", "3"]), (4.0, None), (None, ["1", None])],
+                               "id double, tags array<string>")
+    got = [r[snap.BAD_REASON] for r in snap.flag_bad_rows(df, contract).collect()]
+    assert got == [None, "id: not bigint", "tags: not array<bigint>", None, None]
+
+
+def test_failed_publish_keeps_the_old_version(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "t")
+    C.publish(spark.range(3), root, "one")
+    with pytest.raises(Exception):
+        C.publish(spark.range(4).select(F.raise_error(F.lit("broken")).alias("id")), root, "two")
+    assert C.read_current(spark, root).count() == 3
+    # a pointer that was begun but never committed is not read either
+    os.makedirs(f"{root}/_pointers/0000000001/_temporary/0")
+    assert C.read_current(spark, root).count() == 3
+    with pytest.raises(Exception):
+        C.publish(spark.range(5), root, "three")  # the same number again: nothing is overwritten
+    assert C.read_current(spark, root).count() == 3
+
+
+def test_old_versions_are_pruned(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (1, 2, 3, 4):
+        C.publish(spark.range(n), root, f"v{n}")
+    assert C.read_current(spark, root).count() == 4
+    assert sorted(x.split("-")[0] for x in os.listdir(f"{root}/versions")) == ["v3", "v4"]
+    assert C.version_tag(C.current_version(spark, root)) == "v4"
+
+
+def test_published_views_are_seen_by_other_sessions(spark):
+    C.materialize(spark.range(7).toDF("n"), "gold", "shared_view", kind="view")
+    assert C.ref(spark.newSession(), "gold", "shared_view").count() == 7
+
+
+def test_shared_folder_is_required_off_local_masters(spark, monkeypatch):
+    from strata import session
+
+    class Context:
+        master, getCheckpointDir = "yarn", staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_is_released(spark):
+    from strata.session import materialize_shared, release_scratch
+
+    df = materialize_shared(spark.range(5), "gone")
+    folder = df.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    release_scratch(spark)
+    assert not os.path.isdir(folder)
