@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir, scratch_path
 
+#: Columns that operators add for their own use start with ``__s_``, so that
+#: no column of the input meets them.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Whitespace that separates words in the contracts: space, \t \n \v \f \r.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -58,16 +60,16 @@ def numbered(df: DataFrame, group: str, keys: list[str], slot: str, rows_per_buc
     last, so neither a large group nor a third of the table being one repeated
     row meets in one task. ``df`` should hold only the columns to keep.
     """
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__s_copies"))
     rows = df.count()
-    distinct = distinct.withColumn("_bucket", F.pmod(F.xxhash64(*keys, F.lit(group)), F.lit(bucket_count(rows, rows_per_bucket))))
-    sizes = distinct.groupBy(group, "_bucket").agg(F.sum("_copies").alias("_rows"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"),
-                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    inside = (Window.partitionBy(group, "_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in df.columns])
+    distinct = distinct.withColumn("__s_bucket", F.pmod(F.xxhash64(*keys, F.lit(group)), F.lit(bucket_count(rows, rows_per_bucket))))
+    sizes = distinct.groupBy(group, "__s_bucket").agg(F.sum("__s_copies").alias("__s_rows"))
+    before = Window.partitionBy(group).orderBy("__s_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(group).alias("__s_g"), F.col("__s_bucket").alias("__s_b"),
+                           F.coalesce(F.sum("__s_rows").over(before), F.lit(0)).alias("__s_offset"))
+    inside = (Window.partitionBy(group, "__s_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in df.columns])
               .rowsBetween(Window.unboundedPreceding, -1))
-    first = distinct.withColumn("_first", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-    joined = first.join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
-    start = F.col("_offset") + F.col("_first")
-    return joined.select(*df.columns, F.explode(F.sequence(start, start + F.col("_copies") - 1)).alias(slot))
+    first = distinct.withColumn("__s_first", F.coalesce(F.sum("__s_copies").over(inside), F.lit(0)))
+    joined = first.join(offsets, F.col(group).eqNullSafe(F.col("__s_g")) & (F.col("__s_bucket") == F.col("__s_b")))
+    start = F.col("__s_offset") + F.col("__s_first")
+    return joined.select(*df.columns, F.explode(F.sequence(start, start + F.col("__s_copies") - 1)).alias(slot))

@@ -253,5 +253,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     own texts and repeated rows go or stay together.
     """
     found = match_benchmark(docs, items, window, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0)
-    found = stored(found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    return docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text_col]) == found["_hash"]), "left_anti")
+    found = stored(found.select(F.col(id_col).alias("__s_id"), F.col("text_hash").alias("__s_hash")).distinct(), "contaminated")
+    return docs.join(found, docs[id_col].eqNullSafe(found["__s_id"]) & (F.xxhash64(docs[text_col]) == found["__s_hash"]), "left_anti")

@@ -72,9 +72,10 @@ def template_positions(spark: SparkSession, templates: Sequence[Template]) -> Da
         if len(words) < k:
             raise ValueError(f"template {t.name} has fewer than {k} words")
         grams = len(words) - k + 1
-        rows += [(k, " ".join(words[i : i + k]), i, t.name, t.label, t.exact, len(words), grams, t.coverage) for i in range(grams)]
-    table = spark.createDataFrame(rows, "k int, gram string, place int, template string, label string, exact boolean, "
-                                        "template_words int, grams int, coverage double")
+        rows += [F.struct(*[F.lit(v).alias(name) for name, v in (
+            ("k", k), ("gram", " ".join(words[i : i + k])), ("place", i), ("template", t.name), ("label", t.label),
+            ("exact", t.exact), ("template_words", len(words)), ("grams", grams), ("coverage", t.coverage))]) for i in range(grams)]
+    table = spark.range(1).select(F.inline(F.array(*rows)))
     word = lambda i: F.split_part("gram", F.lit(" "), F.lit(i))
     g2 = lambda i: F.xxhash64(word(i), word(i + 1))
     return table.withColumn("hash", F.when(F.col("k") == SHORT_GRAM, g2(1)).otherwise(F.xxhash64(g2(1), g2(3))))

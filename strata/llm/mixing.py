@@ -62,11 +62,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float = 1.
     table = stored(_ranked(per_source).withColumn("weight", repeating), "mix-weights")
     total = share * float(table.agg(F.sum("source_size")).first()[0] or 0)
     ceiling = F.lit(float(most)) * F.col("source_size")
-    rate, before = 0.0, None
-    while rate != before:  # every round caps at least one source more, or ends
+    rate, before, exact = 0.0, None, "decimal(38,6)"  # sums that don't depend on the order of rows
+    while True:
         full = F.lit(rate) * F.col("weight") > ceiling
-        row = table.agg(F.sum(F.when(full, ceiling).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
-        before, rate = rate, (total - row[0]) / row[1] if row[1] else rate
+        capped, n, free = table.agg(F.sum(F.when(full, ceiling).otherwise(0.0).cast(exact)), F.count(F.when(full, 1)),
+                                    F.sum(F.when(full, 0.0).otherwise(F.col("weight")).cast(exact))).first()
+        if n == before or not free:  # every round caps a source more, or ends
+            break
+        before, rate = n, (total - float(capped)) / float(free)
     return table.select("source", "source_size", "source_units", F.least(F.lit(rate) * F.col("weight"), ceiling).alias("target"))
 
 
@@ -203,23 +206,23 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share:
     one. Rows equal in id, text and source are one unit that shares its copies
     evenly; an empty table stays empty.
     """
-    keyed = docs.withColumn("_text_hash", F.xxhash64(text_col))
-    unit = [F.col(id_col).alias("_id"), F.col("_text_hash").alias("_hash"), F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size")]
-    units = keyed.select(*unit).groupBy("_id", "_hash", "source", "size").agg(F.count(F.lit(1)).alias("units"))
-    taken = mix_units(units, ["_id", "_hash"], weights, share, most).select(
-        "_id", "_hash", F.col("source").alias("_source"), "units", "copies")
-    taken = stored(taken.filter("copies > 0"), "mix-taken")
+    keyed = docs.withColumn("__s_text_hash", F.xxhash64(text_col))
+    units = (keyed.select(F.col(id_col).alias("__s_id"), F.col("__s_text_hash").alias("__s_hash"), F.col(source_col).alias("source"),
+                          word_count(F.col(text_col)).alias("size"))
+             .groupBy("__s_id", "__s_hash", "source", "size").agg(F.count(F.lit(1)).alias("units")))
+    taken = mix_units(units, ["__s_id", "__s_hash"], weights, share, most).select(
+        "__s_id", "__s_hash", F.col("source").alias("__s_source"), F.col("units").alias("__s_units"), F.col("copies").alias("__s_copies"))
+    taken = stored(taken.filter("__s_copies > 0"), "mix-taken")
 
     def matched(of: DataFrame) -> DataFrame:
-        return keyed.join(of, keyed[id_col].eqNullSafe(of["_id"]) & (keyed["_text_hash"] == of["_hash"])
-                          & keyed[source_col].eqNullSafe(of["_source"]))
+        return keyed.join(of, keyed[id_col].eqNullSafe(of["__s_id"]) & (keyed["__s_text_hash"] == of["__s_hash"])
+                          & keyed[source_col].eqNullSafe(of["__s_source"]))
 
-    times = F.col("copies")
-    out = matched(taken.filter("units = 1")).withColumn("_times", times)
-    repeated = taken.filter("units > 1")
+    times, rows = F.col("__s_copies"), F.col("__s_units")
+    out = matched(taken.filter(rows == 1)).withColumn("__s_times", times)
+    repeated = taken.filter(rows > 1)
     if repeated.limit(1).count():
-        row = F.row_number().over(Window.partitionBy("_id", "_hash", "_source").orderBy(F.lit(0)))
-        even = F.floor(times / F.col("units")) + F.when(row <= F.pmod(times, F.col("units")), 1).otherwise(0)
-        out = out.unionByName(matched(repeated).withColumn("_times", even.cast("long")).filter("_times > 0"))
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+        row = F.row_number().over(Window.partitionBy("__s_id", "__s_hash", "__s_source").orderBy(F.lit(0)))
+        even = F.floor(times / rows) + F.when(row <= F.pmod(times, rows), 1).otherwise(0)
+        out = out.unionByName(matched(repeated).withColumn("__s_times", even.cast("long")).filter("__s_times > 0"))
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__s_times"))).alias("__s_copy")).drop("__s_copy")

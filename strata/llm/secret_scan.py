@@ -28,6 +28,7 @@ SHAPES = (
 _ONLY_LONG = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 #: Runs that the battery tests: maximal, of this length at least.
 RUN_CHARS, RUN_LENGTH = "A-Za-z0-9+/_=-", 20
+LEAST_SYMBOLS = 16
 #: Encodings in the order of inference: name, pattern, alphabet.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = (
@@ -74,7 +75,8 @@ def _normal_tail(z: Column) -> Column:
 
 
 def randomness(runs: DataFrame) -> DataFrame:
-    """``runs`` (with a column ``match``) plus the battery's statistics.
+    """``runs`` (with a column ``match``) plus the battery's statistics, but
+    for plain numbers, unknown encodings and runs that are mostly padding.
 
     chi: chi-squared against a uniform alphabet. changes: runs of characters
     of one kind, less one. serial: correlation of neighbouring symbols' numbers.
@@ -85,7 +87,8 @@ def randomness(runs: DataFrame) -> DataFrame:
     name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
     for n, pattern, chars in reversed(ENCODINGS):
         name, alphabet = F.when(body.rlike(pattern), n).otherwise(name), F.when(body.rlike(pattern), chars).otherwise(alphabet)
-    out = runs.withColumn("encoding", name).withColumn("_alphabet", alphabet).filter("encoding is not null")
+    out = runs.withColumn("encoding", name).withColumn("_alphabet", alphabet)
+    out = out.filter(F.col("encoding").isNotNull() & (F.col("encoding") != "decimal") & (F.length(body) >= LEAST_SYMBOLS))
     symbols = F.filter(F.split(body, ""), lambda c: c != "")
     out = out.withColumn("_s", F.transform(symbols, lambda c: F.instr(F.col("_alphabet"), c).cast("double")))
     kind = lambda c: F.when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3)
@@ -114,7 +117,7 @@ def randomness(runs: DataFrame) -> DataFrame:
     excess = size * repeat - 1
     text_chi = (free + (n - 1) * excess - F.col("chi")) / F.sqrt(2 * free + 4 * (n - 1) * excess * (1 + excess))
     text_change = (F.col("changes") - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * F.lit(TEXT_CHANGE * (1 - TEXT_CHANGE)))
-    out = out.withColumn("like_random", like & (F.col("encoding") != "decimal")).withColumn("p", _normal_tail((text_chi + text_change) / math.sqrt(2)))
+    out = out.withColumn("like_random", like).withColumn("p", _normal_tail((text_chi + text_change) / math.sqrt(2)))
     return out.drop("_alphabet", "_s", "_k", "_n", "_mean", "_c")
 
 

@@ -128,14 +128,14 @@ def deduplicate(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2,
                                                       F.col("text_hash").alias("hash"))).alias("k")).select("k.*")
     rows = prints.groupBy(F.col(id_col).alias("id2"), F.col("text_hash").alias("hash2")).agg(F.count(F.lit(1)).alias("rows"))
     chosen = chosen.join(rows, F.col("id").eqNullSafe(F.col("id2")) & (F.col("hash") == F.col("hash2")))
-    chosen = stored(chosen.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "rows"), "simhash-kept")
-    keyed = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    chosen = stored(chosen.select(F.col("id").alias("__s_id"), F.col("hash").alias("__s_hash"), F.col("rows").alias("__s_rows")), "simhash-kept")
+    keyed = docs.withColumn("__s_text_hash", F.xxhash64(text_col))
 
     def staying(of: DataFrame) -> DataFrame:
-        return keyed.join(of, keyed[id_col].eqNullSafe(of["_id"]) & (keyed["_text_hash"] == of["_hash"]), "left_semi")
+        return keyed.join(of, keyed[id_col].eqNullSafe(of["__s_id"]) & keyed["__s_text_hash"].eqNullSafe(of["__s_hash"]), "left_semi")
 
-    once = staying(chosen.filter("rows = 1"))
-    repeated = chosen.filter("rows > 1")
+    once = staying(chosen.filter("__s_rows = 1"))
+    repeated = chosen.filter("__s_rows > 1")
     if repeated.limit(1).count():
-        once = once.union(staying(repeated).dropDuplicates([id_col, "_text_hash"]))
-    return once.drop("_text_hash")
+        once = once.union(staying(repeated).dropDuplicates([id_col, "__s_text_hash"]))
+    return once.drop("__s_text_hash")

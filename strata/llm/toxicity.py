@@ -41,8 +41,10 @@ class Learning:
 
     max_rows: int = 20_000
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7, 8)
-    min_texts: int = 8
+    min_texts: int = 5
     min_log_ratio: float = 1.2
+    min_strength: float = 28.0
+    uses_a_text: int = 3
     max_stems: int = 200
     steps: int = 50
 
@@ -152,7 +154,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
 
     Stems are word beginnings found in ``how.min_texts`` toxic texts at least,
     whose rate per word in toxic texts is ``exp(how.min_log_ratio)`` times the
-    one in others; that log ratio is their weight. The strongest come first
+    one in others; that log ratio is their weight. A text adds at most
+    ``how.uses_a_text`` uses, so that one that repeats a word all over teaches
+    little. The strongest come first
     (by the likelihood-ratio statistic) and shadow the stems that extend them
     or that they extend. Without labelled rows of both kinds the seeds stand,
     with weight 1.
@@ -178,7 +182,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
                 for s, n in seen.items():
                     c = counts.setdefault((s, label), [0, 0])
                     c[0] += 1
-                    c[1] += n
+                    c[1] += min(n, how.uses_a_text)
             yield pa.record_batch([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
                                    pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())],
                                   names=["stem", "label", "texts", "uses"])
@@ -193,7 +197,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
     g = lambda seen, n: F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / expected(n))).otherwise(0.0)
     ranked = (table.filter((F.col("stem") != "") & (F.col("texts") >= how.min_texts)).withColumn("ratio", ratio)
               .filter(F.col("ratio") >= how.min_log_ratio).withColumn("strength", 2 * (g("bad", n_bad) + g("good", n_good)))
-              .filter("strength > 25").orderBy(F.col("strength").desc(), "stem").limit(20 * how.max_stems).collect())
+              .filter(F.col("strength") > how.min_strength).orderBy(F.col("strength").desc(), "stem").limit(20 * how.max_stems).collect())
     weights: dict[str, float] = {}
     for r in ranked:
         if len(weights) < how.max_stems and not any(r["stem"].startswith(s) or s.startswith(r["stem"]) for s in weights):
