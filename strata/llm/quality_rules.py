@@ -39,7 +39,9 @@ def _class_of_bytes() -> np.ndarray:
 @dataclass(frozen=True)
 class Rules:
     """Limits of the verdict. ``min_chars`` / ``min_words`` are the
-    minimum-length guards of the two comparisons; ``min_language_words`` is
+    minimum-length guards of the two comparisons, and ``noise_words`` over the
+    number of words is added to the word limit, as few words scatter more;
+    ``min_language_words`` is
     the least text a reference is built from (below it, its language is not
     judged)."""
 
@@ -49,6 +51,7 @@ class Rules:
     max_class_distance: float = 0.35
     min_common_words: int = 100
     max_word_distance: float = 0.3
+    noise_words: float = 3.0
     min_language_words: int = 2000
 
 
@@ -190,7 +193,7 @@ def quality_verdicts(docs: DataFrame, references: dict[str, dict] | None = None,
                 row = m.base()
                 failed = row["n_words"] < rules.min_words or 100 * row["n_repeat_words"] > rules.max_repeat_percent * row["n_words"]
                 by_class, by_word = judge(m, lang.as_py(), references, rules)
-                far = (by_class or 0) > rules.max_class_distance or (by_word or 0) > rules.max_word_distance
+                far = (by_class or 0) > rules.max_class_distance or (by_word or 0) > rules.max_word_distance + rules.noise_words / max(1, m.n_words)
                 row |= {"base_failed": failed, "class_distance": by_class, "word_distance": by_word, "kept": not failed and not far}
                 for k, v in row.items():
                     cols[k].append(v)
