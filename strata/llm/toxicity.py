@@ -207,7 +207,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
             weights[s] = how.min_log_ratio
     lexicon = Lexicon(weights)
     points = rows.select("text", "label").mapInArrow(_features(lexicon), "summed double, density double, label int")
-    data = np.array(points.orderBy("summed", "density", "label").collect(), float).reshape(-1, 3)
+    data = np.array(sorted(map(tuple, points.collect())), float).reshape(-1, 3)  # at most how.max_rows rows
     lexicon.coefficients = logistic_fit(data[:, :2], data[:, 2], how.steps)
     return lexicon
 
