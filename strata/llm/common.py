@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,13 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose frames are gone: its
+    cleaner acts when the driver collects garbage, which may be long after."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def bucket_count(rows: int, rows_per_bucket: int) -> int:
     """Buckets that hold about ``rows_per_bucket`` rows each, at least one."""
     return max(1, -(-rows // rows_per_bucket))
