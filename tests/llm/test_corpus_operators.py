@@ -253,6 +253,29 @@ def test_every_character_shingles(spark):
     assert got == {1: [], 2: [0], 3: []}
 
 
+def dense_lines(docs, similarity=0.8):
+    """Lines to drop of documents of one line each, on five characters from
+    every place, all pairs compared."""
+    sets = [frozenset(line[i : i + 5] for i in range(max(1, len(line) - 4))) for line in (text.strip(" ").lower() for _, text in docs)]
+    root = classes(len(sets), [(a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+                               if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])])
+    return {doc: [] if root[k] == k else [0] for k, (doc, _) in enumerate(docs)}
+
+
+def test_urls_spaceless_and_typo_lines(spark):
+    rnd = random.Random(11)
+    typo = "fourteen common words stand in this line and one of them has a typo"
+    han = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
+    lines = ["https://www.example.com/news/2021/a.html", "https://www.other.org/shop?id=9", typo, typo.replace("stand", "stamd"),
+             han, han[:12] + "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(48)), han[:59] + "\u4e01",
+             "id,1234567890,aaaa,bbbb,cccc", "id,1234567890,xxxx,yyyy,zzzz", "abc", "abd", "ABC", "\U0001F642" * 9, "\U0001F642" * 8 + "\U0001F643"]
+    docs = list(enumerate(lines))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: list(r.dropped) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == dense_lines(docs)
+    assert sorted(i for i, dropped in got.items() if dropped) == [3, 6, 11]
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
