@@ -276,6 +276,30 @@ def test_urls_spaceless_and_typo_lines(spark):
     assert sorted(i for i, dropped in got.items() if dropped) == [3, 6, 11]
 
 
+def test_chains_in_one_large_bucket(spark):
+    rnd = random.Random(13)
+
+    def with_changes(line, places):
+        return "".join(chr(ord("A") + k) if k in places else c for k, c in enumerate(line))
+
+    lines = []
+    for _ in range(2):
+        leader = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=100))
+        chain = [with_changes(leader, range(10, 10 + 10 * k, 5)) for k in (1, 2, 3, 4)]  # each like the next only
+        lines += [leader, *[with_changes(leader, [40 + 3 * k]) for k in range(20)], *chain]
+    how = line_dedup.WHOLE_LINES
+    texts = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    members = texts.select(F.lit(1).cast("long").alias("key"), F.lit(len(lines)).cast("long").alias("n"), "id",
+                           F.when(F.col("id") % 25 == 0, 100).otherwise(1).cast("long").alias("lines"))
+    found = components.connected_components(line_dedup.similar_pairs(members, how, texts))
+    roots = {r.node: r.root for r in found.collect()}
+    shingles = [frozenset(line[i : i + 5] for i in range(96)) for line in lines]
+    alike = lambda a, b: len(shingles[a] & shingles[b]) >= how.similarity * len(shingles[a] | shingles[b])
+    assert alike(0, 21) and alike(21, 22) and not alike(0, 22)
+    want = classes(len(lines), [(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if alike(a, b)])
+    assert [roots.get(k, k) for k in range(len(lines))] == want
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
