@@ -8,6 +8,7 @@ histograms are noise.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -95,7 +96,7 @@ class Measure:
     class_of = _class_of_bytes()
 
     def __init__(self, text: str | None):
-        text = text or ""
+        self.text = text = text or ""
         self.data = text.encode("utf-8", "surrogatepass")
         self.words = self.data.split()
         self.counts = Counter(self.words)
@@ -156,11 +157,26 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
                    "common": np.array([v[i] for i in range(k, len(v))], float)} for lang, v in out.items()}
 
 
+#: Letters of the references' script, and letters of any other.
+_LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]").findall
+_OTHER_SCRIPT = re.compile(r"[^\W\d_\u0000-\u024f]").findall
+
+
+def latin_script(text: str) -> bool:
+    """Whether no other script has more letters in ``text`` than the Latin one,
+    in which all of ``COMMON_WORDS`` are written."""
+    return text.isascii() or len(_OTHER_SCRIPT(text)) <= len(_LATIN(text))
+
+
 def judge(m: Measure, lang: str | None, references: dict[str, dict], rules: Rules) -> tuple[float | None, float | None]:
-    """Distances to the reference of ``lang``, or to the nearest one where
-    that is unknown; None where a guard forbids a verdict."""
+    """Distances to the reference of ``lang``. A null language is held against
+    the nearest reference if the text's script is theirs. None where a guard
+    forbids a verdict or there is no reference to judge by."""
     usable = {k: r for k, r in references.items() if r["n_words"] >= rules.min_language_words}
-    against = [lang] if lang in usable else list(usable)
+    if lang is None:
+        against = list(usable) if latin_script(m.text) else []
+    else:
+        against = [lang] if lang in usable else []
     by_class = by_word = None
     if against and len(m.data) >= rules.min_chars:
         classes = m.classes()
@@ -176,10 +192,12 @@ def quality_verdicts(docs: DataFrame, references: dict[str, dict] | None = None,
 
     Two scans when the references are built from ``docs``, no shuffle of
     texts. Null texts count as empty: no words, hence ``base_failed``. A null
-    or unknown language is held against the nearest reference. Texts under the
-    guards get null distances and keep the base verdict, as does everything
-    when no language has a reference (an empty table). Repeated rows are
-    judged each; other columns are ignored.
+    language is held against the nearest reference, if the text is mostly in
+    their script. Texts under the guards, in another script, or of a language
+    without a reference or with too little text for one get null distances
+    and keep the base verdict, as does everything when no language has a
+    reference (an empty table). Repeated rows are judged each; other columns
+    are ignored.
     """
     references = language_references(docs, text_col, lang_col) if references is None else references
     kind = docs.schema[id_col].dataType.simpleString()

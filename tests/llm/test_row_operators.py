@@ -176,6 +176,25 @@ def test_divergent_documents_are_rejected(spark):
     assert all(r.kept for r in quality_rules.quality_verdicts(unknown, references).collect())
 
 
+def test_languages_without_a_reference_keep_the_base_verdict(spark):
+    import random
+
+    rnd = random.Random(4)
+    words = lambda letters, common, n: " ".join(rnd.choice(common) if common and rnd.random() < 0.4 else
+                                                "".join(rnd.choices(letters, k=rnd.randint(3, 9))) for _ in range(n))
+    english = [words("etaoinshrdlu", quality_rules.COMMON_WORDS["en"], 300) for _ in range(20)]
+    french = words("etaoinshrdlu", quality_rules.COMMON_WORDS["fr"], 1900)
+    russian, han = words("оеаинтсрвл", None, 200), words("的一是不了人我在有他", None, 200)
+    junk = "".join(rnd.choices("#$%^&*{}[]|0123456789 ", k=1500))
+    rows = [(t, "en") for t in english] + [(french, "fr"), (russian, "ru"), (han, "zh"), (russian, None), (han, None), (english[0], None), (junk, None)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(docs).collect()}
+    for i in range(20, 25):  # too little French; languages and scripts without a reference
+        assert got[i].class_distance is None and got[i].word_distance is None and got[i].kept != got[i].base_failed and got[i].kept
+    assert got[25].kept and got[25].class_distance is not None
+    assert got[26].class_distance is not None and not got[26].kept
+
+
 # ---- tokens ----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
