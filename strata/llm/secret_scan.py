@@ -28,6 +28,12 @@ SHAPES = (
 _ONLY_LONG = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 #: Runs that the battery tests: maximal, of this length at least.
 RUN_CHARS, RUN_LENGTH = "A-Za-z0-9+/_=-", 20
+#: How runs are cut before an encoding is inferred. First at every '=' but
+#: trailing padding, as in NAME=key; then, as in paths and names, at what only
+#: one base64 alphabet has, at what only the other has, and at both.
+_PADDING = "(?:=+\\z)?"
+WHOLE_PIECE = "[A-Za-z0-9+/_-]{%d,}" + _PADDING
+INNER_PIECES = ("[A-Za-z0-9_-]{%d,}" + _PADDING, "[A-Za-z0-9+/]{%d,}" + _PADDING, "[A-Za-z0-9]{%d,}" + _PADDING)
 LEAST_SYMBOLS = 16
 #: Encodings in the order of inference: name, pattern, alphabet.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +50,7 @@ ENCODINGS = (
 TEXT_REPEAT, TEXT_CHANGE = 0.0655, 0.2
 #: A run must look random at this many standard deviations in each test.
 RANDOM_LIMIT = 3.5
+WIDER = 100.0
 #: P-values are held as steps of a twentieth of a decade.
 STEPS_A_DECADE, MOST_STEPS = 20, 2000
 
@@ -65,6 +72,40 @@ def _places(scanned: DataFrame, column: str) -> DataFrame:
     return rows.select("row", (ends - F.col("size")).alias("start"), ends.alias("end"), "match")
 
 
+def pieces(runs: DataFrame) -> DataFrame:
+    """row, start, end and match of the pieces of ``runs`` (see
+    :func:`_places`) that may be keys, and their ``level``: 0 for what lies
+    between '=' signs, 1 for the cuts inside it."""
+
+    def cut(of: DataFrame, pattern: str) -> DataFrame:
+        found = of.select("row", F.col("start").alias("run"), F.posexplode(_found(F.col("match"), pattern % LEAST_SYMBOLS)).alias("i", "p"))
+        found = found.select("row", "run", "i", "p.match", F.col("p.gap").alias("gap"), F.length("p.match").alias("size"))
+        ends = F.col("run") + F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("row", "run").orderBy("i"))
+        return found.select("row", (ends - F.col("size")).alias("start"), ends.alias("end"), "match").filter(F.length("match") >= RUN_LENGTH)
+
+    separated = F.col("match").rlike("=[^=]")
+    whole = runs.filter(~separated).select("row", "start", "end", "match").unionByName(cut(runs.filter(separated), WHOLE_PIECE))
+    mixed = runs.filter(F.col("match").rlike("[+/_-]"))
+    out = whole.withColumn("level", F.lit(0))
+    for pattern in INNER_PIECES:
+        out = out.unionByName(cut(mixed, pattern).withColumn("level", F.lit(1)))
+    return out.groupBy("row", "start", "end").agg(F.first("match").alias("match"), F.min("level").alias("level"))
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Of overlapping discoveries, the best: the uncut piece, then the least p;
+    a piece with separators inside must be ``WIDER`` times less likely, or it
+    is a key with the end of a path."""
+    weighed = F.when((F.col("level") > 0) & F.col("match").rlike("[+/_-]"), F.col("p") * WIDER).otherwise(F.col("p")).alias("p")
+    spans = F.array_sort(F.collect_list(F.struct("level", weighed, "start", "end")))
+    kind = "array<struct<level: int, p: double, start: bigint, end: bigint>>"
+    clear = lambda kept, x: ~F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"]))
+    best = F.aggregate("spans", F.array().cast(kind), lambda kept, x: F.when(clear(kept, x), F.concat(kept, F.array(x))).otherwise(kept))
+    rows = found.withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
+    rows = rows.groupBy("row").agg(spans.cast(kind).alias("spans")).select("row", F.explode(best).alias("s"))
+    return rows.select("row", "s.start", "s.end")
+
+
 def _normal_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal law (Zelen and Severo's polynomial)."""
     x = F.abs(z)
@@ -76,7 +117,8 @@ def _normal_tail(z: Column) -> Column:
 
 def randomness(runs: DataFrame) -> DataFrame:
     """``runs`` (with a column ``match``) plus the battery's statistics, but
-    for plain numbers, unknown encodings and runs that are mostly padding.
+    for plain numbers, unknown encodings (of which :func:`pieces` has the
+    parts) and runs that are mostly padding.
 
     chi: chi-squared against a uniform alphabet. changes: runs of characters
     of one kind, less one. serial: correlation of neighbouring symbols' numbers.
@@ -123,7 +165,7 @@ def randomness(runs: DataFrame) -> DataFrame:
 
 def discoveries(tested: DataFrame, rate: float = 0.01) -> DataFrame:
     """Runs that look random and whose p-value the Benjamini-Hochberg rule
-    passes at false-discovery ``rate``, over all runs tested.
+    passes at false-discovery ``rate``, over all runs and pieces tested.
 
     P-values are rounded up to steps, so the rule needs only a histogram of at
     most ``MOST_STEPS`` rows; rounding up never admits more.
@@ -159,7 +201,7 @@ def scan_secrets(docs: DataFrame, rate: float = 0.01, id_col: str = "doc_id", te
     for kind in kinds:
         places = _places(scanned, kind)
         if kind == "random":
-            places = discoveries(stored(randomness(places), "secret-tests"), rate)
+            places = _apart(discoveries(stored(randomness(pieces(places)), "secret-tests"), rate))
         else:
             pattern, group, least = next(s[1:] for s in shapes if s[0] == kind)
             places = places.filter(F.length(F.regexp_extract("match", pattern, group)) >= least)

@@ -115,6 +115,26 @@ def test_battery_finds_random_runs_and_no_words(spark):
     assert all(r.spans[-1].start == 2 for r in secret_scan.scan_secrets(docs).collect() if r.doc_id in found)
 
 
+def test_battery_finds_keys_inside_runs(spark):
+    import base64
+    import random
+
+    rnd = random.Random(15)
+    texts, keys = [], []
+    for k in range(100):
+        key = [rnd.randbytes(20).hex(), base64.b64encode(rnd.randbytes(30)).decode().replace("+", "a").replace("/", "b")][k % 2]
+        before, after = [("AWS_ACCESS_KEY=", ""), ("x KEY=", " y"), ("https://h.org/a?sig=", "&n=1"), ("https://h/cb_x/", ""), ("id=7&some_name=a-b/c=", "==")][k // 2 % 5]
+        texts.append(before + key + after)
+        keys.append((len(before), len(before) + len(key) + (2 if after == "==" else 0)))
+    words = ["NAME_OF_SOMETHING=the_value_of_this_thing", "https://h/some_long_path/with-many/plain_words/in-it", "=" * 40, "a=b=c=d=e=f=g=h=i=j=k=l=m=n"] * 10
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in secret_scan.scan_secrets(frame(spark, texts + words)).collect()}
+    covered = [any(a <= keys[k][0] and keys[k][1] <= b for a, b in got[k]) for k in range(100)]
+    exact = [keys[k] in got[k] for k in range(100)]
+    assert sum(covered) >= 95 and sum(exact) >= 90, (covered, exact)
+    assert all(sum(exact[k] for k in range(100) if k // 2 % 5 == shape) >= 12 for shape in range(5))
+    assert all(len(got[k]) <= 1 for k in range(100)) and not any(got[k] for k in range(100, 140))
+
+
 def test_false_discovery_rule_matches_brute_force(spark):
     import random
 
