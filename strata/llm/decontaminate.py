@@ -3,11 +3,12 @@
 The index is cut by documents: a segment holds the positions, in ascending
 lists per term, of every occurrence of the test set's terms in some thousand
 whole documents. Segments are written to the shared folder; each is searched
-on its own, so nothing is shuffled and a lost task searches its segment again.
+on its own, so no text is shuffled and a lost task searches its segment again.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -63,6 +64,22 @@ class TestSet:
     def window(self, i: int) -> np.ndarray:
         return self.padded[i, : self.lengths[i]]
 
+    def rank(self, frequency: dict[int, int], rarest: int) -> None:
+        """Choose what proximity is tested by, from how often the terms occur
+        in the whole corpus: any ``rarest`` of the ``rarest`` + 1 rarest terms
+        of each window, so one replaced word loses no window. Equal terms sets
+        are held once, with all their items."""
+        names = list(self.number)
+        order = lambda t: (frequency.get(t, 0), names[t])
+        groups: dict[tuple, set] = {}
+        for i, owners in enumerate(self.owners):
+            terms = sorted(set(self.window(i).tolist()), key=order)[: rarest + 1]
+            if len(terms) >= rarest:
+                for group in itertools.combinations(terms, rarest):
+                    groups.setdefault(group, set()).update(owners)
+        self.groups = np.array(list(groups), np.int32).reshape(len(groups), rarest)
+        self.group_owners = list(groups.values())
+
 
 def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str, text_col: str) -> DataFrame:
     """Index segments: ids, text hashes and word counts of their documents in
@@ -132,10 +149,9 @@ class Segment:
             starts = starts[with_term[at] == wanted]
         return starts
 
-    def close_together(self, window: list[int], rarest: int, within: int) -> np.ndarray:
-        """Positions of the window's rarest term that have an occurrence of
-        each of its ``rarest`` rarest terms within ``within`` words."""
-        terms = sorted(set(window), key=lambda t: len(self.lists[t]))[:rarest]
+    def close_together(self, terms: list[int], within: int) -> np.ndarray:
+        """Positions of the first of ``terms`` that have an occurrence of each
+        of the others within ``within`` words."""
         near = self.lists[terms[0]].astype(np.int64)
         for t in terms[1:]:
             if not len(near):
@@ -162,8 +178,12 @@ def merged(spans: list[tuple]) -> list[dict]:
 def search(index: DataFrame, tests: TestSet, rarest: int, within: int) -> DataFrame:
     """One row per indexed document: its word count, the merged word spans
     inside exact occurrences, the items they belong to, and the items of which
-    a window's ``rarest`` rarest terms lie within ``within`` words."""
+    ``rarest`` of a window's rarest terms (see :meth:`TestSet.rank`) lie within
+    ``within`` words. Terms are ranked by one aggregate over the whole index:
+    at most one row per term of the test set comes back."""
     kind = index.schema["ids"].dataType.elementType.simpleString()
+    lengths = index.select(F.explode(F.arrays_zip("terms", "lengths")).alias("t")).groupBy("t.terms").agg(F.sum("t.lengths").alias("n"))
+    tests.rank({r["terms"]: r["n"] for r in lengths.collect()}, rarest)
 
     def run(batches):
         lengths_of = np.zeros(len(tests.number) + 1, np.int64)
@@ -186,9 +206,9 @@ def search(index: DataFrame, tests: TestSet, rarest: int, within: int) -> DataFr
                     for d, s in zip(in_docs.tolist(), (starts - seg.starts[in_docs]).tolist()):
                         spans[d].append((s, s + len(window)))
                         exact[d] |= owners
-                    if len(set(window)) >= rarest:
-                        for d in np.unique(seg.docs_at(seg.close_together(window, rarest, within))).tolist():
-                            near[d] |= owners
+                for g in np.flatnonzero(lengths_of[tests.groups].min(axis=1) > 0):
+                    for d in np.unique(seg.docs_at(seg.close_together(tests.groups[g].tolist(), within))).tolist():
+                        near[d] |= tests.group_owners[g]
                 n = len(counts)
                 span = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
                 names = pa.list_(pa.string())

@@ -70,7 +70,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.match_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,6 +196,26 @@ def test_proximity_and_removal(spark):
     assert decontaminate.decontaminate(docs.filter("doc_id < 0"), bench).count() == 0
 
 
+def test_proximity_is_the_same_in_any_segments(spark, monkeypatch):
+    rnd = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(400)]
+    text = lambda n: " ".join(rnd.choices(vocabulary, k=n))
+    items = [(k, " ".join(rnd.sample(vocabulary, 12))) for k in range(20)]
+    docs, copies = [(i, text(200)) for i in range(40)], {}
+    for k, item in items:
+        for place in range(12):  # each word replaced in turn, the original elsewhere in the corpus or nowhere
+            words = item.split()
+            words[place] = "replaced" if place % 2 else rnd.choice(vocabulary)
+            copies[100 + 20 * k + place] = str(k)
+            docs.append((100 + 20 * k + place, " ".join(words)))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    near = lambda d, **kw: {r.doc_id: list(r.near_items) for r in decontaminate.match_benchmark(d, bench, **kw).collect()}
+    one = near(df.coalesce(1))
+    assert all(item in one[doc] for doc, item in copies.items())
+    assert near(df.repartition(40)) == one and near(df.repartition(3), words_a_pass=60) == one
+
+
 # ---- line dedup ------------------------------------------------------------
 
 def brute_lines(docs, similarity=0.8):
