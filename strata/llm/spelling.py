@@ -89,6 +89,8 @@ def neighbour_keys(words: list[str], symbols: int):
     values = _values(symbols)
     for places, codes in _by_length(words):
         length = codes.shape[1]
+        if not length:  # nothing to delete or replace; longer words lead to it
+            continue
         form, powers = reduced(codes, symbols), _powers(length)
         weight = powers[length - 1 :: -1][:length]  # of each place
         terms = values[form] * weight
