@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import stored
 from strata.llm.components import connected_components
+from strata.session import broadcast_if_small
 
 _WORD_TURN, _KEY_TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PROBES = 4096
@@ -129,6 +130,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, how: Banding, id_col: str, te
                                   names=["set_id", "n", "hashes"])
 
     rows = docs.select(F.col(id_col).alias("id2"), F.xxhash64(text_col).alias("hash2"), F.col(text_col).alias("text"))
+    wanted = broadcast_if_small(wanted)  # beyond that bound texts are shuffled, once
     rows = rows.join(wanted, F.col("id2").eqNullSafe(F.col("id")) & (F.col("hash2") == F.col("text_hash"))).select("set_id", "text")
     sets = rows.mapInArrow(run, "set_id long, n long, hashes array<long>")
     return stored(sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")), "minhash-sets")
