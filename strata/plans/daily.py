@@ -8,6 +8,7 @@ stay lazy views over silver, and the column tests run last.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from strata.plans import silver as SV
 from strata.plans.data_tests import run_silver_checks
 from strata.schemas import BRONZE_CONTRACTS, UNBOUNDED_TEXT
 from strata.sources import catalog as C
+from strata.sources import runs
 from strata.sources import snapshot as snap
 
 
@@ -40,23 +42,33 @@ def run_daily(spark: SparkSession, landing_base: str, run_date: str, warehouse:
               game_buckets: int | None = None) -> RunResult:
     """Load ``run_date``'s snapshot of every entity and rebuild all layers.
 
-    Re-running the same day replaces every layer with the same content. With
+    Re-running the same day replaces every layer with the same content. Bronze
+    and silver versions of the whole run become current by one commit, once
+    all of them are written: readers of the warehouse see one day in every
+    table, and a run that fails leaves them at the run before. With
     ``catalog=True`` silver goes to catalog tables and gold to persistent
     views over them, with display names; ``game_buckets`` then
     buckets the games and the four bridges by game key, so the fact-to-bridge
     joins of the reports run without a shuffle.
     """
     contracts = contracts or BRONZE_CONTRACTS
-    roots = snap.load_all(spark, landing_base, run_date, contracts, warehouse,
-                          unbounded_text=UNBOUNDED_TEXT)
-    bronze = {e: snap.read_bronze(spark, r) for e, r in roots.items()}
+    warehouse = warehouse.rstrip("/")
+    staged = snap.stage_all(spark, landing_base, run_date, contracts, warehouse, unbounded_text=UNBOUNDED_TEXT)
+    bronze = {e: snap.loaded_rows(spark.read.parquet(staged[f"bronze/{e}"])) for e in contracts}
     silver = {}
-    for name, df in SV.build_silver(bronze).items():
-        if catalog:
+    models = SV.build_silver(bronze)
+    if catalog:
+        for name, df in models.items():
             buckets = (game_buckets, [GAME_KEYED[name]]) if game_buckets and name in GAME_KEYED else None
             silver[name] = C.materialize(df, "silver", name, kind="table", bucket_by=buckets)
-        else:
-            silver[name] = C.materialize(df, "silver", name, kind="table", base=warehouse)
+    else:
+        with ThreadPoolExecutor(4) as pool:
+            jobs = {name: pool.submit(runs.stage, df, f"{warehouse}/silver/{name}", run_date) for name, df in models.items()}
+        staged |= {f"silver/{name}": job.result() for name, job in jobs.items()}
+        silver = {name: spark.read.parquet(staged[f"silver/{name}"]) for name in models}
+    runs.commit(spark, warehouse, run_date, staged)
+    if not catalog:
+        silver = {name: C.materialize(df, "silver", name, kind="view") for name, df in silver.items()}
     gold = {name: C.materialize(df, "gold", name, kind="view")
             for name, df in G.build_gold(silver, display=display_names).items()}
     if catalog:  # views that outlive the application, over the silver catalog tables

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.sources import runs
+
 # The report's "Top N" choices and its dimension-switch rows
 # (label, field, sort order), as the semantic model defines them.
 TOP_N_CHOICES = [1, 3, 5, 10, 25, 50, 100, 1000]
@@ -25,48 +25,51 @@ KEPT_VERSIONS = 2
 _POINTER = "number bigint, path string"
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def _pointers(spark: SparkSession, root: str) -> list:
     """(number, path) of the table's complete versions, newest first: one
     small row per kept version."""
     folder = f"{root.rstrip('/')}/_pointers"
-    fs, path = _file_system(spark, folder)
-    if not fs.exists(path):
+    if not runs.numbered(runs.children(spark, folder)):
         return []
     rows = spark.read.schema(_POINTER).json(f"{folder}/*").collect()
     return sorted(((r["number"], r["path"]) for r in rows if r["path"]), reverse=True)
 
 
 def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version folder of the table at ``root``, then add
-    a pointer with the next number. Readers (:func:`read_current`) take the
-    highest pointer, and nothing that they use is ever rewritten: a write that
-    fails, of the version or of its pointer, leaves the table as it was. Then
-    versions beyond the newest ``KEPT_VERSIONS`` are removed."""
+    """Write ``df`` as a new version folder of the table at ``root`` and make
+    it current. Nothing that readers (:func:`read_current`) use is ever
+    rewritten: a write that fails, of the version or of what names it, leaves
+    the table as it was, and blocks no later one.
+
+    A table that a run's manifest names (see :mod:`strata.sources.runs`) is
+    published by a commit of its own; any other gets a pointer with the next
+    free number. Then versions beyond the newest ``KEPT_VERSIONS`` are
+    removed."""
     spark = df.sparkSession
     root = root.rstrip("/")
-    version = f"{root}/versions/{tag}-{uuid.uuid4().hex[:10]}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(version)
+    version = runs.stage(df, root, tag, partition_by)
+    base, table = runs.split_root(root)
+    run = runs.current(spark, base)
+    if run is not None and table in run.tables:
+        runs.commit(spark, base, tag, {table: version})
+        return version
     before = _pointers(spark, root)
-    number = before[0][0] + 1 if before else 0
+    taken = runs.numbered(runs.children(spark, f"{root}/_pointers"))  # begun and aborted ones included
+    number = taken[-1] + 1 if taken else 0
     pointer = spark.createDataFrame([(number, version)], _POINTER).coalesce(1)
     pointer.write.mode("error").json(f"{root}/_pointers/{number:010d}")
-    for old, path in before[KEPT_VERSIONS - 1:]:
-        for folder in (f"{root}/_pointers/{old:010d}", path):  # the pointer first: it must never dangle
-            fs, p = _file_system(spark, folder)
-            fs.delete(p, True)
+    for old, path in before[KEPT_VERSIONS - 1:]:  # the pointer first: it must never dangle
+        runs.remove(spark, f"{root}/_pointers/{old:010d}")
+        runs.remove(spark, path)
     return version
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """The folder of the newest complete version; None before the first."""
+    base, table = runs.split_root(root)
+    run = runs.current(spark, base)
+    if run is not None and table in run.tables:
+        return run.tables[table]
     found = _pointers(spark, root)
     return found[0][1] if found else None
 

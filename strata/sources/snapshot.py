@@ -9,13 +9,16 @@ rows instead of failing the load, and replaces the target wholesale.
 from __future__ import annotations
 
 import functools
+import threading
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources.catalog import publish, read_current
+from strata.sources import runs
+from strata.sources.catalog import read_current
 
 BAD_REASON = "_bad_reason"
 LOAD_STATUS = "_load_status"
@@ -155,48 +158,138 @@ def land_snapshot(df: DataFrame, base: str, run_date: str, entity: str,
     return path
 
 
-def publish_flagged(spark: SparkSession, flagged: DataFrame, root: str, tag: str) -> str:
-    """Publish flagged rows as the new current version of a bronze root,
-    partitioned by ``_load_status``; see :func:`strata.sources.catalog.publish`
-    (a failed load never leaves readers with an empty or half-written table)."""
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files under ``path``, hidden ones left out, in name order."""
+    fs, p = runs.file_system(spark, path)
+    found, names = fs.listFiles(p, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        inside = file.toString().removeprefix(fs.makeQualified(p).toString()).strip("/")
+        if not any(part.startswith(("_", ".")) for part in inside.split("/")):
+            names.append(file.toString())
+    return sorted(names)
+
+
+def _schema_groups(spark: SparkSession, files: list[str]) -> tuple[list[tuple[T.StructType, list[str]]], list[tuple[str, str]]]:
+    """((schema, files) groups, (file, reason) of files without a readable
+    footer). Footers are read by Spark in one job; only if they disagree or
+    one is broken are the halves tried on their own, so a day whose files
+    agree costs one job and a stray file a logarithmic number."""
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*files).schema, files)], []
+    except Exception as error:  # Spark reports disagreeing and broken footers by several types
+        if len(files) == 1:
+            said = str(error).strip().splitlines()
+            return [], [(files[0], said[0] if said else type(error).__name__)]
+    half = len(files) // 2
+    (left, bad_left), (right, bad_right) = _schema_groups(spark, files[:half]), _schema_groups(spark, files[half:])
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, some in left + right:
+        groups.setdefault(schema.json(), (schema, []))[1].extend(some)
+    return list(groups.values()), bad_left + bad_right
+
+
+def read_day(spark: SparkSession, path: str, schema: T.StructType, max_text: int = MAX_TEXT,
+             unbounded_text: Iterable[str] = ()) -> DataFrame:
+    """Flagged rows (see :func:`flag_bad_rows`) of every file under ``path``,
+    whatever types its files have (S3 for files).
+
+    Files are grouped by the schema in their footers; each group is read with
+    its own, aligned to the contract and flagged, and the groups are unioned:
+    a column may be a number in one file, text in the next and absent in a
+    third. A file that has no readable footer gives one row of nulls whose
+    reason starts with "unreadable file" and names it. A folder in which no
+    file is readable is an error, as a missing one is. Damage behind a good
+    footer fails the load, which leaves the table as it was.
+    """
+    files = _files(spark, path)
+    groups, broken = _schema_groups(spark, files) if files else ([], [])
+    if not groups:
+        raise FileNotFoundError(f"{path}: " + ("none of its files is readable" if broken else "no data files"))
+    frames = []
+    for found, some in groups:
+        whole = len(groups) == 1 and not broken
+        df = spark.read.schema(found).parquet(path) if whole else spark.read.schema(found).parquet(*some)
+        frames.append(flag_bad_rows(df, schema, max_text, unbounded_text))
+    if broken:
+        reasons = [(f"unreadable file {file.rpartition('/')[2]}: {why}",) for file, why in broken]
+        lost = spark.createDataFrame(reasons, f"{BAD_REASON} string")
+        frames.append(lost.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], BAD_REASON))
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def _with_status(flagged: DataFrame) -> DataFrame:
     status = F.when(F.col(BAD_REASON).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
-    return publish(flagged.withColumn(LOAD_STATUS, status), root, tag, [LOAD_STATUS])
+    return flagged.withColumn(LOAD_STATUS, status)
 
 
-def load_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
-                target_base: str, max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> str:
-    """Full-refresh one entity's bronze table from its snapshot.
+def stage_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
+                 target_base: str, max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> str:
+    """Write one entity's bronze version from its snapshot, not yet current.
 
     One scan and one write: rows are flagged against the contract and written
     partitioned by ``_load_status`` (``loaded`` / ``quarantined``), so the
     good table and its quarantine are replaced together and the raw file is
-    read once. The new version becomes visible only once complete. Returns
-    the bronze root; read it with :func:`read_bronze`.
+    read once. Returns the version folder.
     """
-    raw = spark.read.parquet(snapshot_path(base, run_date, entity))
-    flagged = flag_bad_rows(raw, schema, max_text, unbounded_text)
-    root = f"{target_base.rstrip('/')}/bronze/{entity}"
-    publish_flagged(spark, flagged, root, run_date)
-    return root
+    flagged = read_day(spark, snapshot_path(base, run_date, entity), schema, max_text, unbounded_text)
+    return runs.stage(_with_status(flagged), f"{target_base.rstrip('/')}/bronze/{entity}", run_date, [LOAD_STATUS])
 
 
-def read_bronze(spark: SparkSession, root: str, quarantined: bool = False) -> DataFrame:
-    """The loaded rows (or the quarantined ones, with their reason) of the
-    current version of a bronze root; the status filter prunes to one
-    partition folder."""
-    df = read_current(spark, root)
+def load_entity(spark: SparkSession, base: str, run_date: str, entity: str, schema: T.StructType,
+                target_base: str, max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> str:
+    """Full-refresh one entity's bronze table from its snapshot (S1-S4) by a
+    commit of its own. Returns the bronze root; read it with
+    :func:`read_bronze`."""
+    load_all(spark, base, run_date, {entity: schema}, target_base, max_text, unbounded_text)
+    return f"{target_base.rstrip('/')}/bronze/{entity}"
+
+
+def loaded_rows(df: DataFrame, quarantined: bool = False) -> DataFrame:
+    """The loaded rows of a bronze version, or the quarantined ones with
+    their reason; the status filter prunes to one partition folder."""
     want = "quarantined" if quarantined else "loaded"
     df = df.filter(F.col(LOAD_STATUS) == want).drop(LOAD_STATUS)
     return df if quarantined else df.drop(BAD_REASON)
 
 
+def read_bronze(spark: SparkSession, root: str, quarantined: bool = False) -> DataFrame:
+    """The loaded rows (or the quarantined ones, with their reason) of the
+    current version of a bronze root."""
+    return loaded_rows(read_current(spark, root), quarantined)
+
+
+def stage_all(spark: SparkSession, base: str, run_date: str, contracts: Mapping[str, T.StructType], target_base: str,
+              max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = (), parallel: int = 4) -> dict[str, str]:
+    """Stage every entity of one run date, ``parallel`` at a time (they don't
+    depend on each other). The first failure, in the order of ``contracts``,
+    is raised once the started ones have ended; later ones are not started.
+    Returns table ("bronze/entity") -> version folder."""
+    stop = threading.Event()
+
+    def one(item):
+        if stop.is_set():
+            return None
+        try:
+            return stage_entity(spark, base, run_date, item[0], item[1], target_base, max_text, unbounded_text)
+        except BaseException:
+            stop.set()
+            raise
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        jobs = [pool.submit(one, item) for item in contracts.items()]
+    return {f"bronze/{entity}": job.result() for entity, job in zip(contracts, jobs)}
+
+
 def load_all(spark: SparkSession, base: str, run_date: str,
              contracts: Mapping[str, T.StructType], target_base: str,
-             max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = ()) -> dict[str, str]:
-    """Load every entity of one run date into its bronze folder.
+             max_text: int = MAX_TEXT, unbounded_text: Iterable[str] = (), parallel: int = 4) -> dict[str, str]:
+    """Load every entity of one run date into its bronze table.
 
-    Entities load in order; the first failure stops the run. Returns entity
-    -> bronze root.
+    All versions are staged first and become current by one commit: a reader
+    sees all entities of the day or none, and a failure leaves every table at
+    the run before. Returns entity -> bronze root.
     """
-    return {entity: load_entity(spark, base, run_date, entity, schema, target_base, max_text, unbounded_text)
-            for entity, schema in contracts.items()}
+    staged = stage_all(spark, base, run_date, contracts, target_base, max_text, unbounded_text, parallel)
+    runs.commit(spark, target_base, run_date, staged)
+    return {entity: f"{target_base.rstrip('/')}/bronze/{entity}" for entity in contracts}
