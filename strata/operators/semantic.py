@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.text import collated, group_by_name
 from strata.session import broadcast_if_small
 
 
@@ -132,9 +133,10 @@ def label_pairs(model: SemanticModel, dim_name: str) -> DataFrame:
 
 def fact_keys_with_labels(model: SemanticModel, dim_name: str, labels: Iterable) -> DataFrame:
     """Fact keys linked to any of ``labels`` of one dimension (P5 on a
-    dimension, as a set of fact keys). Bridge keys are deduplicated (with a
-    map-side partial aggregate) so a fact row holding a large share of the
-    bridge does not send all of its rows to one reducer of the semi join."""
+    dimension, as a set of fact keys). Bridge pairs are deduplicated before
+    the semi join, with a partial aggregate in every task, so neither a fact
+    row nor a dimension key that holds a large share of the bridge sends all
+    of its rows to one task."""
     d = model.dims[dim_name]
     fk = model.fact_key
     labels = list(labels)
@@ -150,7 +152,9 @@ def fact_keys_with_labels(model: SemanticModel, dim_name: str, labels: Iterable)
     b = bridge.select(F.col(d.bridge_fact_key).alias(fk), F.col(d.bridge_dim_key).alias("_dk"))
     if keys is None:
         return b.filter(F.col("_dk").isin(labels)).select(fk).distinct()
-    return b.join(keys, "_dk", "left_semi").select(fk).distinct()
+    # pairs first: a dimension key that holds a third of the bridge's rows has
+    # at most one row per fact key in the join
+    return b.distinct().join(broadcast_if_small(keys), "_dk", "left_semi").select(fk).distinct()
 
 
 def propagate(model: SemanticModel, filters: Mapping[str, Iterable] | None = None,
@@ -178,13 +182,16 @@ def propagate(model: SemanticModel, filters: Mapping[str, Iterable] | None = Non
 
 
 def metric_by_label(model: SemanticModel, dim_name: str, aggs: Mapping[str, Column],
-                    facts: DataFrame | None = None) -> DataFrame:
+                    facts: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """Group the (filtered) fact by a dimension's label, each fact row counted
-    once per label (A12 over J5). Fact rows without a bridge row fall out."""
+    once per label (A12 over J5). Fact rows without a bridge row fall out.
+    Under a collation, labels that it calls equal are one: a fact row with
+    several of their spellings still counts once."""
     facts = model.fact if facts is None else facts
     pairs = label_pairs(model, dim_name)
-    joined = pairs.join(facts, model.fact_key, "inner")
-    return joined.groupBy("label").agg(*[c.alias(n) for n, c in aggs.items()])
+    if collation is not None:
+        pairs = pairs.groupBy(collated("label", collation).alias("_same"), model.fact_key).agg(F.min("label").alias("label")).drop("_same")
+    return group_by_name(pairs.join(facts, model.fact_key, "inner"), "label", aggs, collation)
 
 
 def label_values(model: SemanticModel, dim_name: str, facts: DataFrame | None = None) -> DataFrame:

@@ -257,7 +257,69 @@ def _gold_model(name: str) -> str:
     return f"{_with_models([model])} SELECT {columns} FROM {model}"
 
 
+_RESPELLED = ", respelled AS (SELECT * REPLACE (CASE WHEN num_of_reviews % 2 = 1 THEN upper(name) ELSE name END AS name) FROM fact)"
+
+# Rows of every table of the item model that a popularity-type and a mode filter leave.
+_MEASURED = f"SELECT user_id FROM events WHERE upper(event_type) IN ({_in(POPULARITY_TYPE)}) AND event_type <> 'error'"
+_IN_MODE = f"SELECT l.l_partkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderpriority IN ({_in(MODE_SELECTION)})"
+_GRAPH_COUNTS = {
+    "fact": "SELECT * FROM kept",
+    "platform": "SELECT * FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_partkey IN (SELECT id FROM kept))",
+    "platform bridge": "SELECT * FROM lineitem WHERE l_partkey IN (SELECT id FROM kept)",
+    "genre": """SELECT * FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_suppkey IN
+                (SELECT l_suppkey FROM lineitem WHERE l_partkey IN (SELECT id FROM kept)))""",
+    "genre bridge": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_partkey IN (SELECT id FROM kept)",
+    "game_mode bridge": f"""SELECT DISTINCT l.l_orderkey, l.l_partkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                            WHERE o.o_orderpriority IN ({_in(MODE_SELECTION)}) AND l.l_partkey IN (SELECT id FROM kept)""",
+    "franchise": """SELECT * FROM region WHERE r_regionkey IN (SELECT fk FROM (SELECT id, unnest(franchises) AS fk FROM raw_items)
+                    WHERE id IN (SELECT id FROM kept))""",
+    "franchise bridge": "SELECT * FROM (SELECT id, unnest(franchises) AS fk FROM raw_items) WHERE id IN (SELECT id FROM kept)",
+    "game_type": "SELECT * FROM nation",
+    "popularity": f"SELECT * FROM events WHERE upper(event_type) IN ({_in(POPULARITY_TYPE)}) AND user_id IN (SELECT id FROM kept)",
+    "popularity_type": f"""SELECT DISTINCT event_type FROM events WHERE event_type <> 'error' AND upper(event_type) IN ({_in(POPULARITY_TYPE)})""",
+}
+
+
 ORACLES: dict[str, str] = {
+    "mixed_day_load": """SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderkey AS BIGINT) END AS o_orderkey,
+       CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DOUBLE) END AS o_totalprice,
+       o_orderpriority, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'o_orderkey: not bigint' END AS bad_reason
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'unreadable file'""",
+    "graph_popularity": f"""WITH {ITEMS}
+SELECT event_id AS id, user_id AS fk_game, event_type AS fk_popularity_type FROM events
+WHERE user_id IN (SELECT id FROM fact WHERE status IN ({_in(STATUS_SELECTION)})) AND user_id IN ({_IN_MODE})
+  AND user_id IN (SELECT l.l_partkey FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+                  JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE n.n_name IN ({_in(GENRE_SELECTION)}))""",
+    "graph_counts": f"""WITH {ITEMS}, kept AS (SELECT * FROM fact WHERE id IN ({_MEASURED}) AND id IN ({_IN_MODE}))
+""" + "\nUNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) AS n_rows FROM ({sql})" for name, sql in _GRAPH_COUNTS.items()),
+    "top3_rated_collated": f"""WITH {ITEMS}{_RESPELLED},
+mode_pairs AS ({PAIRS["game_mode"]}),
+facts AS (SELECT * FROM respelled WHERE id IN (SELECT id FROM mode_pairs WHERE label IN ({_in(MODE_SELECTION)}))),
+per_name AS (SELECT lower(name) AS same, min(name) AS name, {_exact_avg("weighted_rating")} AS avg_weighted_rating,
+                    CAST(sum(num_of_reviews) AS BIGINT) AS sum_reviews
+             FROM facts GROUP BY lower(name)),
+ranked AS (SELECT *, rank() OVER (ORDER BY avg_weighted_rating DESC) AS rk FROM per_name WHERE avg_weighted_rating IS NOT NULL),
+modes AS (SELECT lower(f.name) AS same, min(mp.label) AS min_mode FROM mode_pairs mp JOIN facts f ON mp.id = f.id
+          WHERE mp.label IN ({_in(MODE_SELECTION)}) GROUP BY lower(f.name))
+SELECT b.name, b.avg_weighted_rating, b.sum_reviews, m.min_mode FROM ranked b LEFT JOIN modes m ON b.same = m.same WHERE rk <= 3""",
+    "popularity_rank_collated": f"""WITH {ITEMS}{_RESPELLED},
+per AS (
+  SELECT min(f.name) AS name, sum(CAST(CAST(e.value * 1e-4 AS VARCHAR) AS DECIMAL(38, 18))) AS score
+  FROM events e JOIN respelled f ON e.user_id = f.id
+  WHERE upper(e.event_type) IN ({_in(POPULARITY_TYPE)}) AND f.status IN ({_in(STATUS_SELECTION)})
+  GROUP BY lower(f.name)),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY score DESC) AS popularity_rank FROM per WHERE score IS NOT NULL)
+SELECT name, CAST(score AS DOUBLE) AS popularity_score, popularity_rank, 1 AS is_top_n FROM ranked
+WHERE popularity_rank <= 10""",
+    "wishlist_top5_collated": f"""WITH {ITEMS}{_RESPELLED},
+per AS (SELECT min(name) AS name, CAST(sum(wishlist_count) AS BIGINT) AS wishlist_count FROM respelled
+        WHERE date_first_release IS NULL GROUP BY lower(name)),
+ranked AS (SELECT *, rank() OVER (ORDER BY wishlist_count DESC) AS rk FROM per WHERE wishlist_count IS NOT NULL)
+SELECT name, wishlist_count FROM ranked WHERE rk <= 5""",
+    "scatter_points_collated": f"""WITH {ITEMS}{_RESPELLED}
+SELECT num_of_reviews, average_rating, min(lower(name)) AS name FROM respelled
+WHERE average_rating IS NOT NULL GROUP BY num_of_reviews, average_rating""",
     "weighted_rating": f"WITH {ITEMS} SELECT * FROM fact",
     "clean_items": f"WITH {ITEMS} SELECT * FROM clean_items",
     "medallion_run": f"WITH {_items('CAST(total_rating AS DECIMAL(5, 2))')} SELECT {DISPLAY_FACT} FROM fact",

@@ -7,6 +7,7 @@ agree one to one.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,9 @@ from pyspark.sql import types as T
 from strata.functions import scalars as S
 from strata.operators import quality as Q
 from strata.operators import semantic as sem
+from strata.functions.text import IGNORE_CASE
 from strata.operators.flatten import flatten_bridge
+from strata.operators.relations import model_graph
 from strata.operators.summarize import summarize
 from strata import schemas as SC
 from strata.plans import gold, reports, silver
@@ -189,6 +192,29 @@ def q_snapshot_reload(spark, sf_dir):
     return snap.read_bronze(spark, roots["orders"])
 
 
+def q_mixed_day_load(spark, sf_dir):
+    """S3 S4 on files: one day's orders arrive in parts that disagree. Finished
+    orders have the contract's types; open ones come as text under upper-case
+    names; those in process have no price, and text keys of which some are no
+    numbers; a last file is no Parquet file at all. Every row, loaded or
+    quarantined, with its reason (of the file, without its random name)."""
+    orders = _t(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    base = scratch_path(spark, "mixed-day")
+    path = snap.snapshot_path(base, "20240615", "orders")
+    status = lambda s: orders.filter(F.col("o_orderstatus") == s)
+    key = F.concat(F.when(F.col("o_orderpriority") == "5-LOW", "no. ").otherwise(""), F.col("o_orderkey").cast("string"))
+    snap.land_snapshot(status("F"), base, "20240615", "orders")
+    status("O").select(*[F.col(c).cast("string").alias(c.upper()) for c in orders.columns]).write.mode("append").parquet(path)
+    status("P").select(key.alias("o_orderkey"), F.col("o_custkey").cast("int").alias("o_custkey"), "o_orderstatus", "o_orderpriority").write.mode("append").parquet(path)
+    orders.select("o_orderpriority").distinct().coalesce(1).write.mode("append").text(path)
+    contract = T.StructType([f for f in ORDERS_CONTRACT if f.name != "o_orderdate"])
+    root = snap.load_all(spark, base, "20240615", {"orders": contract}, base)["orders"]
+    loaded = snap.read_bronze(spark, root).withColumn("bad_reason", F.lit(None).cast("string"))
+    bad = snap.read_bronze(spark, root, quarantined=True).withColumnRenamed(snap.BAD_REASON, "bad_reason")
+    reason = F.regexp_replace("bad_reason", "(?s)^(unreadable file).*", "$1")
+    return loaded.unionByName(bad).withColumn("bad_reason", reason)
+
+
 MEDALLION_RUN_DATE = "20240615"
 
 
@@ -317,6 +343,61 @@ def q_filter_propagation(spark, sf_dir):
     return facts.select("id", "name", "status")
 
 
+def _graph_filters():
+    return {"game_mode bridge": F.col("o_orderpriority").isin(st.MODE_SELECTION), "genre": F.col("n_name").isin(st.GENRE_SELECTION),
+            "fact": F.col("status").isin(st.STATUS_SELECTION)}
+
+
+def q_graph_popularity(spark, sf_dir):
+    """J6 over the declared relationships: mode, genre and status filters
+    reach the popularity measurements through bridges and games."""
+    graph = model_graph(st.item_model(_t(spark, sf_dir)))
+    rows = graph.reduce(_graph_filters(), ["popularity"])["popularity"]
+    return rows.select("id", "fk_game", "fk_popularity_type")
+
+
+def q_graph_counts(spark, sf_dir):
+    """J6 over the declared relationships: rows of every table of the model
+    that survive a popularity-type filter and a mode filter at once."""
+    graph = model_graph(st.item_model(_t(spark, sf_dir)))
+    kept = graph.reduce({"popularity_type": F.col("type_label").isin(st.POPULARITY_TYPE),
+                         "game_mode bridge": F.col("o_orderpriority").isin(st.MODE_SELECTION)})
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows") for name, df in kept.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def _respelled_model(t):
+    """The item model with the games' names in capitals where their reviews
+    are odd: names that differ only by case, as sources spell them."""
+    fact = st.item_fact(t)
+    odd = F.col("num_of_reviews") % 2 == 1
+    return st.item_model(t, fact.withColumn("name", F.when(odd, F.upper("name")).otherwise(F.col("name"))))
+
+
+def q_top3_rated_collated(spark, sf_dir):
+    """Q5 ignoring case (A4 A5 A7 L1): names that differ by case are one."""
+    return reports.top_rated(_respelled_model(_t(spark, sf_dir)), {"game_mode": st.MODE_SELECTION}, None, n=3, collation=IGNORE_CASE)
+
+
+def q_popularity_rank_collated(spark, sf_dir):
+    """Q6 ignoring case (A4 W1 L1): measurements of names that differ by case
+    are summed and ranked as one."""
+    model = _respelled_model(_t(spark, sf_dir))
+    return reports.popularity_rank(model, {"status": st.STATUS_SELECTION, "popularity_type": st.POPULARITY_TYPE}, collation=IGNORE_CASE)
+
+
+def q_wishlist_top5_collated(spark, sf_dir):
+    """Q12 ignoring case (A4 L1 L2)."""
+    return reports.wishlist_top(_respelled_model(_t(spark, sf_dir)).fact, 5, collation=IGNORE_CASE)
+
+
+def q_scatter_points_collated(spark, sf_dir):
+    """Q10 ignoring case (A7): each point's first name in the BI tool's order
+    (shown in small letters, as several spellings may come first)."""
+    points = reports.scatter_points(_respelled_model(_t(spark, sf_dir)).fact, collation=IGNORE_CASE)
+    return points.withColumn("name", F.lower("name"))
+
+
 def q_types_with_status(spark, sf_dir):
     """Q13: popularity types measured for games with a known status."""
     return reports.types_with_known_status(st.item_model(_t(spark, sf_dir)))
@@ -480,4 +561,11 @@ QUERIES: dict[str, Query] = {
     "status_list": q_status_list,
     "genre_list": q_genre_list,
     "wishlist_order": q_wishlist_order,
+    "mixed_day_load": q_mixed_day_load,
+    "graph_popularity": q_graph_popularity,
+    "graph_counts": q_graph_counts,
+    "top3_rated_collated": q_top3_rated_collated,
+    "popularity_rank_collated": q_popularity_rank_collated,
+    "wishlist_top5_collated": q_wishlist_top5_collated,
+    "scatter_points_collated": q_scatter_points_collated,
 }

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exact import avg_fixed, sum_exact
+from strata.functions.text import collated, group_by_name, name_order
 from strata.operators import semantic as sem
 from strata.operators import topn
 from strata.operators.summarize import drill
@@ -83,11 +84,12 @@ def most_wishlisted(fact: DataFrame, collation: str | None = None) -> DataFrame:
 
 def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None = None,
               status: Iterable[str] | None = None, n: int = 3, mode_dim: str = "game_mode",
-              display_scale: int | None = None) -> DataFrame:
+              display_scale: int | None = None, collation: str | None = None) -> DataFrame:
     """Top-``n`` names by average weighted rating, ties kept, with their
     summed reviews and their first game-mode label (Q5: J6 A5 A4 A7 L2 J7).
     ``display_scale`` ranks the average as displayed, rounded to that many
-    decimals (coarser values tie more often)."""
+    decimals (coarser values tie more often). Names that ``collation`` calls
+    equal are one, and labels order by it."""
     chosen = (filters or {}).get(mode_dim)
     pairs = sem.label_pairs(model, mode_dim)
     if chosen:
@@ -100,17 +102,21 @@ def top_rated(model: sem.SemanticModel, filters: Mapping[str, Iterable] | None =
     avg = avg_fixed(F.col("weighted_rating"), SCORE_SCALE)
     if display_scale is not None:
         avg = F.round(avg, display_scale)
-    per_name = facts.groupBy("name").agg(
+    facts = facts.withColumn("_same", collated("name", collation))
+    per_name = facts.groupBy("_same").agg(
+        F.min("name").alias("name"),
         avg.alias("avg_weighted_rating"),
         F.sum("num_of_reviews").cast("bigint").alias("sum_reviews"))
     best = topn.top_n_with_ties(per_name, "avg_weighted_rating", n)
-    modes = (pairs.join(facts.select(model.fact_key, "name"), model.fact_key, "inner")
-                  .join(best.select("name"), "name", "left_semi")
-                  .groupBy("name").agg(F.min("label").alias("min_mode")))
-    return display_order(best.join(modes, "name", "left"), F.col("avg_weighted_rating").desc(), "name")
+    modes = (pairs.join(facts.select(model.fact_key, "_same"), model.fact_key, "inner")
+                  .join(best.select("_same"), "_same", "left_semi")
+                  .groupBy("_same").agg(first_in_order("label", collation).alias("min_mode")))
+    shown = best.join(modes, "_same", "left").drop("_same")
+    return display_order(shown, F.col("avg_weighted_rating").desc(), *name_order("name", collation))
 
 
-def popularity_by_name(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
+def popularity_by_name(model: sem.SemanticModel, selections: Mapping[str, Iterable | None],
+                       collation: str | None = None) -> DataFrame:
     """Summed popularity score per game *name* (games sharing a name merge)
     under the slicers that reach the rank table: status restricts the games
     and, through them, the measurements; the popularity type restricts the
@@ -123,17 +129,20 @@ def popularity_by_name(model: sem.SemanticModel, selections: Mapping[str, Iterab
     rows = sem.related_rows(model, "popularity", context, games if status else None)
     per_game = rows.groupBy(r.key).agg(sum_exact(F.col("popularity_score")).alias("_score"))
     names = games.select(F.col(model.fact_key).alias(r.key), "name")
-    return (per_game.join(names, r.key, "left").groupBy("name")
-            .agg(F.sum("_score").cast("decimal(38,18)").alias("popularity_score")))
+    return group_by_name(per_game.join(names, r.key, "left"), "name",
+                         {"popularity_score": F.sum("_score").cast("decimal(38,18)")}, collation)
 
 
-def popularity_rank(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
+def popularity_rank(model: sem.SemanticModel, selections: Mapping[str, Iterable | None],
+                    collation: str | None = None) -> DataFrame:
     """Game names by summed score, dense ranked, keeping those flagged top-N
-    (Q6: A4 W1 W2 P8 A13). N is the slicer's single choice, else 10."""
+    (Q6: A4 W1 W2 P8 A13). N is the slicer's single choice, else 10. Names
+    that ``collation`` calls equal are one."""
     n = selected_value(selections.get("top_n"), DEFAULT_TOP_N)
-    ranked = topn.dense_top_n(popularity_by_name(model, selections), "popularity_score", n, rank_col="popularity_rank")
+    scores = popularity_by_name(model, selections, collation)
+    ranked = topn.dense_top_n(scores, "popularity_score", n, rank_col="popularity_rank")
     ranked = ranked.withColumn("popularity_score", F.col("popularity_score").cast("double")).withColumn("is_top_n", F.lit(1))
-    return display_order(ranked, "popularity_rank", "name")
+    return display_order(ranked, "popularity_rank", *name_order("name", collation))
 
 
 def popularity_flags(model: sem.SemanticModel, selections: Mapping[str, Iterable | None]) -> DataFrame:
@@ -147,10 +156,11 @@ def popularity_flags(model: sem.SemanticModel, selections: Mapping[str, Iterable
 
 
 def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: int = 5,
-               facts: DataFrame | None = None) -> DataFrame:
+               facts: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """Top-``n`` labels of one dimension, ties kept (Q7 by average weighted
     rating, Q8 by summed reviews; W3 W4 J5 A4 A5). Each game counts once per
-    label; NULL metrics drop out."""
+    label, and labels that ``collation`` calls equal are one; NULL metrics
+    drop out."""
     if metric == "reviews":
         aggs = {"sum_reviews": F.sum("num_of_reviews").cast("bigint")}
         key = "sum_reviews"
@@ -160,8 +170,8 @@ def top_labels(model: sem.SemanticModel, dim: str, metric: str = "reviews", n: i
         key = "avg_weighted_rating"
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    per = sem.metric_by_label(model, dim, aggs, facts)
-    return display_order(topn.top_n_with_ties(per, key, n), F.col(key).desc(), "label")
+    per = sem.metric_by_label(model, dim, aggs, facts, collation)
+    return display_order(topn.top_n_with_ties(per, key, n), F.col(key).desc(), *name_order("label", collation))
 
 
 def top_labels_for_aspect(model: sem.SemanticModel, aspect_to_dim: Mapping[str, str],
@@ -188,12 +198,12 @@ def game_count(facts: DataFrame, key: str = "id") -> DataFrame:
     return facts.agg(F.count(key).alias("n_items"))
 
 
-def wishlist_top(fact: DataFrame, n: int = 5) -> DataFrame:
+def wishlist_top(fact: DataFrame, n: int = 5, collation: str | None = None) -> DataFrame:
     """Unreleased games first, then the top-``n`` names by summed wishlist,
-    ties kept (Q12: P7 A4 L2)."""
-    per = (fact.filter(F.col("date_first_release").isNull())
-               .groupBy("name").agg(F.sum("wishlist_count").cast("bigint").alias("wishlist_count")))
-    return display_order(topn.top_n_with_ties(per, "wishlist_count", n), F.col("wishlist_count").desc(), "name")
+    ties kept (Q12: P7 A4 L2); names that ``collation`` calls equal are one."""
+    per = group_by_name(fact.filter(F.col("date_first_release").isNull()), "name",
+                        {"wishlist_count": F.sum("wishlist_count").cast("bigint")}, collation)
+    return display_order(topn.top_n_with_ties(per, "wishlist_count", n), F.col("wishlist_count").desc(), *name_order("name", collation))
 
 
 def types_with_known_status(model: sem.SemanticModel) -> DataFrame:
