@@ -2,12 +2,13 @@
 
 Each test returns its failing rows; zero rows means it passes. A suite run
 folds every row-level test of one table (not-null, range, accepted values)
-into a single aggregation pass, and runs each uniqueness test as one
-partially-aggregated group-by.
+into a single aggregation pass, and its uniqueness tests into one partially
+aggregated group-by.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -87,32 +88,44 @@ class Check:
         raise ValueError(f"{self.kind} is not a row-level check")
 
 
+def _repeated_keys(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """(pos, failures) of every uniqueness check, over one shuffle: each row
+    gives one (check, key) pair per check whose key has no NULL, the pairs are
+    counted (partially in every task first, so a key that a third of the rows
+    have is one pair per task), and so are the keys met more than once."""
+    def pair(i: int, c: Check) -> Column:
+        keys = [F.col(k) for k in _cols(c.column)]
+        known = functools.reduce(Column.__and__, [k.isNotNull() for k in keys])
+        # within a check keys have one type, so equal texts are equal keys
+        return F.when(known, F.struct(F.lit(i).alias("pos"), F.array(*[k.cast("string") for k in keys]).alias("key")))
+
+    pairs = df.select(F.explode(F.array(*[pair(i, c) for i, c in checks])).alias("p")).filter("p is not null")
+    repeated = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found = repeated.agg(*[F.count(F.when(F.col("p.pos") == i, 1)).alias(f"c{i}") for i, _ in checks])
+    return found.select(F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"c{i}").alias("failures")) for i, _ in checks])).alias("s")).select("s.*")
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataFrame:
-    """(table, check, failures) for every check, in the given order.
+    """(table, pos, check, failures) for every check, in the given order.
 
-    Row-level checks share one aggregation over ``df``; each unique check adds
-    one group-by whose failing keys are counted.
+    Row-level checks share one aggregation over ``df``; all uniqueness checks
+    share one group-by of (check, key) pairs.
     """
     row_checks = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
+    unique_checks = [(i, c) for i, c in enumerate(checks) if c.kind == "unique"]
     parts: list[DataFrame] = []
     if row_checks:
         sums = [F.coalesce(F.sum(F.when(c.condition(), 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"c{i}")
                 for i, c in row_checks]
-        agg = df.agg(*sums)
-        stacked = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pos"), F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures"))
-            for i, c in row_checks]))
-        parts.append(agg.select(stacked.alias("s")).select("s.*"))
-    for i, c in enumerate(checks):
-        if c.kind == "unique":
-            parts.append(unique(df, c.column).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-                         .select(F.lit(i).alias("pos"), F.lit(c.name).alias("check"), "failures"))
+        stacked = F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"c{i}").alias("failures")) for i, _ in row_checks]))
+        parts.append(df.agg(*sums).select(stacked.alias("s")).select("s.*"))
+    if unique_checks:
+        parts.append(_repeated_keys(df, unique_checks))
     if not parts:
         raise ValueError("no checks given")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(table).alias("table"), "pos", "check", "failures")
+    out = functools.reduce(DataFrame.unionByName, parts)
+    names = F.element_at(F.array(*[F.lit(c.name) for c in checks]), F.col("pos") + 1)
+    return out.select(F.lit(table).alias("table"), "pos", names.alias("check"), "failures")
 
 
 def assert_checks(results: DataFrame) -> None:

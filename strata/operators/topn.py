@@ -81,28 +81,30 @@ def dense_top_n(df: DataFrame, metric: str, n: int, ascending: bool = False,
 def dense_rank_all(df: DataFrame, metric: str, ascending: bool = False,
                    rank_col: str = "rank", materialize: bool = True) -> DataFrame:
     """Every row of ``df`` with the dense rank of its ``metric`` (NULL metric
-    -> NULL rank), without a single-partition window.
-
-    The distinct values are range-sorted across partitions (``orderBy``),
-    ranked inside each partition, and shifted by the number of values held
-    by all earlier partitions; that offset table has one row per partition,
-    so it is the only thing that is broadcast. The locally ranked values are
-    materialized once: range bounds come from sampling, so evaluating the
-    sort twice could place values differently in the two branches.
+    -> NULL rank), without a single-partition window and without joining rows
+    on the value.
+
+    The rows themselves are range-sorted, and by a hash of all their columns
+    among equal values, so that a value that many rows share spreads over
+    partitions. Each partition numbers its distinct values; how many lie
+    before it, not counting one that it shares with the partition before, is
+    all that is added. That table has one row per partition, so it is the
+    only thing that is broadcast. The sorted rows are written once: range
+    bounds come from sampling, so sorting twice could place rows differently.
     """
     df = _stable(df, materialize)
     m = F.col(metric)
-    values = (df.filter(m.isNotNull()).select(metric).distinct()
-                .orderBy(_order(m, ascending))
-                .withColumn("_part", F.spark_partition_id()))
-    local = materialize_shared(values.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(_order(F.col(metric), ascending)))),
-        "dense-rank")
-    sizes = local.groupBy("_part").agg(F.max("_local").alias("_n"))
-    offsets = sizes.select("_part", (F.coalesce(F.sum("_n").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_offset"))
-    ranks = (local.join(F.broadcast(offsets), "_part")
-                  .select(metric, (F.col("_offset") + F.col("_local")).cast("bigint").alias(rank_col)))
-    # rows without a metric share no rank: they bypass the join on the value
-    ranked = df.filter(m.isNotNull()).join(ranks, on=metric, how="inner")
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    placed = materialize_shared(df.filter(m.isNotNull()).orderBy(_order(m, ascending), spread).withColumn("_part", F.spark_partition_id()), "dense-rank")
+    first, last = (F.min, F.max) if ascending else (F.max, F.min)
+    sizes = placed.groupBy("_part", metric).agg(F.count(F.lit(1)).alias("_rows")).groupBy("_part").agg(
+        F.count(F.lit(1)).alias("_n"), first(metric).alias("_first"), last(metric).alias("_last"))
+    parts = Window.orderBy("_part")
+    shared = F.when(F.lag("_last").over(parts) == F.col("_first"), 1).otherwise(0)
+    steps = sizes.withColumn("_shared", shared)
+    before = F.coalesce(F.sum("_n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = steps.select("_part", (before - F.sum("_shared").over(parts.rowsBetween(Window.unboundedPreceding, 0))).alias("_offset"))
+    inside = F.dense_rank().over(Window.partitionBy("_part").orderBy(_order(m, ascending)))
+    ranked = placed.withColumn("_local", inside).join(F.broadcast(offsets), "_part").withColumn(
+        rank_col, (F.col("_offset") + F.col("_local")).cast("bigint")).select(*df.columns, rank_col)
     return ranked.unionByName(df.filter(m.isNull()).withColumn(rank_col, F.lit(None).cast("bigint")))
