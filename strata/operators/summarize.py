@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.exact import sum_exact
+
 _AGGS = {
     "sum": F.sum,
     "count": F.count,
@@ -23,9 +25,10 @@ def distinct_rows(df: DataFrame, columns: Sequence[str | Column] | None = None)
     return (df.select(*columns) if columns else df).distinct()
 
 
-def summary_columns(summary: Mapping[str, str]) -> list[Column]:
+def summary_columns(summary: Mapping[str, str], exact: Sequence[str] = ()) -> list[Column]:
     """Aggregates for columns whose default summarization is not ``none``
-    (A14); each is named ``{agg}_{column}``."""
+    (A14); each is named ``{agg}_{column}``. Sums of the ``exact`` columns do not
+    depend on the order of rows (see :mod:`strata.functions.exact`)."""
     out = []
     for col, how in summary.items():
         if how in (None, "none"):
@@ -34,13 +37,15 @@ def summary_columns(summary: Mapping[str, str]) -> list[Column]:
         expr = fn(F.col(col))
         if how == "count":
             expr = expr.cast("bigint")
+        elif how == "sum" and col in exact:
+            expr = sum_exact(F.col(col)).cast("double")
         out.append(expr.alias(f"{how}_{col}"))
     return out
 
 
-def summarize(df: DataFrame, keys: Sequence[str], summary: Mapping[str, str]) -> DataFrame:
+def summarize(df: DataFrame, keys: Sequence[str], summary: Mapping[str, str], exact: Sequence[str] = ()) -> DataFrame:
     """Group by ``keys`` and apply each column's default summarization."""
-    return df.groupBy(*keys).agg(*summary_columns(summary))
+    return df.groupBy(*keys).agg(*summary_columns(summary, exact))
 
 
 def drill(df: DataFrame, levels: Sequence[str], aggs: Mapping[str, Column],

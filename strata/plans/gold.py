@@ -9,11 +9,12 @@ when publishing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.rating import with_weighted_rating
 from strata.operators.semantic import lookup
+from strata.sources import runs
 
 # Display names of the published gold columns.
 DISPLAY_NAMES = {
@@ -73,6 +74,28 @@ def fct_daily_popularity(clean_popularity: DataFrame) -> DataFrame:
                                    "date_measured_at")
 
 
+DAY = "date_measured_at"
+#: About a row group: days are many and should not become many small files.
+DAY_FILE_BYTES = 128 * 1024 * 1024
+
+
+def stage_popularity(fact: DataFrame, root: str, tag: str, target_file_bytes: int = DAY_FILE_BYTES) -> str:
+    """Write the popularity fact in one folder per measuring day (rows without
+    a day have their own), each day's rows put together first, so a day is a
+    few files of about ``target_file_bytes`` whatever its share of the rows
+    (S8, Q2b). Returns the version folder for a commit."""
+    return runs.stage(fct_daily_popularity(fact), root, tag, [DAY], target_file_bytes)
+
+
+def measured_on(fact: DataFrame, calendar: DataFrame, chosen: Column) -> DataFrame:
+    """Rows of a popularity fact partitioned by day whose day the calendar
+    filter ``chosen`` keeps. The calendar's size is bounded by its date span, so
+    it is broadcast, and Spark prunes the fact's folders at run time by the
+    days that are left: other days' files are not read."""
+    days = F.broadcast(calendar.filter(chosen).select(F.col("Date").alias("_day")))
+    return fact.join(days, fact[DAY] == F.col("_day"), "left_semi")
+
+
 def build_gold(silver: dict[str, DataFrame], display: bool = False) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
     if "clean_games" in silver and "clean_gamestatus" in silver:

@@ -459,7 +459,7 @@ SELECT status, CAST(sum(num_of_reviews) AS BIGINT) AS sum_num_of_reviews,
        round(sum(weighted_rating), 2) + 0.0 AS sum_weighted_rating
 FROM fact GROUP BY status""",
     "popularity_summary": """SELECT event_type AS fk_popularity_type, count(event_id) AS count_id,
-       round(sum(value), 2) + 0.0 AS sum_popularity_score
+       CAST(sum(CAST(CAST(value * 1e-4 AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) AS sum_popularity_score
 FROM events GROUP BY event_type""",
     "dq_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
@@ -484,3 +484,10 @@ per AS (SELECT name, CAST(sum(wishlist_count) AS BIGINT) AS wishlist_count FROM
 ranked AS (SELECT *, rank() OVER (ORDER BY wishlist_count DESC) AS rk FROM per WHERE wishlist_count IS NOT NULL)
 SELECT name, wishlist_count, row_number() OVER (ORDER BY wishlist_count DESC, name) AS position FROM ranked WHERE rk <= 25""",
 }
+ORACLES |= {
+    "top3_rated_order": f"SELECT *, row_number() OVER (ORDER BY avg_weighted_rating DESC, name) AS position FROM ({ORACLES['top3_rated_ties']})",
+    "popularity_rank_order": f"SELECT *, row_number() OVER (ORDER BY popularity_rank, name) AS position FROM ({ORACLES['popularity_rank']})",
+    "popularity_by_weekday": """SELECT CAST(ts AS DATE) AS date_measured_at, event_type AS fk_popularity_type, count(event_id) AS n_measured,
+       CAST(sum(CAST(CAST(CAST(value AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) AS sum_score
+FROM events WHERE isodow(ts) >= 6 AND CAST(ts AS DATE) BETWEEN DATE '1990-01-01' AND DATE '2030-12-31' GROUP BY ALL""",
+}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import scalars as S
+from strata.functions.exact import sum_exact
 from strata.operators import quality as Q
 from strata.operators import semantic as sem
 from strata.functions.text import IGNORE_CASE
@@ -113,6 +114,19 @@ def q_fct_daily_popularity(spark, sf_dir):
     return gold.with_display_names(gold.fct_daily_popularity(clean), gold.DISPLAY_NAMES["fct_daily_popularity"])
 
 
+def q_popularity_by_weekday(spark, sf_dir):
+    """The popularity fact written by day and read back for a calendar
+    selection (weekends) whose days alone are read: measurements per type and
+    day, with the exact sum of their scores."""
+    base = scratch_path(spark, "popularity")
+    version = gold.stage_popularity(q_popularity_fact(spark, sf_dir), f"{base}/gold/fct_daily_popularity", "all")
+    catalog.runs.commit(spark, base, "all", {"gold/fct_daily_popularity": version})
+    fact = catalog.read_current(spark, f"{base}/gold/fct_daily_popularity")
+    rows = gold.measured_on(fact, calendar(spark, as_of=st.AS_OF), F.col("IsWeekend"))
+    return rows.groupBy(gold.DAY, "fk_popularity_type").agg(
+        F.count("id").alias("n_measured"), sum_exact(F.col("popularity_score")).cast("double").alias("sum_score"))
+
+
 # ---- ingest ----------------------------------------------------------------
 
 def q_union_pages(spark, sf_dir):
@@ -314,6 +328,20 @@ def q_wishlist_order(spark, sf_dir):
     return with_position(top, order)
 
 
+def q_top3_rated_order(spark, sf_dir):
+    """L1: the top-3 visual in its display order (average down, then name),
+    with each row's position; averages as displayed, so places are shared."""
+    top = reports.top_rated(st.item_model(_t(spark, sf_dir)), {"game_mode": st.MODE_SELECTION}, None, n=3, display_scale=0)
+    return with_position(top, [F.col("avg_weighted_rating").desc(), F.col("name")])
+
+
+def q_popularity_rank_order(spark, sf_dir):
+    """L1: the rank table in its display order (rank up, then name), with each
+    row's position."""
+    top = reports.popularity_rank(st.item_model(_t(spark, sf_dir)), {"status": st.STATUS_SELECTION, "popularity_type": st.POPULARITY_TYPE})
+    return with_position(top, [F.col("popularity_rank"), F.col("name")])
+
+
 def q_most_wishlisted(spark, sf_dir):
     """Q4: most wishlisted unreleased game."""
     return reports.most_wishlisted(st.item_fact(_t(spark, sf_dir)))
@@ -465,11 +493,11 @@ def q_fact_summary(spark, sf_dir):
 
 def q_popularity_summary(spark, sf_dir):
     """A14 on the popularity fact: count of measurements and summed score per
-    popularity type, as its metadata defines (2-decimal scores, rounded back
-    to cents after summing)."""
-    fact = gold.fct_daily_popularity(q_popularity_fact(spark, sf_dir))
-    out = summarize(fact, ["fk_popularity_type"], gold.DEFAULT_SUMMARY["fct_daily_popularity"])
-    return out.withColumn("sum_popularity_score", F.round("sum_popularity_score", 2))
+    popularity type, as its metadata defines. Scores are summed exactly and
+    never rounded: they go down to a millionth."""
+    events = st.popularity(_t(spark, sf_dir))
+    fact = gold.fct_daily_popularity(events.withColumn("date_measured_at", F.to_date("ts")))
+    return summarize(fact, ["fk_popularity_type"], gold.DEFAULT_SUMMARY["fct_daily_popularity"], exact=["popularity_score"])
 
 
 # ---- data tests ------------------------------------------------------------
@@ -562,6 +590,9 @@ QUERIES: dict[str, Query] = {
     "genre_list": q_genre_list,
     "wishlist_order": q_wishlist_order,
     "mixed_day_load": q_mixed_day_load,
+    "popularity_by_weekday": q_popularity_by_weekday,
+    "top3_rated_order": q_top3_rated_order,
+    "popularity_rank_order": q_popularity_rank_order,
     "graph_popularity": q_graph_popularity,
     "graph_counts": q_graph_counts,
     "top3_rated_collated": q_top3_rated_collated,

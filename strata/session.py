@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import atexit
 import os
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,6 +164,41 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 * MiB) -> DataFrame:
     return F.broadcast(df) if estimate <= max_bytes // COMPRESSION else df
 
 
+_SIZING = threading.Lock()
+
+
+@contextmanager
+def shuffle_target(spark: SparkSession, target_bytes: int):
+    """Jobs run inside aim at ``target_bytes`` per rebalanced partition. The
+    setting is the session's, so such blocks run one at a time."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    with _SIZING:
+        before = {n: spark.conf.get(n, None) for n in names}
+        spark.conf.set(names[0], str(target_bytes))
+        spark.conf.set(names[1], "false")
+        try:
+            yield
+        finally:
+            for n, v in before.items():
+                spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+
+
+def write_sized(df: DataFrame, write, target_file_bytes: int | None = None, partition_by: list[str] | None = None) -> None:
+    """Run ``write(df)``, a Parquet write, with files of about
+    ``target_file_bytes``: partitions are rebalanced first (one shuffle), so
+    small ones are put together and large ones split, per partition folder if
+    there are any, however skewed the rows are over tasks or folders. The
+    target counts shuffled bytes; columnar files come out smaller as they
+    compress. Without a target there is no shuffle and a file per task."""
+    if target_file_bytes is None:
+        write(df)
+        return
+    if target_file_bytes < 1:
+        raise ValueError("target_file_bytes must be positive")
+    with shuffle_target(df.sparkSession, target_file_bytes):
+        write(df.hint("rebalance", *(partition_by or [])))
+
+
 #: Rows in memory may take so many times their columnar files' bytes.
 COMPRESSION = 8
 

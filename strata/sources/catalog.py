@@ -35,7 +35,7 @@ def _pointers(spark: SparkSession, root: str) -> list:
     return sorted(((r["number"], r["path"]) for r in rows if r["path"]), reverse=True)
 
 
-def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None) -> str:
+def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None, target_file_bytes: int | None = None) -> str:
     """Write ``df`` as a new version folder of the table at ``root`` and make
     it current. Nothing that readers (:func:`read_current`) use is ever
     rewritten: a write that fails, of the version or of what names it, leaves
@@ -44,10 +44,11 @@ def publish(df: DataFrame, root: str, tag: str, partition_by: list[str] | None =
     A table that a run's manifest names (see :mod:`strata.sources.runs`) is
     published by a commit of its own; any other gets a pointer with the next
     free number. Then versions beyond the newest ``KEPT_VERSIONS`` are
-    removed."""
+    removed. ``target_file_bytes`` sizes the files (see
+    :func:`strata.session.write_sized`)."""
     spark = df.sparkSession
     root = root.rstrip("/")
-    version = runs.stage(df, root, tag, partition_by)
+    version = runs.stage(df, root, tag, partition_by, target_file_bytes)
     base, table = runs.split_root(root)
     run = runs.current(spark, base)
     if run is not None and table in run.tables:
@@ -96,7 +97,8 @@ def view_name(layer: str, name: str) -> str:
 
 
 def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
-                base: str | None = None, bucket_by: tuple[int, list[str]] | None = None) -> DataFrame:
+                base: str | None = None, bucket_by: tuple[int, list[str]] | None = None,
+                target_file_bytes: int | None = None) -> DataFrame:
     """Publish a model (S8): ``table`` persists it (a new Parquet version
     under ``base`` made current by :func:`publish`, else a catalog table
     ``layer.name``); ``view`` registers the plan for every session of the
@@ -113,7 +115,7 @@ def materialize(df: DataFrame, layer: str, name: str, kind: str = "table",
         raise ValueError(f"unknown materialization {kind!r}")
     if base is not None:
         root = f"{base.rstrip('/')}/{layer}/{name}"
-        out = spark.read.parquet(publish(df, root, name))
+        out = spark.read.parquet(publish(df, root, name, target_file_bytes=target_file_bytes))
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
         writer = df.write.mode("overwrite").format("parquet")

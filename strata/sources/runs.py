@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import write_sized
+
 #: Manifests, and the versions they name, that stay on storage.
 KEPT_RUNS = 2
 _LOG = "_runs"
@@ -62,12 +64,17 @@ def split_root(root: str) -> tuple[str, str]:
     return base, f"{layer}/{name}"
 
 
-def stage(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a version folder of the table at ``root``. It stays
-    unseen until a commit names it."""
+def stage(df: DataFrame, root: str, tag: str, partition_by: list[str] | None = None, target_file_bytes: int | None = None) -> str:
+    """Write ``df`` as a version folder of the table at ``root``, with files
+    of about ``target_file_bytes`` if given. It stays unseen until a commit
+    names it."""
     version = f"{root.rstrip('/')}/versions/{tag}-{uuid.uuid4().hex[:10]}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(version)
+
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(version)
+
+    write_sized(df, write, target_file_bytes, partition_by)
     return version
 
 

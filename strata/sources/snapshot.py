@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import write_sized
 from strata.sources import runs
 from strata.sources.catalog import read_current
 
@@ -144,17 +145,22 @@ def read_pages(spark: SparkSession, paths, schema: T.StructType | None = None) -
 
 
 def land_snapshot(df: DataFrame, base: str, run_date: str, entity: str,
-                  zstd_level: int = 3) -> str:
+                  zstd_level: int = 3, target_file_bytes: int | None = None) -> str:
     """Write one entity's snapshot as zstd Parquet in its day folder.
 
     Re-running the same day replaces that day's file only; write failures
-    propagate to the caller.
+    propagate to the caller. ``target_file_bytes`` sizes the files (see
+    :func:`strata.session.write_sized`).
     """
     path = snapshot_path(base, run_date, entity)
-    (df.write.mode("overwrite")
-       .option("compression", "zstd")
-       .option("parquet.compression.codec.zstd.level", str(zstd_level))
-       .parquet(path))
+
+    def write(rows: DataFrame) -> None:
+        (rows.write.mode("overwrite")
+         .option("compression", "zstd")
+         .option("parquet.compression.codec.zstd.level", str(zstd_level))
+         .parquet(path))
+
+    write_sized(df, write, target_file_bytes)
     return path
 
 

@@ -38,3 +38,16 @@ def test_suite_one_pass_and_assert(spark):
         assert "not_null:id=2" in str(e)
     ok = Q.run_checks(df.filter("id = 2"), checks, "t")
     Q.assert_checks(ok)
+
+
+def test_uniqueness_checks_share_one_shuffle(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "a", None), (None, "b", 2.0), (None, None, -0.5)] * 2 + [(3, "c", 7.0)],
+                               "id bigint, name string, x double")
+    checks = [Q.Check("unique", "id"), Q.Check("not_null", "x"), Q.Check("unique", ("id", "name")), Q.Check("unique", "x")]
+    out = Q.run_checks(df, checks, "t")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {r.pos: (r.check, r.failures) for r in out.collect()}
+    assert got == {i: (c.name, Q.unique(df, c.column).count() if c.kind == "unique" else df.filter("x is null").count()) for i, c in enumerate(checks)}
+    assert plan.count("Exchange hashpartitioning") == 1
+    none = Q.run_checks(df.filter("id = 9"), checks, "t")
+    assert [r.failures for r in none.collect()] == [0, 0, 0, 0]

@@ -105,3 +105,19 @@ def test_materialized_float_metrics(spark):
     got = topn.top_n_with_ties(per, "s", 3, rank_col="rk", materialize=True)
     want = per.withColumn("rk", F.rank().over(Window.orderBy(F.col("s").desc()))).filter("rk <= 3")
     assert sorted((r.g, r.rk) for r in got.collect()) == sorted((r.g, r.rk) for r in want.collect())
+
+
+def test_hot_values_rank_alike_over_partitions(spark):
+    """One value on most rows, spread over several sorted partitions."""
+    from pyspark.sql import Window
+
+    df = spark.range(4000).select("id", F.when(F.col("id") % 4 > 0, 5).when(F.col("id") % 40 == 0, None).otherwise(F.col("id") % 13).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = topn.dense_rank_all(df, "v")
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, ranked.collect())) == sorted(map(str, df.withColumn(
+            "rank", F.when(F.col("v").isNotNull(), F.dense_rank().over(Window.orderBy(F.col("v").desc_nulls_last())).cast("bigint"))).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert "SortMergeJoin" not in plan and plan.count("Join") == 1  # the one with a row per partition
