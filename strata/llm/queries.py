@@ -139,10 +139,20 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS9} AS w FROM documen
             FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
      hit AS (SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
      places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
-     items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+     items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r),
+     terms AS (SELECT DISTINCT g, unnest(string_split(g, ' ')) AS term FROM bw),
+     dp AS (SELECT r, p, term FROM (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS term FROM d) SEMI JOIN terms USING (term)),
+     freq AS (SELECT term, count(*) AS f FROM dp GROUP BY term),
+     ranked AS (SELECT g, term, row_number() OVER (PARTITION BY g ORDER BY coalesce(f, 0), term) AS k FROM terms LEFT JOIN freq USING (term)),
+     owned AS (SELECT DISTINCT x.term AS t1, y.term AS t2, z.term AS t3, item
+               FROM ranked x JOIN ranked y ON y.g = x.g AND x.k < y.k JOIN ranked z ON z.g = y.g AND y.k < z.k AND z.k <= 4 JOIN bw ON bw.g = x.g),
+     met AS (SELECT DISTINCT r, t1, t2, t3 FROM dp JOIN (SELECT DISTINCT t1, t2, t3 FROM owned) ON dp.term = t1
+             WHERE EXISTS (SELECT 1 FROM dp o WHERE o.r = dp.r AND o.term = t2 AND o.p BETWEEN dp.p - 30 AND dp.p + 30)
+               AND EXISTS (SELECT 1 FROM dp o WHERE o.r = dp.r AND o.term = t3 AND o.p BETWEEN dp.p - 30 AND dp.p + 30)),
+     near AS (SELECT r, count(DISTINCT item) AS n_near FROM met JOIN owned USING (t1, t2, t3) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r) LEFT JOIN near USING (r)
 """,
     "op11_minhash": f"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS11} AS w FROM documents),
