@@ -36,19 +36,29 @@ EXCEPTIONS = ("trash can", "trash bin", "clown fish", "clownfish", "circus clown
 @dataclass(frozen=True)
 class Learning:
     """Bounds of learning. ``max_rows`` labelled documents are fitted on, the
-    ones with the lowest hash of their texts; the rest is documented where it
-    is used."""
+    ones with the lowest hash of their texts; the other values are tests that a
+    stem has to pass (see :func:`learn_lexicon`), of which any number may."""
 
     max_rows: int = 20_000
-    stem_lengths: tuple[int, ...] = (4, 5, 6, 7, 8)
     min_texts: int = 5
     min_log_ratio: float = 1.2
     min_strength: float = 28.0
-    uses_a_text: int = 3
-    max_stems: int = 200
     steps: int = 50
 
 
+#: Stems of fewer letters match whole words only: too many words begin so.
+PREFIX_LETTERS = 5
+LEAST_LETTERS = 3
+
+
+def stems_of(word: str) -> set[str]:
+    """What a folded word may teach: its beginnings that can match as such,
+    and, if it is a short one, itself."""
+    if len(word) < PREFIX_LETTERS:
+        return {word} if len(word) >= LEAST_LETTERS else set()
+    return {word[:k] for k in range(PREFIX_LETTERS, len(word) + 1)}
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
@@ -62,7 +72,7 @@ _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 _TOKEN = re.compile(r"[@$]?[^\W_](?:[@$!|]*[^\W_])*")
 _MARKS = re.compile("[̀-ͯ​-‏⁠﻿­]")
 _SUSPECT = re.compile(r"[^\W\d_][0-9@$!|]+[^\W\d_]|(?<!\w)[0-9@$]+[^\W\d_]")
-_BEYOND_LATIN = re.compile("[^\u0000-ɏ]")
+_BEYOND_LATIN = re.compile("[^\u0000-ɏ]|\u00ad")
 
 
 def _letters_for(match: re.Match) -> str:
@@ -99,8 +109,9 @@ class Matcher:
         self.automaton.make_automaton()
 
     def hits(self, folded: str) -> list[tuple[int, float]]:
-        """(start, weight) of each word start that a stem matches; the longest
-        stem counts. A start inside an exception phrase is dropped."""
+        """(start, weight) of each word start that a stem matches (a short stem:
+        the whole word); the longest stem counts. A start inside an exception
+        phrase is dropped."""
         if not len(self.automaton):
             return []
         best: dict[int, tuple[int, float]] = {}
@@ -109,6 +120,8 @@ class Matcher:
             start = end - size + 1
             if start and folded[start - 1].isalpha():
                 continue
+            if size < PREFIX_LETTERS and weight is not None and folded[end + 1 : end + 2].isalpha():
+                continue
             if weight is None:
                 spared.append((start, end))
             elif start not in best or size > best[start][0]:
@@ -140,9 +153,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, how: Learning, id_col: str
     more than one text."""
     marked = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).distinct()
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull() & in_training(F.col("_doc")))
-    chosen = (texts.select("_doc", F.xxhash64("text").alias("hash")).join(marked, F.col("_doc") == F.col("_id"))
-              .groupBy("hash").agg(F.min(F.struct("_doc", "label")).alias("k"))
-              .select("hash", "k._doc", "k.label").orderBy("hash").limit(how.max_rows))
+    labelled = (texts.select("_doc", F.xxhash64("text").alias("hash")).join(marked, F.col("_doc") == F.col("_id"))
+                .groupBy("hash").agg(F.min(F.struct("_doc", "label")).alias("k")).select("hash", "k._doc", "k.label"))
+    labelled = stored(labelled, "toxicity-labelled")
+    rows = labelled.count()
+    if rows > how.max_rows:  # by a hash limit that leaves about so many, so that few rows meet where the last are cut
+        limit = -(1 << 63) + int((1 << 64) * min(1.0, 1.1 * how.max_rows / rows))
+        labelled = labelled.filter(F.col("hash") <= F.lit(min(limit, (1 << 63) - 1)))
+    chosen = labelled.orderBy("hash").limit(how.max_rows)
     chosen = F.broadcast(stored(chosen.withColumnRenamed("_doc", "_id"), "toxicity-sample"))
     rows = texts.join(chosen, (F.col("_doc") == F.col("_id")) & (F.xxhash64("text") == F.col("hash")))
     return stored(rows.groupBy("hash").agg(F.first("text").alias("text"), F.first("label").alias("label")), "toxicity-training")
@@ -152,14 +170,16 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
                   text_col: str = "text", label_col: str = "toxic") -> Lexicon:
     """A lexicon fitted on a bounded sample of labelled rows.
 
-    Stems are word beginnings found in ``how.min_texts`` toxic texts at least,
-    whose rate per word in toxic texts is ``exp(how.min_log_ratio)`` times the
-    one in others; that log ratio is their weight. A text adds at most
-    ``how.uses_a_text`` uses, so that one that repeats a word all over teaches
-    little. The strongest come first
-    (by the likelihood-ratio statistic) and shadow the stems that extend them
-    or that they extend. Without labelled rows of both kinds the seeds stand,
-    with weight 1.
+    Stems are beginnings of ``PREFIX_LETTERS`` letters or more, and whole short
+    words of ``LEAST_LETTERS``. One counts if it is in ``how.min_texts`` toxic
+    texts at least, the share of toxic texts that have it is
+    ``exp(how.min_log_ratio)`` times that of the others, and the
+    likelihood-ratio statistic of the two shares is over ``how.min_strength``;
+    the log ratio is its weight. A text counts once, however often it repeats
+    a word. Of stems that extend each other the strongest stays, of equally
+    strong ones the longest: what only ever begins "pathetic" is not learned
+    as "path". However many pass are kept. Without labelled rows of both kinds
+    the seeds stand, with weight 1.
     """
     rows = training_rows(docs, labels, how, id_col, text_col, label_col)
     seeds = Lexicon({s: 1.0 for s in SEEDS})
@@ -169,41 +189,36 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, how: Learning = Learning()
 
     def stems(batches):
         for batch in batches:
-            counts: dict[tuple[str, int], list[int]] = {}
+            counts: dict[tuple[str, int], int] = {}
             for text, label in zip(batch.column(0), batch.column(1)):
-                words = _WORD(fold(text.as_py()))
                 label = label.as_py()
-                counts.setdefault(("", label), [0, 0])[1] += len(words)
-                seen: dict[str, int] = {}
-                for w in words:
-                    for k in how.stem_lengths:
-                        if len(w) >= k:
-                            seen[w[:k]] = seen.get(w[:k], 0) + 1
-                for s, n in seen.items():
-                    c = counts.setdefault((s, label), [0, 0])
-                    c[0] += 1
-                    c[1] += min(n, how.uses_a_text)
+                found = set().union(*map(stems_of, set(_WORD(fold(text.as_py())))))
+                for s in found:
+                    counts[s, label] = counts.get((s, label), 0) + 1
             yield pa.record_batch([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
-                                   pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())],
-                                  names=["stem", "label", "texts", "uses"])
-
-    on = lambda label, name: F.sum(F.when(F.col("label") == label, F.col(name)).otherwise(0))
-    table = (rows.select("text", "label").mapInArrow(stems, "stem string, label int, texts long, uses long")
-             .groupBy("stem").agg(on(1, "texts").alias("texts"), on(1, "uses").alias("bad"), on(0, "uses").alias("good")))
-    whole = table.filter("stem = ''").first()
-    n_bad, n_good = max(1, whole["bad"]), max(1, whole["good"])
+                                   pa.array(list(counts.values()), pa.int64())], names=["stem", "label", "texts"])
+
+    on = lambda label: F.sum(F.when(F.col("label") == label, F.col("texts")).otherwise(0))
+    table = rows.select("text", "label").mapInArrow(stems, "stem string, label int, texts long").groupBy("stem").agg(on(1).alias("bad"), on(0).alias("good"))
+    n_bad, n_good = sizes[1], sizes[0]
     ratio = F.log((F.col("bad") + 0.5) / n_bad) - F.log((F.col("good") + 0.5) / n_good)
-    expected = lambda n: (F.col("bad") + F.col("good")) * (n / (n_bad + n_good))
-    g = lambda seen, n: F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / expected(n))).otherwise(0.0)
-    ranked = (table.filter((F.col("stem") != "") & (F.col("texts") >= how.min_texts)).withColumn("ratio", ratio)
-              .filter(F.col("ratio") >= how.min_log_ratio).withColumn("strength", 2 * (g("bad", n_bad) + g("good", n_good)))
-              .filter(F.col("strength") > how.min_strength).orderBy(F.col("strength").desc(), "stem").limit(20 * how.max_stems).collect())
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    both, bad, good = F.col("bad") + F.col("good"), F.col("bad"), F.col("good")
+    share = both / (n_bad + n_good)
+    strength = 2 * (part(bad, share * n_bad) + part(good, share * n_good) + part(n_bad - bad, (1 - share) * n_bad) + part(n_good - good, (1 - share) * n_good))
+    ranked = (table.filter(bad >= how.min_texts).withColumn("ratio", ratio).filter(F.col("ratio") >= how.min_log_ratio)
+              .withColumn("strength", F.round(strength, 9)).filter(F.col("strength") > how.min_strength)
+              .select("stem", "ratio", "strength").collect())  # stems of at most max_rows texts that pass the test
     weights: dict[str, float] = {}
-    for r in ranked:
-        if len(weights) < how.max_stems and not any(r["stem"].startswith(s) or s.startswith(r["stem"]) for s in weights):
-            weights[r["stem"]] = r["ratio"]
+    begun: set[str] = set()  # every beginning of a chosen stem
+    for r in sorted(ranked, key=lambda r: (-r["strength"], -len(r["stem"]), r["stem"])):
+        stem = r["stem"]
+        beginnings = {stem[:k] for k in range(PREFIX_LETTERS, len(stem))}
+        if stem not in begun and not any(b in weights for b in beginnings):
+            weights[stem] = r["ratio"]
+            begun |= beginnings
     for s in SEEDS:
-        if not any(s.startswith(w) or w.startswith(s) for w in weights):
+        if s not in begun and not any(s[:k] in weights for k in range(LEAST_LETTERS, len(s) + 1)):
             weights[s] = how.min_log_ratio
     lexicon = Lexicon(weights)
     points = rows.select("text", "label").mapInArrow(_features(lexicon), "summed double, density double, label int")

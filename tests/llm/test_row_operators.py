@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -274,6 +275,58 @@ def test_learning_ignores_the_held_out_fifth(spark):
     assert set(none.weights) == set(toxicity.SEEDS)
 
 
+def labelled(spark, bad, clean, n=600):
+    """Texts of which every third is toxic, with one of ``bad`` or ``clean`` in them."""
+    rows = [(i, f"text number {i} says that you {(bad if i % 3 == 0 else clean)[i % 2]} went home and ate {i * 3} apples") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+
+
+def test_short_insults_are_whole_words_and_long_ones_no_beginnings(spark):
+    lex = toxicity.learn_lexicon(*labelled(spark, ["bum", "worthless pathetic person"], ["good man", "person"]))
+    assert lex.weights["bum"] > 1 and "worthless" in lex.weights and "pathetic" in lex.weights
+    m = toxicity.Matcher(lex)
+    for clean in ("follow the path to the lake", "das Wort am Morgen", "put it in the trash can", "the circus clown fell", "a bumpy road and a bumblebee",
+                  "worth a visit", "mein Wortschatz", "the pathway"):
+        assert m.score(clean)[0] < 0.5 and m.hits(toxicity.fold(clean)) == [], clean
+    for toxic in ("you bum", "such a BUM!", "pathetically worthless", "pa\u00adthetic", "w0rthless"):
+        assert m.score(toxic)[0] >= 0.5, toxic
+
+
+def test_every_stem_that_passes_the_test_is_kept(spark):
+    words = [a + b + "zor" for a in "bcdfghklmn" for b in ("an", "el", "ip", "os", "ut", "ask", "ent", "irm", "olv", "unk")] * 3
+    docs, labels = labelled(spark, [" ".join(words)] * 2, ["person"] * 2)
+    lex = toxicity.learn_lexicon(docs, labels)
+    assert set(words) <= set(lex.weights)
+
+
+def test_matches_equal_brute_force():
+    rng = random.Random(6)
+    stems = {"bum": 1.0, "ban": 0.5, "banana": 2.0, "banan": 1.5, "lit": 1.0, "trash": 2.0}
+    m = toxicity.Matcher(toxicity.Lexicon(stems, exceptions=("trash can", "a bum")))
+    pieces = ["bum", "bums", "ban", "banana", "bananas", "xbanan", "banan", "trash", "trash can", "trashcan", "a bum", "iit", "lit", "lits", "-", "é", "1"]
+    for _ in range(300):
+        text = rng.choice(["", " "]).join(rng.choice(pieces) + rng.choice([" ", "", " "]) for _ in range(rng.randrange(8)))
+        want = []
+        spared = [(k, k + len(p)) for p in ("trash can", "a bum") for k in range(len(text)) if text.startswith(p, k) and not text[k - 1 : k].isalpha()]
+        for k in range(len(text)):
+            fits = [s for s in stems for form in {s, s.replace("l", "i")} if text.startswith(form, k) and not text[k - 1 : k].isalpha()
+                    and (len(s) >= 5 or not text[k + len(s) : k + len(s) + 1].isalpha())]
+            if fits and not any(a <= k < b for a, b in spared):
+                want.append((k, stems[max(fits, key=len)]))
+        assert sorted(m.hits(text)) == want, text
+
+
+def test_learning_takes_odd_rows(spark):
+    docs, labels = labelled(spark, ["bum"] * 2, ["man"] * 2)
+    odd = odd_cases(spark)
+    more = odd.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    lex = toxicity.learn_lexicon(docs.union(more).union(more), labels.union(labels).union(more.select("doc_id", F.lit(None).cast("int"))))
+    assert "bum" in lex.weights
+    kept = toxicity.drop_toxic(odd, lex)
+    assert kept.schema == odd.schema and kept.count() <= odd.count()
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     scored = queries.op6_toxicity(spark, sf).filter("held_out")
