@@ -63,20 +63,22 @@ def bucket_count(rows: int, rows_per_bucket: int) -> int:
 def numbered(df: DataFrame, group: str, keys: list[str], slot: str, rows_per_bucket: int = 50_000) -> DataFrame:
     """``df`` with a gapless number from 0 within each ``group``.
 
-    Rows are counted per (group, hash bucket of the keys); a running sum of
-    those counts is the offset of a bucket, and a window numbers the distinct
-    rows inside it. Rows equal in every column are counted first and expanded
-    last, so neither a large group nor a third of the table being one repeated
-    row meets in one task. ``df`` should hold only the columns to keep.
+    Rows are counted per (group, hash bucket of the whole row); a running sum
+    of those counts is the offset of a bucket, and a window numbers the
+    distinct rows inside it, by ``keys`` and then the other columns. Rows equal
+    in every column are counted first and expanded last. So neither a large
+    group, nor one key that many different rows share, nor a third of the table
+    being one repeated row meets in one task. ``df`` should hold only the
+    columns to keep.
     """
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__s_copies"))
     rows = df.count()
-    distinct = distinct.withColumn("__s_bucket", F.pmod(F.xxhash64(*keys, F.lit(group)), F.lit(bucket_count(rows, rows_per_bucket))))
+    distinct = distinct.withColumn("__s_bucket", F.pmod(F.xxhash64(*df.columns), F.lit(bucket_count(rows, rows_per_bucket))))
     sizes = distinct.groupBy(group, "__s_bucket").agg(F.sum("__s_copies").alias("__s_rows"))
     before = Window.partitionBy(group).orderBy("__s_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col(group).alias("__s_g"), F.col("__s_bucket").alias("__s_b"),
                            F.coalesce(F.sum("__s_rows").over(before), F.lit(0)).alias("__s_offset"))
-    inside = (Window.partitionBy(group, "__s_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in df.columns])
+    inside = (Window.partitionBy(group, "__s_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in dict.fromkeys([*keys, *df.columns])])
               .rowsBetween(Window.unboundedPreceding, -1))
     first = distinct.withColumn("__s_first", F.coalesce(F.sum("__s_copies").over(inside), F.lit(0)))
     joined = first.join(offsets, F.col(group).eqNullSafe(F.col("__s_g")) & (F.col("__s_bucket") == F.col("__s_b")))
