@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 
 from strata.llm.common import SPACE_WORD, bucket_count, stored
 
-#: Units that one flight works on at a time.
-UNITS_A_BLOCK = 20_000
+#: Units that one flight works on at a time: few enough that a source with most
+#: of a small table's units is dealt to many tasks, and many enough that the one
+#: or two undecided units of each block leave little to later rounds.
+UNITS_A_BLOCK = 2_000
 #: Units of a source that wait for its landing phase.
 LANDING_UNITS = 12
 #: Probabilities this close to 0 or 1 are that.
@@ -179,7 +181,6 @@ def balanced_copies(units: DataFrame, targets: DataFrame, keys: list[str], seed:
         if not most:
             break
         blocks = bucket_count(most, units_a_block)
-
         block = F.pmod(F.xxhash64("_key", F.lit(round_)), F.lit(blocks))
         flown = left.withColumn("_block", block).groupBy("source", "_block").applyInArrow(
             _flight_of_block(keys, seed, round_, blocks == 1), blocked)
