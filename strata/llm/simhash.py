@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -15,6 +17,8 @@ BITS = 64
 #: Buckets of up to so many fingerprints are compared pair by pair; larger
 #: ones go through their members' one-bit neighbours, which is exact too.
 PAIRWISE_BUCKET = 32
+#: Blocks that two fingerprints must share to meet.
+BLOCKS_MET = 3
 
 
 def fingerprint(text: str | None, shingle_words: int, seed: int = 42) -> int:
@@ -54,11 +58,19 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id"
 
 
 def block_masks(max_distance: int) -> list[int]:
-    """max_distance + 1 masks that split the bits: two fingerprints within
-    ``max_distance`` bits agree on at least one whole block."""
-    n = max_distance + 1
+    """Masks of which two fingerprints within ``max_distance`` bits agree on at
+    least one as a whole.
+
+    The bits are split into max_distance + ``BLOCKS_MET`` blocks. Differing
+    bits touch at most ``max_distance`` of them, so some ``BLOCKS_MET`` blocks
+    are equal; each mask is one choice of so many. For two bits these are ten
+    masks of about 38 bits: 10^8 unrelated fingerprints hardly ever meet, where
+    single blocks of 21 bits would hold 48 of them each.
+    """
+    n = max_distance + BLOCKS_MET
     edges = [round(k * BITS / n) for k in range(n + 1)]
-    return [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
+    blocks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
+    return [sum(chosen) for chosen in combinations(blocks, BLOCKS_MET)]
 
 
 def _signed(x: int) -> int:
@@ -69,7 +81,7 @@ def close_pairs(prints: DataFrame, max_distance: int = 2, pairwise_bucket: int =
     """Edges (a, b) that connect distinct ``fingerprint`` values as their
     links of at most ``max_distance`` (0 to 2) bits do.
 
-    Fingerprints meet in the buckets of their blocks. In a bucket of up to
+    Fingerprints meet in the buckets of their masks (:func:`block_masks`). In a bucket of up to
     ``pairwise_bucket`` members, pairs are joined and their distance is
     verified. The members of larger buckets (a big group of near copies) each
     send themselves to their 64 one-bit neighbours and to themselves: two are

@@ -56,6 +56,16 @@ def test_numbering_is_gapless(spark):
     assert {g: sorted(v) for g, v in got.items()} == {g: list(range(n)) for g, n in collections.Counter(r[0] for r in rows).items()}
 
 
+def test_one_key_of_many_rows_is_dealt_over_the_buckets(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("g"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.xxhash64("id").alias("text"))
+    out = common.numbered(df, "g", ["k"], "slot", rows_per_bucket=1000)
+    slots = [r.slot for r in out.collect()]
+    assert sorted(slots) == list(range(20_000))
+    hot = sorted(r.slot for r in out.filter("k is null").collect())
+    runs = 1 + sum(b != a + 1 for a, b in itertools.pairwise(hot))
+    assert runs >= 20  # the null key's rows stand in each of the 20 buckets
+
+
 # ---- SimHash ---------------------------------------------------------------
 
 def brute_fingerprint(text):
@@ -97,6 +107,16 @@ def test_linking_matches_brute_force(spark, distance, bucket):
     assert sorted(map(sorted, got.values())) == sorted(want.values())
 
 
+@pytest.mark.parametrize("distance,masks", [(0, 1), (1, 4), (2, 10)])
+def test_close_fingerprints_share_a_mask_and_others_hardly_meet(distance, masks):
+    found = simhash.block_masks(distance)
+    assert len(found) == masks
+    for bits in itertools.combinations(range(64), distance):  # whichever bits differ, some mask has none of them
+        assert any(not m & sum(1 << b for b in bits) for m in found)
+    # unrelated fingerprints a bucket at 10^8, against the size from which midpoints are taken
+    assert max(10**8 / 2 ** m.bit_count() for m in found) < simhash.PAIRWISE_BUCKET / 10_000
+
+
 def test_component_ids_and_survivors(spark):
     docs = frame(spark, ["same text here now", "same text here now", "other words entirely apart", None, "", "same text here now", "same text here now"],
                  [5, 3, 8, 1, None, 3, None])
