@@ -4,8 +4,8 @@ Every rolling word k-gram of a text is hashed and joined with the positions of
 the templates' k-grams. A match votes for the diagonal (place in the text
 minus place in the template) on which a copy of the template would lie; votes
 are added up per diagonal, neighbouring diagonals are merged (words put in or
-left out shift a copy by a few), and a span counts if its verified votes cover
-enough of the template.
+left out shift the rest of a copy to another one), and a span counts if its
+verified votes cover enough of the template.
 """
 
 from __future__ import annotations
@@ -38,29 +38,57 @@ PHRASES = (
     Template("phrase-cc-by", "cc-by", "cc by", exact=True),
     Template("phrase-mit", "mit", "mit license", exact=True),
 )
-#: Notices and their customary wordings, beyond the base. Fixed values.
+#: Names that identify a license. They must stand whole: a word less and they
+#: would name another version. Fixed values.
+NAMES = tuple(Template(f"name-{k}", label, text, coverage=1.0) for k, (label, text) in enumerate((
+    ("gpl-3.0", "gnu general public license version 3"), ("gpl-3.0", "gnu general public license v3"),
+    ("gpl-3.0", "gnu gpl version 3"), ("gpl-3.0", "gnu gpl v3"),
+    ("gpl-2.0", "gnu general public license version 2"), ("gpl-2.0", "gnu general public license v2"),
+    ("gpl-2.0", "gnu gpl version 2"), ("gpl-2.0", "gnu gpl v2"),
+    ("lgpl", "gnu lesser general public license"), ("agpl", "gnu affero general public license"),
+    ("apache-2.0", "apache license version 2 0"), ("apache-2.0", "apache license 2 0"),
+    ("bsd-3-clause", "bsd 3 clause"), ("bsd-2-clause", "bsd 2 clause"),
+    ("mpl-2.0", "mozilla public license 2 0"), ("mpl-2.0", "mozilla public license version 2 0"),
+    ("epl-2.0", "eclipse public license 2 0"), ("epl-2.0", "eclipse public license v 2 0"),
+    ("cc-by", "creative commons attribution 4 0"), ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc-by-nc", "cc by nc"), ("cc-by-nc", "creative commons attribution noncommercial"), ("cc0-1.0", "cc0 1 0 universal"),
+)))
+#: License identifiers of source files, without their "-only" and "-or-later",
+#: and the label of each. Fixed values.
+SPDX = (("GPL-2.0", "gpl-2.0"), ("GPL-3.0", "gpl-3.0"), ("LGPL-2.1", "lgpl"), ("LGPL-3.0", "lgpl"), ("AGPL-3.0", "agpl"),
+        ("MIT", "mit"), ("Apache-2.0", "apache-2.0"), ("BSD-2-Clause", "bsd-2-clause"), ("BSD-3-Clause", "bsd-3-clause"),
+        ("MPL-2.0", "mpl-2.0"), ("ISC", "isc"), ("EPL-2.0", "epl-2.0"), ("CC-BY-4.0", "cc-by"), ("CC-BY-SA-4.0", "cc-by-sa"),
+        ("CC0-1.0", "cc0-1.0"), ("Unlicense", "unlicense"))
+IDENTIFIERS = tuple(Template(f"spdx-{name}", label, "spdx license identifier " + name.lower().replace("-", " ").replace(".", " "), coverage=1.0)
+                    for name, label in SPDX)
+#: Sentences of licenses and of their notices. Fixed values.
 NOTICES = (
-    Template("gpl-3-notice", "gpl-3.0", "licensed under the gnu general public license version 3", coverage=0.9),
-    Template("gpl-2-notice", "gpl-2.0", "licensed under the gnu general public license version 2", coverage=0.9),
-    Template("apache-2-notice", "apache-2.0", "licensed under the apache license version 2 0", coverage=0.9),
-    Template("cc-by-nc-notice", "cc-by-nc", "licensed under cc by nc 4 0", coverage=0.9),
+    Template("apache-2-notice", "apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of "
+             "the license at http www apache org licenses license 2 0"),
     Template("mit-notice", "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
              "and associated documentation files the software to deal in the software without restriction"),
+    Template("mit-condition", "mit", "the above copyright notice and this permission notice shall be included in all copies or "
+             "substantial portions of the software"),
+    Template("isc-notice", "isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+             "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     Template("gpl-notice", "gpl", "this program is free software you can redistribute it and or modify it under the terms of "
              "the gnu general public license as published by the free software foundation"),
     Template("bsd-notice", "bsd", "redistribution and use in source and binary forms with or without modification are "
              "permitted provided that the following conditions are met"),
+    Template("bsd-3-condition", "bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to "
+             "endorse or promote products derived from this software without specific prior written permission"),
     Template("mpl-notice", "mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     Template("cc-by-notice", "cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    Template("unlicense-notice", "unlicense", "this is free and unencumbered software released into the public domain"),
 )
-#: Words of a k-gram: short templates have 2, long ones 4.
-SHORT_GRAM, LONG_GRAM = 2, 4
-#: Diagonals this close belong to one copy.
+#: Words of a k-gram: templates of under ``LONG_WORDS`` words have 2, others 4.
+SHORT_GRAM, LONG_GRAM, LONG_WORDS = 2, 4, 9
+#: Diagonals this close belong to one copy wherever their votes lie.
 MERGE_DIAGONALS = 3
 
 
 def _gram(t: Template) -> int:
-    return SHORT_GRAM if t.exact else LONG_GRAM
+    return SHORT_GRAM if t.exact or len(t.text.split()) < LONG_WORDS else LONG_GRAM
 
 
 def template_positions(spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
@@ -89,7 +117,7 @@ def _candidates(words: Column, hashes: Column, k: int, wanted: list[int]) -> Col
         F.concat_ws(" ", F.slice(words, i + 1, F.lit(k))).alias("gram"))))
 
 
-def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOTICES, id_col: str = "doc_id",
+def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NAMES + IDENTIFIERS + NOTICES, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, n_words and ``places``, an array of
     (template, label, exact, first word, words, coverage), in order.
@@ -99,6 +127,11 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOT
     scanned each; other columns are ignored. Texts are read once; what is kept
     of them is the k-grams that occur in a template. A text of many copies of a
     template gives one place per copy.
+
+    A diagonal's votes go to the same copy as those before them in the text if
+    the diagonals are at most ``MERGE_DIAGONALS`` apart; or if they go on in the
+    template where those ended, with fewer words put in between than half the
+    template has.
     """
     spark = docs.sparkSession
     positions = template_positions(spark, templates)
@@ -118,13 +151,16 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOT
     diagonals = (votes.withColumn("diagonal", F.col("position") - F.col("place"))
                  .groupBy("row", "template", "label", "exact", "template_words", "grams", "coverage", "diagonal")
                  .agg(F.count(F.lit(1)).alias("votes"), F.min("position").alias("first"), F.max("position").alias("last"),
+                      F.min("place").alias("from"), F.max("place").alias("to"),
                       F.max("k").alias("k")))
     whole = diagonals.filter(F.col("exact") & (F.col("votes") == F.col("grams")))
     exact = whole.select("row", "template", "label", "exact", F.col("first").cast("long").alias("first"),
                          F.col("template_words").cast("long").alias("words"), F.lit(1.0).alias("part"))
-    by = Window.partitionBy("row", "template").orderBy("diagonal")
-    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > MERGE_DIAGONALS, F.lit(True))
-    copies = (diagonals.filter(~F.col("exact")).withColumn("copy", F.sum(far.cast("int")).over(by))
+    by = Window.partitionBy("row", "template").orderBy("first", "diagonal")
+    shift = F.abs(F.col("diagonal") - F.lag("diagonal").over(by))
+    goes_on = (F.col("from") > F.lag("to").over(by)) & (F.col("first") - F.lag("last").over(by) - F.col("k") < F.col("template_words") / 2)
+    same = F.coalesce((shift <= MERGE_DIAGONALS) | goes_on, F.lit(False))
+    copies = (diagonals.filter(~F.col("exact")).withColumn("copy", F.sum((~same).cast("int")).over(by))
               .groupBy("row", "template", "label", "exact", "grams", "coverage", "copy")
               .agg(F.least(F.sum("votes"), F.col("grams")).alias("votes"), F.min("first").alias("first"),
                    F.max(F.col("last") + F.col("k")).alias("end")))

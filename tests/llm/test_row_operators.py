@@ -66,6 +66,38 @@ def test_notices_survive_changes(spark):
     assert len(got[3].places) == 2
 
 
+def test_notices_survive_long_insertions(spark):
+    notice = license_scan.NOTICES[1].text.split()
+    inserted = [" ".join(notice[:16] + ["word"] * n + notice[16:]) for n in (1, 5, 12)]
+    apart = " ".join(notice[:16] + ["word"] * 200 + notice[16:])
+    twice = " ".join(notice + notice[:10] + ["word"] * 6 + notice[10:])
+    got = license_rows(spark, frame(spark, [*inserted, apart, twice]))
+    for i, n in enumerate((1, 5, 12)):
+        assert [(p.label, p.first, p.words) for p in got[i].places] == [("mit", 0, len(notice) + n)]
+    assert not got[3].places
+    assert [(p.first, p.words) for p in got[4].places] == [(0, len(notice)), (len(notice), len(notice) + 6)]
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("released under the GNU General Public License version 3 today", {"gpl", "gpl-3.0"}),
+    ("GNU General Public License, version 2", {"gpl", "gpl-2.0"}), ("under the GNU GPL v3.", {"gpl-3.0"}),
+    ("GNU General Public License", {"gpl"}), ("general public license version 3", set()), ("GNU GPL version 1, see chapter 3", set()),
+    ("the BSD 3-Clause License", {"bsd-3-clause"}), ("// SPDX-License-Identifier: GPL-3.0-only", {"gpl-3.0"}),
+    ("# SPDX-License-Identifier: MIT", {"mit"}), ("SPDX-License-Identifier: BSD-2-Clause", {"bsd-2-clause"}),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", {"lgpl"}), ("SPDX-License-Identifier: X-2.0", set()), ("license identifier MIT", set()),
+    ("Licensed under the Apache License, Version 2.0 (the License)", {"apache", "apache-2.0"}), ("CC BY-NC 4.0", {"cc-by", "cc-by-nc"})])
+def test_names_and_identifiers(spark, text, labels):
+    assert {p.label for p in license_rows(spark, frame(spark, [text]))[0].places} == labels
+
+
+def test_every_template_finds_itself_alone(spark):
+    known = license_scan.NAMES + license_scan.IDENTIFIERS + license_scan.NOTICES
+    got = license_rows(spark, frame(spark, [f"so {t.text} ends" for t in known]))
+    for i, t in enumerate(known):
+        assert (t.name, 1, 1.0) in {(p.template, p.first, p.part) for p in got[i].places}, t.name
+        assert {p.label.split("-")[0] for p in got[i].places} <= {t.label.split("-")[0]}, t.name
+
+
 def test_license_plan_is_native(spark):
     plan = license_scan.scan_licenses(odd_cases(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
