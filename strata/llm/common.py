@@ -27,14 +27,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back, so a
     lost executor costs no recomputation of what led to it. The schema is
-    passed on: empty frames read back too."""
+    passed on: empty frames read back too. ``codec`` is the files' compression,
+    by default the session's."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
