@@ -41,10 +41,7 @@ def _class_of_bytes() -> np.ndarray:
 class Rules:
     """Limits of the verdict. ``min_chars`` / ``min_words`` are the
     minimum-length guards of the two comparisons, and ``noise_words`` over the
-    number of words is added to the word limit, as few words scatter more;
-    ``min_language_words`` is
-    the least text a reference is built from (below it, its language is not
-    judged)."""
+    number of words is added to the word limit, as few words scatter more."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -53,7 +50,6 @@ class Rules:
     min_common_words: int = 100
     max_word_distance: float = 0.3
     noise_words: float = 3.0
-    min_language_words: int = 2000
 
 
 @lru_cache(maxsize=None)
@@ -127,21 +123,27 @@ class Measure:
 #: References sum each text's shares in whole millionths: sums of integers are
 #: the same in any order.
 SHARE = 1_000_000
+#: Language labels that get a reference: codes of two or three letters. There
+#: are 18,252, so references stay small whatever a label column holds.
+LANGUAGE = re.compile("[a-z]{2,3}")
 
 
 def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict]:
-    """Reference histograms per language of ``COMMON_WORDS``, over all
-    documents. Every text adds its shares with equal weight, so no single long
-    text sets a reference. Tasks add up their own rows; what comes back has a
-    few dozen rows, whatever the input."""
+    """Reference histograms per language (see ``LANGUAGE``), over all
+    documents: of character classes, and for languages in ``COMMON_WORDS`` of
+    those words too. Every text adds its shares with equal weight, so no single
+    long text sets a reference. Tasks add up their own rows; what comes back has
+    at most thirty rows a language, whatever the input."""
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
                 lang = lang.as_py()
-                if lang in COMMON_WORDS and (m := Measure(text.as_py())).n_words:
-                    shares = (m.classes() / len(m.data), m.common(COMMON_WORDS[lang]) / m.n_words)
+                if lang and LANGUAGE.fullmatch(lang) and (m := Measure(text.as_py())).n_words:
+                    shares = [m.classes() / len(m.data)]
+                    if lang in COMMON_WORDS:
+                        shares.append(m.common(COMMON_WORDS[lang]) / m.n_words)
                     row = np.concatenate([[m.n_words], *[(x * SHARE).astype(np.int64) for x in shares]]).astype(np.int64)
                     sums[lang] = sums.get(lang, 0) + row
         for lang, row in sums.items():
@@ -154,7 +156,7 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
         out.setdefault(r["lang"], {})[r["slot"]] = r["value"]
     k = 1 + len(CLASSES)
     return {lang: {"n_words": v[0], "classes": np.array([v[i] for i in range(1, k)], float),
-                   "common": np.array([v[i] for i in range(k, len(v))], float)} for lang, v in out.items()}
+                   "common": np.array([v[i] for i in range(k, len(v))], float) if len(v) > k else None} for lang, v in out.items()}
 
 
 #: Letters of the references' script, and letters of any other.
@@ -170,19 +172,19 @@ def latin_script(text: str) -> bool:
 
 def judge(m: Measure, lang: str | None, references: dict[str, dict], rules: Rules) -> tuple[float | None, float | None]:
     """Distances to the reference of ``lang``. A null language is held against
-    the nearest reference if the text's script is theirs. None where a guard
-    forbids a verdict or there is no reference to judge by."""
-    usable = {k: r for k, r in references.items() if r["n_words"] >= rules.min_language_words}
+    the nearest reference of ``COMMON_WORDS`` if the text's script is theirs.
+    None where a guard forbids a verdict or there is nothing to judge by."""
     if lang is None:
-        against = list(usable) if latin_script(m.text) else []
+        against = [k for k in references if k in COMMON_WORDS] if latin_script(m.text) else []
     else:
-        against = [lang] if lang in usable else []
+        against = [lang] if lang in references else []
     by_class = by_word = None
     if against and len(m.data) >= rules.min_chars:
         classes = m.classes()
-        by_class = min(js_distance(classes, usable[k]["classes"]) for k in against)
-    if against and m.n_words >= rules.min_common_words:
-        by_word = min(js_distance(m.common(COMMON_WORDS[k]), usable[k]["common"]) for k in against)
+        by_class = min(js_distance(classes, references[k]["classes"]) for k in against)
+    listed = [k for k in against if references[k]["common"] is not None]
+    if listed and m.n_words >= rules.min_common_words:
+        by_word = min(js_distance(m.common(COMMON_WORDS[k]), references[k]["common"]) for k in listed)
     return by_class, by_word
 
 
@@ -191,12 +193,14 @@ def quality_verdicts(docs: DataFrame, references: dict[str, dict] | None = None,
     """One row per document: the base measures, both distances and ``kept``.
 
     Two scans when the references are built from ``docs``, no shuffle of
-    texts. Null texts count as empty: no words, hence ``base_failed``. A null
-    language is held against the nearest reference, if the text is mostly in
-    their script. Texts under the guards, in another script, or of a language
-    without a reference or with too little text for one get null distances
-    and keep the base verdict, as does everything when no language has a
-    reference (an empty table). Repeated rows are judged each; other columns
+    texts. Null texts count as empty: no words, hence ``base_failed``. Every
+    language in the data has a reference, however little text it has: a lone
+    text is at distance 0 from its own. Without a list of common words a
+    language is judged by character classes only. A null language is held
+    against the nearest reference with a list, if the text is mostly in their
+    script. Texts under the guards, without a language and in another script,
+    or labelled with no language code get null distances and keep the base
+    verdict, as does everything when there is no reference (an empty table). Repeated rows are judged each; other columns
     are ignored.
     """
     references = language_references(docs, text_col, lang_col) if references is None else references

@@ -229,7 +229,7 @@ def test_divergent_documents_are_rejected(spark):
     assert all(r.kept for r in quality_rules.quality_verdicts(unknown, references).collect())
 
 
-def test_languages_without_a_reference_keep_the_base_verdict(spark):
+def test_every_language_is_judged_by_its_own_texts(spark):
     import random
 
     rnd = random.Random(4)
@@ -240,12 +240,17 @@ def test_languages_without_a_reference_keep_the_base_verdict(spark):
     russian, han = words("оеаинтсрвл", None, 200), words("的一是不了人我在有他", None, 200)
     junk = "".join(rnd.choices("#$%^&*{}[]|0123456789 ", k=1500))
     rows = [(t, "en") for t in english] + [(french, "fr"), (russian, "ru"), (han, "zh"), (russian, None), (han, None), (english[0], None), (junk, None)]
+    rows += [(words("оеаинтсрвл", None, 200), "ru") for _ in range(19)] + [(junk, "ru"), (junk, "no language"), (russian, "")]
     docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id bigint, text string, lang string")
     got = {r.doc_id: r for r in quality_rules.quality_verdicts(docs).collect()}
-    for i in range(20, 25):  # too little French; languages and scripts without a reference
-        assert got[i].class_distance is None and got[i].word_distance is None and got[i].kept != got[i].base_failed and got[i].kept
-    assert got[25].kept and got[25].class_distance is not None
-    assert got[26].class_distance is not None and not got[26].kept
+    assert all(got[i].kept for i in (*range(26), *range(27, 46)))
+    for i in (20, 22):  # a language's only text is its reference
+        assert got[i].class_distance == pytest.approx(0, abs=1e-2)
+    assert got[20].word_distance == pytest.approx(0, abs=1e-2) and got[21].word_distance is None  # no list of Russian words
+    for i in (23, 24, 47, 48):  # another script without a language, labels that are none
+        assert got[i].class_distance is None and got[i].word_distance is None and got[i].kept != got[i].base_failed
+    assert got[25].class_distance is not None
+    assert not got[26].kept and got[46].class_distance > 0.35 and not got[46].kept  # judged as Russian
 
 
 # ---- tokens ----------------------------------------------------------------
