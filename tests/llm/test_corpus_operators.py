@@ -380,6 +380,67 @@ def test_buckets_of_unlike_lines_lose_no_link(spark):
     assert roots == {k: k % 50 for k in (*range(40), *range(50, 90))}
 
 
+def test_bitmaps_rule_out_no_similar_pair(spark):
+    how, rnd, pairs = line_dedup.WHOLE_LINES, random.Random(29), []
+    for k in range(600):
+        line = "".join(rnd.choices("abcdefghij ", k=rnd.choice([1, 4, 30, 80, 300, 1500])))
+        at = set(rnd.sample(range(len(line)), rnd.randrange(1 + len(line) // 40)))
+        near = "".join("0" if i in at else c for i, c in enumerate(line)) + "xyzw"[: rnd.randrange(5)] * rnd.randrange(1 + len(line) // 30)
+        pairs.append((line, near if k % 2 else "".join(rnd.choices("abcdefghij ", k=len(line)))))
+    sets = [[{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in pair] for pair in pairs]
+    bits = [line_dedup.parity_bits(*line_dedup.shingle_sets([x], how), 1)[0] for pair in pairs for x in pair]
+    assert all(64 * len(b) >= len(s) and len(b) & (len(b) - 1) == 0 for b, s in zip(bits, itertools.chain(*sets)))
+    for k, (x, y) in enumerate(sets):
+        if len(bits[2 * k]) == len(bits[2 * k + 1]):
+            assert sum(int(w).bit_count() for w in (bits[2 * k] ^ bits[2 * k + 1]).view("uint64")) <= len(x ^ y)
+    texts = spark.createDataFrame([(k, x) for k, x in enumerate(itertools.chain(*pairs))], "id bigint, line string")
+    met = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(pairs))], "a bigint, b bigint")
+    prints = line_dedup._prints(texts, how)
+    left = {r.a // 2 for r in line_dedup.possible_pairs(met, prints.union(prints), how).collect()}  # repeats of an id give no more rows
+    alike = {k for k, (x, y) in enumerate(sets) if len(x & y) >= 0.8 * len(x | y)}
+    assert len(alike) > 100 and alike <= left
+    assert len(left - alike) < 0.15 * (len(pairs) - len(alike))
+    assert line_dedup.possible_pairs(met, prints.union(prints), how).count() == len(left)
+
+
+def test_texts_are_read_for_lines_that_may_pair_only(spark):
+    rnd = random.Random(31)
+    lines = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=120)) for _ in range(20)]
+    lines += [lines[3][:60] + "0" + lines[3][61:], "", lines[3]]
+    frame = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    members = spark.createDataFrame([(1, 21, k) for k in range(21)], "key bigint, n bigint, id bigint")
+    asked = []
+
+    def texts(wanted):
+        asked.extend(sorted(r.id for r in wanted.collect()))
+        return frame.join(wanted, "id", "left_semi")
+
+    found = line_dedup.similar_pairs(members, line_dedup.WHOLE_LINES, texts, line_dedup._prints(frame, line_dedup.WHOLE_LINES))
+    assert [(r.a, r.b) for r in found.collect()] == [(3, 20)] and asked == [3, 20]
+
+
+@pytest.mark.parametrize("most", [32, 1024])
+def test_large_buckets_by_bitmaps_and_by_rarest_shingles(spark, most):
+    """Pairs whose links avoid the centre, in one bucket on either side of ``bitmap_bucket``."""
+    rnd = random.Random(37)
+    lines = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=80)) for _ in range(30)]
+    lines += [line[:70] + "0" + line[71:] for line in lines[:20]]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    members = texts.select(F.lit(1).cast("long").alias("key"), F.lit(len(lines)).cast("long").alias("n"), "id")
+    how = line_dedup.Matching(shingle=5, bitmap_bucket=most)
+    roots = {r.node: r.root for r in components.connected_components(line_dedup.similar_pairs(members, how, texts)).collect()}
+    assert roots == {k: k % 30 for k in (*range(20), *range(30, 50))}
+
+
+def test_line_repeats_over_tasks_and_null_ids(spark):
+    text = "one line that stands in many documents\n\nanother line, in all of them as well"
+    docs = [(k if k % 5 else None, text if k % 3 else text + " but for this") for k in range(40)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    got = [(r.doc_id, r.n_lines, list(r.dropped)) for r in line_dedup.dedup_lines(df).collect()]
+    assert len(got) == 40 and all(n == 2 for _, n, _ in got)
+    assert sorted((doc, dropped) for doc, _, dropped in got if dropped != [0, 2]) == [(1, []), (3, [0])]
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
