@@ -357,6 +357,36 @@ def test_line_sets_keys_and_pairs_are_those_of_python_sets():
     assert line_dedup.alike(*map(list, zip(*pairs)), how).tolist() == want and 20 < sum(want) < len(want)
 
 
+def test_empty_ranges_ask_filled_ones_in_turn():
+    how, rnd = line_dedup.WHOLE_LINES, random.Random(31)
+    lines = ["abcdef", "abcdefgh", *("".join(rnd.choices("abcd ", k=n)) for n in (6, 8, 9, 12, 20, 40, 90, 400))]
+    row, h = line_dedup.shingle_sets(lines, how)
+    bins, probes, got = how.bands * how.rows, line_dedup._probes(how.bands * how.rows), line_dedup.band_keys(row, h, len(lines), how)
+    for k in range(len(lines)):
+        least = {}
+        for x in sorted(h[row == k].tolist()):
+            least.setdefault((x >> 16) * bins >> 32, x)
+        minima = [least[b] if b in least else next((least[a] for a in probes[:, b].tolist() if a in least), 0) for b in range(bins)]
+        keys = []
+        for band in range(how.bands):
+            key = (band + 1) * int(line_dedup._STIR) % 2**64
+            for x in minima[band * how.rows : (band + 1) * how.rows]:
+                key = (key ^ x) * int(line_dedup._TURN) % 2**64
+                key ^= key >> 31
+            keys.append(key - 2**64 if key >> 63 else key)
+        whole = xxhash.xxh64_intdigest(np.array(keys, np.int64).tobytes()) >> 1
+        assert got[k].tolist() == ([whole] if (row == k).sum() < 4 else keys)
+
+
+def test_texts_of_lines_are_read_without_python(spark):
+    texts = ["  One LINE \n\n \n\u0130x \u03a3\u0391\u03a3 \n\ttab ", None, "", "one line\nother\n"]
+    lines = {x for text in texts for x in (line.strip(" ").lower() for line in (text or "").split("\n")) if x}
+    wanted = spark.createDataFrame([(line_dedup.line_id(x),) for x in sorted(lines) if x != "other"], "id long")
+    found = line_dedup._texts(spark.createDataFrame([(x,) for x in texts], "text string"), common.stored(wanted, "wanted"), "text")
+    assert {(r.id, r.line) for r in found.collect()} == {(line_dedup.line_id(x), x) for x in lines if x != "other"}
+    assert found.count() == 3 and "InArrow" not in found._jdf.queryExecution().toString()
+
+
 def test_lines_at_the_threshold_meet():
     how, rnd, met, near = line_dedup.WHOLE_LINES, random.Random(19), 0, 0
     for _ in range(1500):
