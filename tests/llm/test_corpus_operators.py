@@ -462,6 +462,46 @@ def test_large_buckets_by_bitmaps_and_by_rarest_shingles(spark, most):
     assert roots == {k: k % 30 for k in (*range(20), *range(30, 50))}
 
 
+def test_texts_beyond_the_broadcast_bound_shuffle_few_other_lines(spark, monkeypatch):
+    ids = spark.range(20_000).select(F.xxhash64("id").alias("id"), F.col("id").alias("n"))
+    wanted = ids.filter("n % 40 = 7").select("id")
+    passed = {r.n for r in line_dedup._maybe_in(ids, wanted).select("n").collect()}
+    assert set(range(7, 20_000, 40)) <= passed and len(passed) < 500 + 0.02 * 19_500
+    crowded = {r.n for r in line_dedup._maybe_in(ids, wanted, max_bytes=256).select("n").collect()}  # too few bits: others pass, none is lost
+    assert passed < crowded
+    monkeypatch.setattr(line_dedup, "broadcast_if_small", lambda df: df)
+    docs = spark.createDataFrame([("\n".join(f"Line {k % 900} of the text" for k in range(at, at + 30)),) for at in range(0, 3000, 10)], "text string")
+    wanted = spark.createDataFrame([(line_dedup.line_id(f"line {k} of the text"),) for k in range(0, 900, 50)], "id long")
+    found = line_dedup._texts(docs, wanted, "text")
+    assert {r.line for r in found.collect()} == {f"line {k} of the text" for k in range(0, 900, 50)} and found.count() == 18
+    scan = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert any("BroadcastHashJoin" in below and "LeftSemi" in below and "xxhash64" in below for below in scan)  # lines go before the shuffle
+
+
+def test_pairs_of_buckets_are_made_in_passes(spark):
+    """No pass has many more rows than asked for, no bucket is cut, and pairs that bitmaps rule out are in no join's result."""
+    how, rnd = line_dedup.WHOLE_LINES, random.Random(41)
+    lines = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=90)) for _ in range(40)]
+    lines += [line[:50] + "0" + line[51:] for line in lines[:10]]
+    own = line_dedup._prints(spark.createDataFrame(list(enumerate(lines)), "id bigint, line string"), how)
+    buckets = {key: rnd.sample(range(50), 20) for key in range(-30, 30)} | {30: range(50)}
+    members = spark.createDataFrame([(key, len(b), k) for key, b in buckets.items() for k in b], "key bigint, n bigint, id bigint")
+    centres = spark.createDataFrame([(30, 3)], "key bigint, id bigint")
+    rows = []
+
+    def pairs(some):
+        rows.append(some.count())
+        return line_dedup.near_pairs(some, own, centres, how)
+
+    got = sorted((r.a, r.b) for r in line_dedup._in_passes(members, 150, pairs, "line-test").collect())
+    assert len(rows) == 9 and sum(rows) == 60 * 20 + 50 and max(rows) <= 2 * 150
+    assert got == sorted({(k, k + 40) for k in range(10) if k == 3 or any(k in b and k + 40 in b for key, b in buckets.items() if key < 30)})
+    assert line_dedup.near_pairs(members, own, centres, how).distinct().count() == len(got)
+    placed = members.filter("key < 30").withColumn("part", F.when(F.col("id") % 40 == 4, 0).otherwise(F.col("id")))
+    assert {(r.a, r.b) for r in line_dedup.bucket_pairs(placed, own, how).collect()} == {p for p in got if p[0] != 4 and p in {
+        (k, k + 40) for k in range(10) for key, b in buckets.items() if key < 30 and k in b and k + 40 in b}}
+
+
 def test_line_repeats_over_tasks_and_null_ids(spark):
     text = "one line that stands in many documents\n\nanother line, in all of them as well"
     docs = [(k if k % 5 else None, text if k % 3 else text + " but for this") for k in range(40)]
